@@ -53,3 +53,139 @@ def q_frequency_encode(spark, sf_dir):
 @query
 def q_engineer_features(spark, sf_dir):
     return engineer_features(incidents(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- filters, projections, fills
+from ..functions import temporal as TM  # noqa: E402
+from ..operators.binning import equal_width_bins  # noqa: E402
+from ..operators.clean import drop_null_target, numeric_as_double, select_available  # noqa: E402
+from ..operators.frequency import cell_density  # noqa: E402
+from ..sources.csv import read_csv, write_csv  # noqa: E402
+from ..sources.incidents import dataset_shape  # noqa: E402
+from ..session import checkpoint_dir  # noqa: E402
+
+RAW_CATEGORICALS = ["SOURCE_SYSTEM_TYPE", "NWCG_REPORTING_AGENCY", "STAT_CAUSE_DESCR",
+                    "OWNER_DESCR", "STATE", "COUNTY"]
+
+
+def _dated(spark, sf_dir):
+    """Base rows with the temporal features of the feature job."""
+    from .features import temporal_features
+    return temporal_features(base(spark, sf_dir))
+
+
+@query
+def q_drop_null_target(spark, sf_dir):
+    return drop_null_target(incidents(spark, sf_dir)).select("FOD_ID", "FIRE_SIZE_CLASS")
+
+
+@query
+def q_select_features(spark, sf_dir):
+    return select_available(base(spark, sf_dir))
+
+
+@query
+def q_fill_unknown(spark, sf_dir):
+    df = base(spark, sf_dir).select("FOD_ID", *RAW_CATEGORICALS)
+    return fill_constant(df, {c: K.UNKNOWN for c in RAW_CATEGORICALS})
+
+
+@query
+def q_membership_flags(spark, sf_dir):
+    df = base(spark, sf_dir)
+    month = TM.month_of(F.col("DISCOVERY_DATE"))
+    return df.select(
+        "FOD_ID",
+        R.membership_flag(F.col("STAT_CAUSE_DESCR"), K.HUMAN_CAUSES).alias("human_caused"),
+        R.membership_flag(month, K.HIGH_RISK_MONTHS).alias("high_risk_month"),
+        R.membership_flag(month, K.DROUGHT_MONTHS).alias("drought_season"))
+
+
+@query
+def q_range_flags(spark, sf_dir):
+    d = F.col("DISCOVERY_DATE")
+    return base(spark, sf_dir).select(
+        "FOD_ID",
+        R.range_flag(TM.month_of(d), *K.FIRE_SEASON_MONTHS).alias("fire_season"),
+        R.threshold_flag(TM.day_of_week(d), K.WEEKEND_FIRST_DAY).alias("is_weekend"))
+
+
+@query
+def q_season_lookup(spark, sf_dir):
+    return base(spark, sf_dir).select(
+        "FOD_ID", R.lookup(TM.month_of(F.col("DISCOVERY_DATE")), K.SEASON_BY_MONTH).alias("season"))
+
+
+@query
+def q_binary_label(spark, sf_dir):
+    return base(spark, sf_dir).select("FOD_ID", R.binary_target(F.col("FIRE_SIZE_CLASS")).alias("binary_label"))
+
+
+@query
+def q_sql_transform(spark, sf_dir):
+    from ..operators.stages import copy_column
+    df = base(spark, sf_dir).select("FOD_ID", "LATITUDE")
+    return copy_column("LATITUDE", "latitude_copy").transform(df).select("FOD_ID", "latitude_copy")
+
+
+# ---------------------------------------------------------------- dates, times, numbers
+@query
+def q_parse_timestamp(spark, sf_dir):
+    df = base(spark, sf_dir)
+    iso = F.when(F.col("FOD_ID") % 7 == 0, F.lit("bad")).otherwise(
+        F.date_format("DISCOVERY_DATE", "yyyy-MM-dd"))
+    dmy = F.when(F.col("FOD_ID") % 5 == 0, F.lit("31/02/2001")).otherwise(
+        F.date_format("CONT_DATE", "dd/MM/yyyy"))
+    df = df.select("FOD_ID", iso.alias("iso_text"), dmy.alias("dmy_text"))
+    return df.select(
+        "FOD_ID",
+        TM.lenient_timestamp(F.col("iso_text"), df.schema["iso_text"].dataType).alias("discovered"),
+        TM.lenient_timestamp(F.col("dmy_text"), df.schema["dmy_text"].dataType, "dd/MM/yyyy").alias("contained"))
+
+
+@query
+def q_date_parts(spark, sf_dir):
+    return _dated(spark, sf_dir).select(
+        "FOD_ID", "discovery_month", "discovery_day_of_week", "discovery_year",
+        "discovery_day_of_year", "decade")
+
+
+@query
+def q_duration_days(spark, sf_dir):
+    return _dated(spark, sf_dir).select("FOD_ID", "fire_duration_days")
+
+
+@query
+def q_hour_of_day(spark, sf_dir):
+    return _dated(spark, sf_dir).select(
+        "FOD_ID", F.col("DISCOVERY_TIME").alias("discovery_time"), "discovery_hour")
+
+
+# ---------------------------------------------------------------- binning, density
+@query
+def q_equal_width_bins(spark, sf_dir):
+    df = base(spark, sf_dir).select("FOD_ID", "LATITUDE", "LONGITUDE")
+    return equal_width_bins(df, {"LATITUDE": "lat_bin", "LONGITUDE": "lon_bin"}).select(
+        "FOD_ID", "lat_bin", "lon_bin")
+
+
+@query
+def q_grid_density(spark, sf_dir):
+    df = base(spark, sf_dir).select("FOD_ID", "LATITUDE", "LONGITUDE")
+    binned = equal_width_bins(df, {"LATITUDE": "lat_bin", "LONGITUDE": "lon_bin"})
+    out = cell_density(binned, ["lat_bin", "lon_bin"], "location_fire_density", (K.N_BINS + 1) ** 2)
+    return out.select("FOD_ID", "location_fire_density")
+
+
+# ---------------------------------------------------------------- sources / sinks
+@query
+def q_dataset_shape(spark, sf_dir):
+    return dataset_shape(base(spark, sf_dir))
+
+
+@query
+def q_csv_roundtrip(spark, sf_dir):
+    import uuid
+    path = f"{checkpoint_dir(spark).rstrip('/')}/sparkfeat/csv-{uuid.uuid4().hex}"
+    write_csv(base(spark, sf_dir).select("FOD_ID", "STATE", "FIPS_CODE", "LATITUDE", "DISCOVERY_TIME"), path)
+    return read_csv(spark, path)

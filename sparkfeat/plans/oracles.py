@@ -134,3 +134,57 @@ SELECT FOD_ID,
   count(*) OVER (PARTITION BY coalesce(NWCG_REPORTING_AGENCY, 'Unknown')) AS agency_fire_frequency
 FROM base""")
 oracle("engineer_features", FEATURES)
+
+# ---------------------------------------------------------------- filters, projections, fills
+oracle("drop_null_target", f"""WITH incidents AS ({ADAPTER})
+SELECT FOD_ID, FIRE_SIZE_CLASS FROM incidents WHERE FIRE_SIZE_CLASS IS NOT NULL""")
+oracle("select_features", f"""{BASE}
+SELECT FIRE_SIZE_CLASS, FOD_ID, STATE, COUNTY, LATITUDE, LONGITUDE, STAT_CAUSE_CODE, STAT_CAUSE_DESCR,
+       SOURCE_SYSTEM_TYPE, NWCG_REPORTING_AGENCY, OWNER_DESCR, FIPS_CODE, OWNER_CODE, SOURCE_SYSTEM FROM base""")
+oracle("fill_unknown", f"""{BASE}
+SELECT FOD_ID, coalesce(SOURCE_SYSTEM_TYPE, 'Unknown') AS SOURCE_SYSTEM_TYPE,
+       coalesce(NWCG_REPORTING_AGENCY, 'Unknown') AS NWCG_REPORTING_AGENCY,
+       coalesce(STAT_CAUSE_DESCR, 'Unknown') AS STAT_CAUSE_DESCR, coalesce(OWNER_DESCR, 'Unknown') AS OWNER_DESCR,
+       coalesce(STATE, 'Unknown') AS STATE, coalesce(COUNTY, 'Unknown') AS COUNTY FROM base""")
+oracle("membership_flags", f"""{BASE}
+SELECT FOD_ID, coalesce(CAST(STAT_CAUSE_DESCR IN {HUMAN} AS INTEGER), 0) AS human_caused,
+       coalesce(CAST(month(DISCOVERY_DATE) IN (6, 7, 8, 9) AS INTEGER), 0) AS high_risk_month,
+       coalesce(CAST(month(DISCOVERY_DATE) IN (7, 8, 9, 10) AS INTEGER), 0) AS drought_season FROM base""")
+oracle("range_flags", f"""{BASE}
+SELECT FOD_ID, coalesce(CAST(month(DISCOVERY_DATE) BETWEEN 5 AND 10 AS INTEGER), 0) AS fire_season,
+       coalesce(CAST(isodow(DISCOVERY_DATE) - 1 >= 5 AS INTEGER), 0) AS is_weekend FROM base""")
+oracle("season_lookup", f"{BASE} SELECT FOD_ID, {SEASON} AS season FROM base")
+oracle("binary_label", f"""{BASE}
+SELECT FOD_ID, CASE WHEN FIRE_SIZE_CLASS IN ('C', 'D', 'E', 'F', 'G') THEN 1e0 ELSE 0e0 END AS binary_label FROM base""")
+oracle("sql_transform", f"{BASE} SELECT FOD_ID, LATITUDE AS latitude_copy FROM base")
+
+# ---------------------------------------------------------------- dates, times, numbers
+oracle("parse_timestamp", f"""{BASE}
+SELECT FOD_ID,
+  TRY_CAST(CASE WHEN FOD_ID % 7 = 0 THEN 'bad' ELSE strftime(DISCOVERY_DATE, '%Y-%m-%d') END AS TIMESTAMP) AS discovered,
+  try_strptime(CASE WHEN FOD_ID % 5 = 0 THEN '31/02/2001' ELSE strftime(CONT_DATE, '%d/%m/%Y') END, '%d/%m/%Y') AS contained
+FROM base""")
+oracle("date_parts", f"""{BASE}
+SELECT FOD_ID, CAST(month(DISCOVERY_DATE) AS INTEGER) AS discovery_month,
+       CAST(isodow(DISCOVERY_DATE) - 1 AS INTEGER) AS discovery_day_of_week,
+       FIRE_YEAR AS discovery_year, DISCOVERY_DOY AS discovery_day_of_year,
+       CAST(floor(FIRE_YEAR / 10) * 10 AS BIGINT) AS "decade" FROM base""")
+oracle("duration_days", f"{BASE} SELECT FOD_ID, {DURATION} AS fire_duration_days FROM base")
+oracle("hour_of_day", f"{BASE} SELECT FOD_ID, {TIME_NUM} AS discovery_time, {HOUR} AS discovery_hour FROM base")
+
+# ---------------------------------------------------------------- binning, density
+BINS = f"""bins AS (SELECT FOD_ID,
+    CAST(len(list_filter({_edges('LATITUDE')}, lambda z: z < LATITUDE)) - 1 AS INTEGER) AS lat_bin,
+    CAST(len(list_filter({_edges('LONGITUDE')}, lambda z: z < LONGITUDE)) - 1 AS INTEGER) AS lon_bin
+  FROM base)"""
+oracle("equal_width_bins", f"{BASE}, {BINS} SELECT FOD_ID, lat_bin, lon_bin FROM bins")
+oracle("grid_density", f"""{BASE}, {BINS}
+SELECT FOD_ID, count(*) OVER (PARTITION BY lat_bin, lon_bin) AS location_fire_density FROM bins""")
+
+# ---------------------------------------------------------------- sources / sinks
+oracle("dataset_shape", f"""{BASE}
+SELECT count(*) AS n_rows, (SELECT CAST(count(*) AS INTEGER) FROM (DESCRIBE SELECT * FROM incidents)) AS n_columns
+FROM base""")
+oracle("csv_roundtrip", f"""{BASE}
+SELECT CAST(FOD_ID AS INTEGER) AS FOD_ID, STATE, CAST(FIPS_CODE AS INTEGER) AS FIPS_CODE, LATITUDE, DISCOVERY_TIME
+FROM base""")
