@@ -189,3 +189,140 @@ def q_csv_roundtrip(spark, sf_dir):
     path = f"{checkpoint_dir(spark).rstrip('/')}/sparkfeat/csv-{uuid.uuid4().hex}"
     write_csv(base(spark, sf_dir).select("FOD_ID", "STATE", "FIPS_CODE", "LATITUDE", "DISCOVERY_TIME"), path)
     return read_csv(spark, path)
+
+
+# ---------------------------------------------------------------- label coding and metrics
+from ..operators import metrics as M  # noqa: E402
+from ..operators import stages as S  # noqa: E402
+from ..operators.split import is_train  # noqa: E402
+from ..operators.weights import attach_class_weights  # noqa: E402
+
+
+def _round(c, places=6):
+    return F.round(c, places)
+
+
+def rule_predictions(spark, sf_dir):
+    """Indexed labels (frequency-descending) and a rule prediction ``FOD_ID % 3``:
+    a deterministic scored table for the metric operators."""
+    b = base(spark, sf_dir).select("FOD_ID", "FIRE_SIZE_CLASS")
+    model = S.label_indexer().fit(b)
+    pred = model.transform(b).select(
+        "FOD_ID", "label", (F.col("FOD_ID") % 3).cast("double").alias("prediction"))
+    return pred, list(model.labels)
+
+
+@query
+def q_label_decode(spark, sf_dir):
+    pred, labels = rule_predictions(spark, sf_dir)
+    return pred.select("FOD_ID", R.decode_label((F.col("FOD_ID") % 9).cast("double"), labels).alias("name"))
+
+
+@query
+def q_class_distribution(spark, sf_dir):
+    b = base(spark, sf_dir).select("FIRE_SIZE_CLASS")
+    return M.class_distribution(S.label_indexer(order="alphabetAsc").fit(b).transform(b))
+
+
+@query
+def q_confusion_long(spark, sf_dir):
+    return M.confusion_long(rule_predictions(spark, sf_dir)[0])
+
+
+@query
+def q_confusion_wide(spark, sf_dir):
+    pred, labels = rule_predictions(spark, sf_dir)
+    return M.confusion_wide(pred, labels)
+
+
+@query
+def q_per_class_metrics(spark, sf_dir):
+    pred, labels = rule_predictions(spark, sf_dir)
+    out = M.per_class_metrics(pred, labels)
+    return out.select("class", *[_round(F.col(c)).alias(c) for c in ("precision", "recall", "f1")])
+
+
+@query
+def q_accuracy_f1(spark, sf_dir):
+    out = M.accuracy_f1(rule_predictions(spark, sf_dir)[0])
+    return out.select(*[_round(F.col(c)).alias(c) for c in ("accuracy", "f1_weighted")])
+
+
+@query
+def q_class_weights(spark, sf_dir):
+    df = base(spark, sf_dir).select("FOD_ID", "FIRE_SIZE_CLASS")
+    out = attach_class_weights(df, label="FIRE_SIZE_CLASS")
+    return out.select("FOD_ID", _round(F.col("weight")).alias("weight"))
+
+
+@query
+def q_hash_split(spark, sf_dir):
+    return base(spark, sf_dir).select("FOD_ID", is_train(F.col("FOD_ID")).cast("int").alias("is_train"))
+
+
+# ---------------------------------------------------------------- ML feature stages
+def _ml_input(spark, sf_dir):
+    df = base(spark, sf_dir)
+    df = df.withColumn("discovery_time_num",
+                       TM.lenient_number(F.col("DISCOVERY_TIME"), df.schema["DISCOVERY_TIME"].dataType))
+    return numeric_as_double(df, ["FIPS_CODE", "discovery_time_num", "LATITUDE", "LONGITUDE", "OWNER_CODE"])
+
+
+@query
+def q_impute_mean(spark, sf_dir):
+    df = _ml_input(spark, sf_dir)
+    cols = ["FIPS_CODE", "discovery_time_num"]
+    out = S.imputer(cols).fit(df).transform(df)
+    return out.select("FOD_ID", *[_round(F.col(f"{c}_imputed")).alias(f"{c}_imputed") for c in cols])
+
+
+@query
+def q_category_index(spark, sf_dir):
+    df = _ml_input(spark, sf_dir)
+    cols = ["OWNER_DESCR", "NWCG_REPORTING_AGENCY"]
+    return S.category_indexer(cols).fit(df).transform(df).select("FOD_ID", *[f"{c}_idx" for c in cols])
+
+
+@query
+def q_label_index(spark, sf_dir):
+    df = base(spark, sf_dir).select("FOD_ID", "FIRE_SIZE_CLASS")
+    df = S.label_indexer(order="frequencyDesc", out="label_freq").fit(df).transform(df)
+    df = S.label_indexer(order="alphabetAsc", out="label_alpha").fit(df).transform(df)
+    return df.select("FOD_ID", "label_freq", "label_alpha")
+
+
+def _encoded(spark, sf_dir, cols):
+    df = _ml_input(spark, sf_dir)
+    df = S.category_indexer(cols).fit(df).transform(df)
+    return S.one_hot(cols).fit(df).transform(df)
+
+
+@query
+def q_one_hot(spark, sf_dir):
+    return S.vector_long(_encoded(spark, sf_dir, ["OWNER_DESCR"]), "FOD_ID", "OWNER_DESCR_enc")
+
+
+@query
+def q_assemble(spark, sf_dir):
+    df = _encoded(spark, sf_dir, ["OWNER_DESCR"])
+    vec = S.assembler(["LATITUDE", "OWNER_CODE", "OWNER_DESCR_enc"], handle_invalid="keep").transform(df)
+    return S.vector_long(vec, "FOD_ID", "raw_features")
+
+
+@query
+def q_standard_scale(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+    df = S.assembler(["LATITUDE", "LONGITUDE"]).transform(_ml_input(spark, sf_dir))
+    out = S.scaler().fit(df).transform(df)
+    arr = vector_to_array("features")
+    return out.select("FOD_ID", _round(arr[0]).alias("latitude_scaled"), _round(arr[1]).alias("longitude_scaled"))
+
+
+@query
+def q_pca_explained(spark, sf_dir):
+    df = S.assembler(["LATITUDE", "LONGITUDE"], out="scaled_features").transform(_ml_input(spark, sf_dir))
+    model = S.pca_fit(df, 1)
+    ev = float(sum(model.explainedVariance.toArray()))
+    # The fitted variance is a model parameter; report it against the fitted rows.
+    return df.agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit(1).alias("k"), _round(F.lit(ev)).alias("explained_variance"))

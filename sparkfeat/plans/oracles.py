@@ -188,3 +188,77 @@ FROM base""")
 oracle("csv_roundtrip", f"""{BASE}
 SELECT CAST(FOD_ID AS INTEGER) AS FOD_ID, STATE, CAST(FIPS_CODE AS INTEGER) AS FIPS_CODE, LATITUDE, DISCOVERY_TIME
 FROM base""")
+
+# ---------------------------------------------------------------- label coding and metrics
+RANK = """r AS (SELECT FIRE_SIZE_CLASS, CAST(row_number() OVER (ORDER BY count(*) DESC, FIRE_SIZE_CLASS) - 1 AS DOUBLE) AS label
+           FROM base GROUP BY 1),
+p AS (SELECT FOD_ID, label, CAST(FOD_ID % 3 AS DOUBLE) AS prediction FROM base JOIN r USING (FIRE_SIZE_CLASS))"""
+COUNTS = """m AS (SELECT r.label AS code, r.FIRE_SIZE_CLASS AS class,
+    CAST(count(*) FILTER (WHERE p.label = r.label AND p.prediction = r.label) AS DOUBLE) AS tp,
+    CAST(count(*) FILTER (WHERE p.label <> r.label AND p.prediction = r.label) AS DOUBLE) AS fp,
+    CAST(count(*) FILTER (WHERE p.label = r.label AND p.prediction <> r.label) AS DOUBLE) AS fn
+  FROM r, p GROUP BY 1, 2),
+s AS (SELECT class, tp, fn,
+    CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS precision,
+    CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END AS recall FROM m),
+f AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END AS f1 FROM s)"""
+
+oracle("label_decode", f"""{BASE}, {RANK}
+SELECT p.FOD_ID, coalesce(r2.FIRE_SIZE_CLASS, 'N/A') AS name
+FROM p LEFT JOIN r AS r2 ON r2.label = CAST(p.FOD_ID % 9 AS DOUBLE)""")
+oracle("class_distribution", f"""{BASE}
+SELECT CAST(dense_rank() OVER (ORDER BY FIRE_SIZE_CLASS) - 1 AS DOUBLE) AS label, count(*) AS count
+FROM base GROUP BY FIRE_SIZE_CLASS""")
+oracle("confusion_long", f"{BASE}, {RANK} SELECT label, prediction, count(*) AS count FROM p GROUP BY 1, 2")
+oracle("confusion_wide", f"""{BASE}, {RANK}
+SELECT rt.FIRE_SIZE_CLASS AS label,
+  count(*) FILTER (WHERE rp.FIRE_SIZE_CLASS = 'A') AS "A", count(*) FILTER (WHERE rp.FIRE_SIZE_CLASS = 'B') AS "B",
+  count(*) FILTER (WHERE rp.FIRE_SIZE_CLASS = 'C') AS "C", count(*) FILTER (WHERE rp.FIRE_SIZE_CLASS = 'D') AS "D",
+  count(*) FILTER (WHERE rp.FIRE_SIZE_CLASS = 'E') AS "E", count(*) FILTER (WHERE rp.FIRE_SIZE_CLASS = 'F') AS "F",
+  count(*) FILTER (WHERE rp.FIRE_SIZE_CLASS = 'G') AS "G"
+FROM p JOIN r AS rt ON p.label = rt.label LEFT JOIN r AS rp ON p.prediction = rp.label GROUP BY 1""")
+oracle("per_class_metrics", f"""{BASE}, {RANK}, {COUNTS}
+SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM f""")
+oracle("accuracy_f1", f"""{BASE}, {RANK}, {COUNTS}
+SELECT round(sum(tp) / sum(tp + fn), 6) AS accuracy, round(sum(f1 * (tp + fn)) / sum(tp + fn), 6) AS f1_weighted FROM f""")
+oracle("class_weights", f"""{BASE}
+SELECT FOD_ID, round((SELECT count(*) FROM base)::DOUBLE / ((SELECT count(DISTINCT FIRE_SIZE_CLASS) FROM base)
+       * count(*) OVER (PARTITION BY FIRE_SIZE_CLASS)), 6) AS weight FROM base""")
+oracle("hash_split", f"""{BASE}
+SELECT FOD_ID, CAST(CAST(('0x' || substr(md5(CAST(FOD_ID AS VARCHAR)), 1, 8)) AS BIGINT) % 10000 < 8000 AS INTEGER) AS is_train
+FROM base""")
+
+# ---------------------------------------------------------------- ML feature stages
+ML = f"""{BASE}, ml AS (SELECT *, TRY_CAST(FIPS_CODE AS DOUBLE) AS fips,
+    CASE WHEN regexp_full_match(DISCOVERY_TIME, '\\s*[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?\\s*')
+         THEN TRY_CAST(trim(DISCOVERY_TIME) AS DOUBLE) END AS tnum FROM base)"""
+
+
+def _index(col: str, name: str) -> str:
+    return f"""{name} AS (SELECT {col} AS v, row_number() OVER (ORDER BY count(*) DESC, {col}) - 1 AS k
+        FROM base WHERE {col} IS NOT NULL GROUP BY 1)"""
+
+
+oracle("impute_mean", f"""{ML}
+SELECT FOD_ID, round(coalesce(fips, avg(fips) OVER ()), 6) AS FIPS_CODE_imputed,
+       round(coalesce(tnum, avg(tnum) OVER ()), 6) AS discovery_time_num_imputed FROM ml""")
+oracle("category_index", f"""{BASE}, {_index('OWNER_DESCR', 'io')}, {_index('NWCG_REPORTING_AGENCY', 'ia')}
+SELECT FOD_ID, CAST(coalesce(io.k, (SELECT count(*) FROM io)) AS DOUBLE) AS OWNER_DESCR_idx,
+       CAST(coalesce(ia.k, (SELECT count(*) FROM ia)) AS DOUBLE) AS NWCG_REPORTING_AGENCY_idx
+FROM base LEFT JOIN io ON base.OWNER_DESCR = io.v LEFT JOIN ia ON base.NWCG_REPORTING_AGENCY = ia.v""")
+oracle("label_index", f"""{BASE}, {RANK}
+SELECT FOD_ID, label AS label_freq,
+       CAST(dense_rank() OVER (ORDER BY FIRE_SIZE_CLASS) - 1 AS DOUBLE) AS label_alpha
+FROM base JOIN r USING (FIRE_SIZE_CLASS)""")
+oracle("one_hot", f"""{BASE}, {_index('OWNER_DESCR', 'io')}
+SELECT FOD_ID, CAST(k AS INTEGER) AS slot, 1e0 AS value FROM base JOIN io ON base.OWNER_DESCR = io.v""")
+oracle("assemble", f"""{BASE}, {_index('OWNER_DESCR', 'io')}
+SELECT FOD_ID, 0 AS slot, LATITUDE AS value FROM base WHERE LATITUDE <> 0
+UNION ALL SELECT FOD_ID, 1 AS slot, OWNER_CODE AS value FROM base WHERE OWNER_CODE <> 0
+UNION ALL SELECT FOD_ID, CAST(2 + k AS INTEGER) AS slot, 1e0 AS value FROM base JOIN io ON base.OWNER_DESCR = io.v""")
+oracle("standard_scale", f"""{BASE}
+SELECT FOD_ID, round(LATITUDE / stddev_samp(LATITUDE) OVER (), 6) AS latitude_scaled,
+       round(LONGITUDE / stddev_samp(LONGITUDE) OVER (), 6) AS longitude_scaled FROM base""")
+oracle("pca_explained", f"""{BASE},
+c AS (SELECT var_samp(LATITUDE) a, var_samp(LONGITUDE) d, covar_samp(LATITUDE, LONGITUDE) b FROM base)
+SELECT 1 AS k, round(((a + d) / 2 + sqrt(((a - d) / 2) * ((a - d) / 2) + b * b)) / (a + d), 6) AS explained_variance FROM c""")
