@@ -326,3 +326,119 @@ def q_pca_explained(spark, sf_dir):
     # The fitted variance is a model parameter; report it against the fitted rows.
     return df.agg(F.count(F.lit(1)).alias("n")).select(
         F.lit(1).alias("k"), _round(F.lit(ev)).alias("explained_variance"))
+
+
+# ---------------------------------------------------------------- models and experiments (rows-only)
+from ..operators import models as MD  # noqa: E402
+from . import experiments as X  # noqa: E402
+
+_NO_SECONDS = ["experiment", "variant", "k", "model", "train_rows", "test_rows", "accuracy", "f1_weighted"]
+
+
+def model_input(spark, sf_dir):
+    """Feature table of the whole adapter, typed for the ML stages and materialised."""
+    return X.prepare(engineer_features(incidents(spark, sf_dir)))
+
+
+def transformed(spark, sf_dir, **opts):
+    df, cats, nums = model_input(spark, sf_dir)
+    model = S.feature_stages(cats, nums, **opts).fit(df)
+    return model, model.transform(df)
+
+
+def _class_weight_parts(spark, sf_dir):
+    model, data = transformed(spark, sf_dir, label_order="alphabetAsc", handle_invalid="keep")
+    train, test = X.hash_split(data, K.ID_COLUMN)
+    return model, data, train, test
+
+
+@query
+def q_feature_stages_fit(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+    _, data = transformed(spark, sf_dir, label_order="alphabetAsc", handle_invalid="keep")
+    return data.select("FOD_ID", "label", vector_to_array("features").alias("features"))
+
+
+def _predictions(spark, sf_dir, name):
+    _, _, train, test = _class_weight_parts(spark, sf_dir)
+    if name == "GBT":
+        _, pred = MD.fit_score(MD.classifier("GBT", label="binary_label"),
+                               MD.with_binary_label(train), MD.with_binary_label(test))
+        return pred.select("FOD_ID", F.col("binary_label").alias("label"), "prediction")
+    _, pred = MD.fit_score(MD.classifier(name), train, test)
+    return pred.select("FOD_ID", "label", "prediction")
+
+
+@query
+def q_model_random_forest(spark, sf_dir):
+    return _predictions(spark, sf_dir, "RandomForest")
+
+
+@query
+def q_model_decision_tree(spark, sf_dir):
+    return _predictions(spark, sf_dir, "DecisionTree")
+
+
+@query
+def q_model_logistic(spark, sf_dir):
+    return _predictions(spark, sf_dir, "LogisticRegression")
+
+
+@query
+def q_model_gbt_binary(spark, sf_dir):
+    return _predictions(spark, sf_dir, "GBT")
+
+
+@query
+def q_model_weighted(spark, sf_dir):
+    model, _, train, test = _class_weight_parts(spark, sf_dir)
+    weighted = attach_class_weights(train, max_classes=len(S.fitted_labels(model)) + 1)
+    rows = MD.compare_models(weighted, test, experiment="class_weight", variant="weighted",
+                             models=MD.MULTICLASS, weight="weight")
+    return spark.createDataFrame(rows, MD.COMPARISON_SCHEMA).select(*_NO_SECONDS)
+
+
+@query
+def q_top_importances(spark, sf_dir):
+    _, data, train, _ = _class_weight_parts(spark, sf_dir)
+    rf = MD.classifier("RandomForest").fit(train)
+    return MD.feature_importances(rf, data)
+
+
+@query
+def q_compare_models(spark, sf_dir):
+    _, data = transformed(spark, sf_dir)
+    train, test = X.hash_split(data, K.ID_COLUMN)
+    rows = MD.compare_models(train, test, experiment="scaling", variant="scaled")
+    return spark.createDataFrame(rows, MD.COMPARISON_SCHEMA).select(*_NO_SECONDS)
+
+
+@query
+def q_pca_variance(spark, sf_dir):
+    from pyspark.ml import Pipeline
+    df, cats, nums = model_input(spark, sf_dir)
+    stages = S.feature_stages(cats, nums).getStages()[:-1] + [S.scaler("raw_features", "scaled_features")]
+    base_df = Pipeline(stages=stages).fit(df).transform(df)
+    ev = S.pca_fit(base_df, max(K.PCA_KS)).explainedVariance.toArray()
+    return spark.createDataFrame([(k, float(sum(ev[:k]))) for k in K.PCA_KS],
+                                 "k int, explained_variance double")
+
+
+def _experiment(spark, sf_dir, name):
+    df, cats, nums = model_input(spark, sf_dir)
+    return X.EXPERIMENTS[name](df, cats, nums).comparison.select(*_NO_SECONDS)
+
+
+@query
+def q_exp_class_weight(spark, sf_dir):
+    return _experiment(spark, sf_dir, "class_weight")
+
+
+@query
+def q_exp_scaling(spark, sf_dir):
+    return _experiment(spark, sf_dir, "scaling")
+
+
+@query
+def q_exp_pca(spark, sf_dir):
+    return _experiment(spark, sf_dir, "pca")
