@@ -34,11 +34,23 @@ class Report:
     tables: dict[str, DataFrame] = field(default_factory=dict)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Iterative fits parallelise by partition.  A model input with fewer
+    partitions than the cluster has task slots (a small table from a few
+    files) is spread by key hash first; a large input already has more splits
+    than slots and is left alone, so no shuffle is added at scale."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    key = [c for c in (K.ID_COLUMN,) if c in df.columns]
+    return df.repartition(slots, *key) if key else df.repartition(slots)
+
+
 def prepare(features: DataFrame, cats=None, nums=None, persist: bool = True):
     """Available model inputs, numerics cast to double, materialised (#8)."""
     cats, nums = available_features(features, cats, nums)
     df = numeric_as_double(features, nums)
-    return (materialize(df, "model-input") if persist else df), cats, nums
+    return (materialize(spread(df), "model-input") if persist else df), cats, nums
 
 
 def _split(df: DataFrame, split: str, key: str):
