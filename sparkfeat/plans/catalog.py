@@ -442,3 +442,22 @@ def q_exp_scaling(spark, sf_dir):
 @query
 def q_exp_pca(spark, sf_dir):
     return _experiment(spark, sf_dir, "pca")
+
+
+# ---------------------------------------------------------------- streaming
+@query
+def q_stream_features(spark, sf_dir):
+    """Incident rows land as parquet files; the streaming job applies the
+    statistics fitted on the same rows, so it must equal the batch job."""
+    from ..session import scratch_path
+    from ..streaming import stream_features
+    from .features import fit_feature_stats
+
+    source = scratch_path(spark, "stream-source")
+    incidents(spark, sf_dir).write.parquet(source)
+    raw = spark.read.parquet(source)
+    stats = fit_feature_stats(raw)
+    sink = scratch_path(spark, "stream-sink")
+    q = stream_features(spark, source, raw.schema, stats, sink)
+    q.awaitTermination()
+    return spark.read.parquet(sink)

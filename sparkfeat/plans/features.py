@@ -3,13 +3,16 @@
 Plan at scale (no shuffle of the large table):
   1. one GROUPING SETS job: per-value counts of STATE / COUNTY / cause /
      agency plus min/max of latitude and longitude; materialised (small);
-  2. the output query: scan -> codegen'd expressions -> broadcast joins of the
-     four count tables (size checked) and of the grid-cell counts (at most
-     21 x 21 rows by construction, computed by a broadcast sub-job).
+  2. the grid-cell counts over the fitted bins (at most 21 x 21 rows by
+     construction), materialised;
+  3. the output query: scan -> codegen'd expressions -> broadcast joins of the
+     four count tables (size checked) and of the cell counts.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,12 +21,15 @@ from ..functions import rules as R
 from ..functions import temporal as TM
 from ..operators.binning import apply_bins, equal_width_edges
 from ..operators.clean import drop_null_target, fill_constant, select_available
-from ..operators.frequency import attach_counts, cell_density
-from ..operators.lookup import MAX_BROADCAST_ROWS
-from ..operators.profile import profile
+from ..operators.frequency import attach_counts
+from ..operators.lookup import MAX_BROADCAST_ROWS, join_lookup
+from ..operators.profile import Profile, profile
+from ..session import materialize
 from ..sources.incidents import scan_incidents
 
 BIN_OUTPUTS = {"LATITUDE": "lat_bin", "LONGITUDE": "lon_bin"}
+# Proven bound on grid cells: 20 bins per axis plus the null bin.
+MAX_CELLS = (K.N_BINS + 1) ** 2
 
 
 def temporal_features(df: DataFrame, date_format: str | None = None) -> DataFrame:
@@ -70,19 +76,59 @@ def cause_and_risk_flags(df: DataFrame) -> DataFrame:
     })
 
 
-def engineer_features(raw: DataFrame, date_format: str | None = None,
-                      max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Raw incident rows -> feature table in declared column order."""
+@dataclass
+class FeatureStats:
+    """Whole-table statistics of the feature job, fitted once and applied to
+    any table with the incident columns (the same table, a test part, or a
+    stream of new files).  Lookup tables live in the shared checkpoint folder."""
+    edges: dict
+    profile: Profile
+    cells: DataFrame
+    cell_rows: int
+
+    @property
+    def frequencies(self) -> dict:
+        return {c: o for c, o in K.FREQUENCY_COLUMNS.items() if c in self.profile.counts}
+
+
+def _prepared(raw: DataFrame, date_format: str | None) -> DataFrame:
     base = scan_incidents(raw)
-    pre = categorical_fill(temporal_features(base, date_format).withColumn(
-        "geographic_region", R.region_of(F.col("LATITUDE"), F.col("LONGITUDE"))))
+    pre = temporal_features(base, date_format).withColumn(
+        "geographic_region", R.region_of(F.col("LATITUDE"), F.col("LONGITUDE")))
+    return categorical_fill(pre)
+
+
+def fit_feature_stats(raw: DataFrame, date_format: str | None = None) -> FeatureStats:
+    """Two passes over ``raw``: one GROUPING SETS aggregate (value counts and
+    coordinate ranges), then the grid-cell counts over the fitted bins (at most
+    21 x 21 rows).  Both results are small and materialised."""
+    pre = _prepared(raw, date_format)
     freq = {c: o for c, o in K.FREQUENCY_COLUMNS.items() if c in pre.columns}
     prof = profile(pre, list(freq), list(BIN_OUTPUTS))
     edges = {c: equal_width_edges(*prof.minmax[c], K.N_BINS) for c in BIN_OUTPUTS}
-
-    binned = apply_bins(pre, edges, BIN_OUTPUTS)
-    df = cause_and_risk_flags(attach_counts(binned, prof, freq, max_broadcast_rows))
-    max_cells = (K.N_BINS + 1) ** 2
-    df = cell_density(df, list(BIN_OUTPUTS.values()), "location_fire_density", max_cells,
-                      source=binned.select(*BIN_OUTPUTS.values()))
+    bins = list(BIN_OUTPUTS.values())
+    cells = materialize(apply_bins(pre.select(*BIN_OUTPUTS), edges, BIN_OUTPUTS)
+                        .groupBy(*bins).agg(F.count(F.lit(1)).alias("location_fire_density")), "cells")
+    return FeatureStats(edges, prof, cells, MAX_CELLS)
+
+
+def apply_feature_stats(raw: DataFrame, stats: FeatureStats, date_format: str | None = None,
+                        max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Feature table of ``raw`` with fitted statistics: a single map-side pass
+    of codegen'd expressions and broadcast lookups; works on batch and
+    streaming DataFrames alike.  Values never seen in the fitted table get a
+    null frequency and density 0."""
+    binned = apply_bins(_prepared(raw, date_format), stats.edges, BIN_OUTPUTS)
+    df = cause_and_risk_flags(attach_counts(binned, stats.profile, stats.frequencies, max_broadcast_rows))
+    df = join_lookup(df, stats.cells, list(BIN_OUTPUTS.values()), ["location_fire_density"],
+                     lookup_rows=stats.cell_rows)
+    df = df.withColumn("location_fire_density",
+                       F.coalesce(F.col("location_fire_density"), F.lit(0).cast("bigint")))
     return drop_null_target(select_available(df))
+
+
+def engineer_features(raw: DataFrame, date_format: str | None = None,
+                      max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Raw incident rows -> feature table in declared column order, every
+    whole-table statistic computed over ``raw`` itself (as the source job)."""
+    return apply_feature_stats(raw, fit_feature_stats(raw, date_format), date_format, max_broadcast_rows)

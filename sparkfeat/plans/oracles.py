@@ -134,6 +134,7 @@ SELECT FOD_ID,
   count(*) OVER (PARTITION BY coalesce(NWCG_REPORTING_AGENCY, 'Unknown')) AS agency_fire_frequency
 FROM base""")
 oracle("engineer_features", FEATURES)
+oracle("stream_features", FEATURES)
 
 # ---------------------------------------------------------------- filters, projections, fills
 oracle("drop_null_target", f"""WITH incidents AS ({ADAPTER})

@@ -71,14 +71,18 @@ def checkpoint(df):
     return df.checkpoint(eager=True)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new, unique folder name below the shared checkpoint folder."""
+    import uuid
+
+    return f"{checkpoint_dir(spark).rstrip('/')}/sparkfeat/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df, name: str):
     """Write ``df`` as parquet under the shared checkpoint folder and read it
     back.  Later jobs read the columnar copy (with column pruning and real file
     statistics) instead of recomputing the lineage, and the copy survives the
     loss of any executor."""
-    import uuid
-
-    base = checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/sparkfeat/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
