@@ -33,7 +33,10 @@ def lenient_timestamp(c: Column, dtype: T.DataType, fmt: str | None = None) -> C
     if isinstance(dtype, T.StringType):
         if fmt is None:
             return c.try_cast("timestamp_ntz")
-        return F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
+        # try_to_timestamp validates (null for bad text); the value itself is
+        # parsed without a zone, so wall-clock times never shift with DST.
+        return F.when(F.try_to_timestamp(c, F.lit(fmt)).isNotNull(),
+                      F.to_timestamp_ntz(c, F.lit(fmt)))
     raise TypeError(f"cannot parse a timestamp from {dtype.simpleString()} without a unit")
 
 

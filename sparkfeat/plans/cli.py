@@ -17,26 +17,39 @@ from ..sources.csv import read_csv
 from .experiments import EXPERIMENTS, run_experiment
 
 
-def main(argv=None):
+def parse_args(argv=None):
     p = argparse.ArgumentParser(description="Run a classifier experiment on the feature table.")
     p.add_argument("--dataset_directory", required=True)
     p.add_argument("--experiment", required=True, choices=sorted(EXPERIMENTS))
     p.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     p.add_argument("--split", default="hash", choices=["hash", "random"])
     p.add_argument("--output", default=None)
-    a = p.parse_args(argv)
-    spark = build_session("sparkfeat-experiments")
+    p.add_argument("--fit_on", default="all", choices=["all", "train"])
+    return p.parse_args(argv)
+
+
+def run(spark, a, **opts) -> dict:
+    """Run the chosen experiment; write (or show) and return its tables."""
     checkpoint_dir(spark)
     features = (read_csv(spark, a.dataset_directory) if a.format == "csv"
                 else spark.read.parquet(a.dataset_directory))
-    report = run_experiment(features, a.experiment, split=a.split)
+    report = run_experiment(features, a.experiment, split=a.split, fit_on=a.fit_on, **opts)
     tables = {"comparison": report.comparison, **report.tables}
     for name, df in tables.items():
         if a.output:
             df.write.mode("overwrite").parquet(f"{a.output}/{a.experiment}/{name}")
         else:
             df.show(50, truncate=False)
-    spark.stop()
+    return tables
+
+
+def main(argv=None):
+    a = parse_args(argv)
+    spark = build_session("sparkfeat-experiments")
+    try:
+        run(spark, a)
+    finally:
+        spark.stop()
 
 
 if __name__ == "__main__":

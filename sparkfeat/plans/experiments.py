@@ -35,28 +35,46 @@ class Report:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Iterative fits parallelise by partition.  A model input with fewer
-    partitions than the cluster has task slots (a small table from a few
-    files) is spread by key hash first; a large input already has more splits
-    than slots and is left alone, so no shuffle is added at scale."""
+    """Iterative fits parallelise by partition.  ``df`` must be a plain file
+    scan (counting its splits then runs nothing).  Fewer splits than task
+    slots means the table is small (under slots x maxPartitionBytes), so it is
+    spread by key hash and written again, which is cheap exactly when it
+    happens; a large table already has more splits than slots and is returned
+    as is."""
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= slots:
         return df
     key = [c for c in (K.ID_COLUMN,) if c in df.columns]
-    return df.repartition(slots, *key) if key else df.repartition(slots)
+    return materialize(df.repartition(slots, *key) if key else df.repartition(slots), "spread")
 
 
 def prepare(features: DataFrame, cats=None, nums=None, persist: bool = True):
     """Available model inputs, numerics cast to double, materialised (#8)."""
     cats, nums = available_features(features, cats, nums)
     df = numeric_as_double(features, nums)
-    return (materialize(spread(df), "model-input") if persist else df), cats, nums
+    return (spread(materialize(df, "model-input")) if persist else df), cats, nums
 
 
 def _split(df: DataFrame, split: str, key: str):
     return hash_split(df, key) if split == "hash" else random_split(df)
 
 
+def _fit_transform(pipeline, df: DataFrame, split: str, key: str, fit_on: str):
+    """Fit the feature stages and split.  ``fit_on='all'`` fits on every row
+    before the split (the source job's behaviour); ``fit_on='train'`` splits
+    first and fits imputer, indexers and scaler on the training part only, so
+    no test statistics leak into the features."""
+    if fit_on == "all":
+        model = pipeline.fit(df)
+        train, test = _split(model.transform(df), split, key)
+        return model, model.transform(df), train, test
+    if fit_on != "train":
+        raise ValueError("fit_on must be 'all' or 'train'")
+    raw_train, raw_test = _split(df, split, key)
+    model = pipeline.fit(raw_train)
+    return model, model.transform(df), model.transform(raw_train), model.transform(raw_test)
+
+
 @contextmanager
 def persisted(*dfs: DataFrame):
     """Cache around repeated fits; released even when a fit fails (#60)."""
@@ -74,15 +92,15 @@ def _report(spark: SparkSession, rows: list[tuple], tables=None) -> Report:
 
 
 def class_weight_experiment(df: DataFrame, cats: list[str], nums: list[str], *, split: str = "hash",
-                            key: str = K.ID_COLUMN, params: dict | None = None) -> Report:
+                            key: str = K.ID_COLUMN, params: dict | None = None,
+                            fit_on: str = "all") -> Report:
     """Baseline RF / DT / LR, RF details (confusion, per-class metrics,
     importances), then the same models trained with balanced class weights
     computed on the training part; the test part stays unweighted (#55)."""
     spark = df.sparkSession
-    model = feature_stages(cats, nums, label_order="alphabetAsc", handle_invalid="keep").fit(df)
+    stages = feature_stages(cats, nums, label_order="alphabetAsc", handle_invalid="keep")
+    model, data, train, test = _fit_transform(stages, df, split, key, fit_on)
     labels = fitted_labels(model)
-    data = model.transform(df)
-    train, test = _split(data, split, key)
     with persisted(train, test):
         n_train, n_test = train.count(), test.count()
         common = dict(experiment="class_weight", train_rows=n_train, test_rows=n_test, params=params)
@@ -102,13 +120,13 @@ def class_weight_experiment(df: DataFrame, cats: list[str], nums: list[str], *,
 
 
 def scaling_experiment(df: DataFrame, cats: list[str], nums: list[str], *, split: str = "hash",
-                       key: str = K.ID_COLUMN, params: dict | None = None) -> Report:
+                       key: str = K.ID_COLUMN, params: dict | None = None,
+                       fit_on: str = "all") -> Report:
     """All four models with and without standard scaling (#56)."""
     spark = df.sparkSession
     rows = []
     for scaled in (True, False):
-        data = feature_stages(cats, nums, scaling=scaled).fit(df).transform(df)
-        train, test = _split(data, split, key)
+        _, _, train, test = _fit_transform(feature_stages(cats, nums, scaling=scaled), df, split, key, fit_on)
         with persisted(train, test):
             rows += compare_models(train, test, experiment="scaling",
                                    variant="scaled" if scaled else "unscaled",
@@ -117,7 +135,8 @@ def scaling_experiment(df: DataFrame, cats: list[str], nums: list[str], *, split
 
 
 def pca_experiment(df: DataFrame, cats: list[str], nums: list[str], *, ks=K.PCA_KS,
-                   split: str = "hash", key: str = K.ID_COLUMN, params: dict | None = None) -> Report:
+                   split: str = "hash", key: str = K.ID_COLUMN, params: dict | None = None,
+                   fit_on: str = "all") -> Report:
     """PCA on the scaled features for each k, all four models per k (#57).
 
     PCA is fitted once at the largest k: principal components and explained
@@ -127,9 +146,10 @@ def pca_experiment(df: DataFrame, cats: list[str], nums: list[str], *, ks=K.PCA_
     stages = feature_stages(cats, nums).getStages()[:-1] + [scaler("raw_features", "scaled_features")]
     from pyspark.ml import Pipeline
 
-    base = Pipeline(stages=stages).fit(df).transform(df)
+    fit_rows = df if fit_on == "all" else _split(df, split, key)[0]
+    base = Pipeline(stages=stages).fit(fit_rows).transform(df)
     kmax = max(ks)
-    pca = pca_fit(base, kmax, out="pca_all")
+    pca = pca_fit(base if fit_on == "all" else _split(base, split, key)[0], kmax, out="pca_all")
     variance = [float(v) for v in pca.explainedVariance.toArray()]
     projected = materialize(pca.transform(base).drop("raw_features", "scaled_features"), "pca")
     rows, var_rows = [], []
