@@ -347,9 +347,9 @@ def transformed(spark, sf_dir, **opts):
 
 
 def _class_weight_parts(spark, sf_dir):
-    model, data = transformed(spark, sf_dir, label_order="alphabetAsc", handle_invalid="keep")
-    train, test = X.hash_split(data, K.ID_COLUMN)
-    return model, data, train, test
+    df, cats, nums = model_input(spark, sf_dir)
+    stages = S.feature_stages(cats, nums, label_order="alphabetAsc", handle_invalid="keep")
+    return X._fit_transform(stages, df, "hash", K.ID_COLUMN, "all")
 
 
 @query
@@ -407,8 +407,8 @@ def q_top_importances(spark, sf_dir):
 
 @query
 def q_compare_models(spark, sf_dir):
-    _, data = transformed(spark, sf_dir)
-    train, test = X.hash_split(data, K.ID_COLUMN)
+    df, cats, nums = model_input(spark, sf_dir)
+    _, _, train, test = X._fit_transform(S.feature_stages(cats, nums), df, "hash", K.ID_COLUMN, "all")
     rows = MD.compare_models(train, test, experiment="scaling", variant="scaled")
     return spark.createDataFrame(rows, MD.COMPARISON_SCHEMA).select(*_NO_SECONDS)
 

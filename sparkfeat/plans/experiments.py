@@ -34,6 +34,9 @@ class Report:
     tables: dict[str, DataFrame] = field(default_factory=dict)
 
 
+MIN_ROWS_PER_FIT_TASK = 20_000
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Iterative fits parallelise by partition.  ``df`` must be a plain file
     scan (counting its splits then runs nothing).  Fewer splits than task
@@ -42,10 +45,16 @@ def spread(df: DataFrame) -> DataFrame:
     happens; a large table already has more splits than slots and is returned
     as is."""
     slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    parts = df.rdd.getNumPartitions()
+    if parts >= slots:
+        return df
+    # Below ~20k rows per task, per-iteration task overhead outweighs the
+    # parallel work of an iterative fit.
+    want = min(slots, max(1, df.count() // MIN_ROWS_PER_FIT_TASK))
+    if want <= parts:
         return df
     key = [c for c in (K.ID_COLUMN,) if c in df.columns]
-    return materialize(df.repartition(slots, *key) if key else df.repartition(slots), "spread")
+    return materialize(df.repartition(want, *key) if key else df.repartition(want), "spread")
 
 
 def prepare(features: DataFrame, cats=None, nums=None, persist: bool = True):
@@ -59,6 +68,12 @@ def _split(df: DataFrame, split: str, key: str):
     return hash_split(df, key) if split == "hash" else random_split(df)
 
 
+def model_columns(df: DataFrame, key: str = K.ID_COLUMN, features: str = "features") -> DataFrame:
+    """Only what the fits read: key, label, target (for the binary label) and
+    the feature vector; cached parts then hold no intermediate columns."""
+    return df.select(*[c for c in (key, "label", K.TARGET, features) if c in df.columns])
+
+
 def _fit_transform(pipeline, df: DataFrame, split: str, key: str, fit_on: str):
     """Fit the feature stages and split.  ``fit_on='all'`` fits on every row
     before the split (the source job's behaviour); ``fit_on='train'`` splits
@@ -66,13 +81,14 @@ def _fit_transform(pipeline, df: DataFrame, split: str, key: str, fit_on: str):
     no test statistics leak into the features."""
     if fit_on == "all":
         model = pipeline.fit(df)
-        train, test = _split(model.transform(df), split, key)
+        train, test = _split(model_columns(model.transform(df), key), split, key)
         return model, model.transform(df), train, test
     if fit_on != "train":
         raise ValueError("fit_on must be 'all' or 'train'")
     raw_train, raw_test = _split(df, split, key)
     model = pipeline.fit(raw_train)
-    return model, model.transform(df), model.transform(raw_train), model.transform(raw_test)
+    return (model, model.transform(df), model_columns(model.transform(raw_train), key),
+            model_columns(model.transform(raw_test), key))
 
 
 @contextmanager
@@ -151,7 +167,7 @@ def pca_experiment(df: DataFrame, cats: list[str], nums: list[str], *, ks=K.PCA_
     kmax = max(ks)
     pca = pca_fit(base if fit_on == "all" else _split(base, split, key)[0], kmax, out="pca_all")
     variance = [float(v) for v in pca.explainedVariance.toArray()]
-    projected = materialize(pca.transform(base).drop("raw_features", "scaled_features"), "pca")
+    projected = materialize(model_columns(pca.transform(base), key, "pca_all"), "pca")
     rows, var_rows = [], []
     for k in ks:
         var_rows.append((k, sum(variance[:k])))
