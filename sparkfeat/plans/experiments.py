@@ -75,20 +75,26 @@ def model_columns(df: DataFrame, key: str = K.ID_COLUMN, features: str = "featur
 
 
 def _fit_transform(pipeline, df: DataFrame, split: str, key: str, fit_on: str):
-    """Fit the feature stages and split.  ``fit_on='all'`` fits on every row
-    before the split (the source job's behaviour); ``fit_on='train'`` splits
-    first and fits imputer, indexers and scaler on the training part only, so
-    no test statistics leak into the features."""
+    """Fit the feature stages, transform, split.
+
+    ``fit_on='all'`` fits on every row before the split (the source job's
+    behaviour); ``fit_on='train'`` splits first and fits imputer, indexers and
+    scaler on the training part only, so no test statistics leak into the
+    features.  The transformed model columns are written once to the shared
+    checkpoint folder: every later fit pass (tree metadata, split finding,
+    iterations) reads that copy instead of re-running the transforms."""
     if fit_on == "all":
         model = pipeline.fit(df)
-        train, test = _split(model_columns(model.transform(df), key), split, key)
+        data = materialize(model_columns(model.transform(df), key), "model-data")
+        train, test = _split(data, split, key)
         return model, model.transform(df), train, test
     if fit_on != "train":
         raise ValueError("fit_on must be 'all' or 'train'")
     raw_train, raw_test = _split(df, split, key)
     model = pipeline.fit(raw_train)
-    return (model, model.transform(df), model_columns(model.transform(raw_train), key),
-            model_columns(model.transform(raw_test), key))
+    train = materialize(model_columns(model.transform(raw_train), key), "model-train")
+    test = materialize(model_columns(model.transform(raw_test), key), "model-test")
+    return model, model.transform(df), train, test
 
 
 @contextmanager
