@@ -19,13 +19,39 @@ _MICROS_PER_DAY = 86_400_000_000.0
 _NUMBER = r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)\s*$"
 
 
-def lenient_timestamp(c: Column, dtype: T.DataType, fmt: str | None = None) -> Column:
+# Microseconds per numeric unit, and the offset of the Julian day count.
+_UNIT_MICROS = {"D": 86_400_000_000, "s": 1_000_000, "ms": 1_000, "us": 1}
+_JULIAN_UNIX_EPOCH = 2440587.5
+
+
+def _from_number(c: Column, unit: str) -> Column:
+    """``timestamp_ntz`` from a number of ``unit`` since 1970-01-01
+    (``'julian'``: a Julian day number), without any time zone."""
+    if unit == "julian":
+        days, per = c.cast("double") - F.lit(_JULIAN_UNIX_EPOCH), _UNIT_MICROS["D"]
+    elif unit in _UNIT_MICROS:
+        days, per = c.cast("double"), _UNIT_MICROS[unit]
+    else:
+        raise ValueError(f"unknown unit {unit!r}")
+    micros = F.round(days * F.lit(float(per))).cast("bigint")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", micros, epoch)
+
+
+def lenient_timestamp(c: Column, dtype: T.DataType, fmt: str | None = None,
+                      unit: str | None = None) -> Column:
     """Timestamp from ``c``; unparsable text becomes null (``errors='coerce'``).
 
     Timestamps pass through, dates widen to ``timestamp_ntz``.  Text is parsed
     without a time zone (``timestamp_ntz``) so day arithmetic never crosses a
-    daylight-saving shift.  Numbers are refused: their unit is ambiguous.
+    daylight-saving shift.  Numbers need an explicit ``unit`` ('julian', 'D',
+    's', 'ms', 'us'); without one they are refused, since reading them as
+    nanoseconds would put every row in January 1970.
     """
+    if isinstance(dtype, T.NumericType):
+        if unit is None:
+            raise TypeError(f"cannot parse a timestamp from {dtype.simpleString()} without a unit")
+        return _from_number(c, unit)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return c
     if isinstance(dtype, T.DateType):

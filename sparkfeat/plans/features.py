@@ -32,10 +32,13 @@ BIN_OUTPUTS = {"LATITUDE": "lat_bin", "LONGITUDE": "lon_bin"}
 MAX_CELLS = (K.N_BINS + 1) ** 2
 
 
-def temporal_features(df: DataFrame, date_format: str | None = None) -> DataFrame:
-    """Month, weekday, season, duration, decade, flags and hour (#18-#25)."""
-    disc = TM.lenient_timestamp(F.col("DISCOVERY_DATE"), df.schema["DISCOVERY_DATE"].dataType, date_format)
-    cont = TM.lenient_timestamp(F.col("CONT_DATE"), df.schema["CONT_DATE"].dataType, date_format)
+def temporal_features(df: DataFrame, date_format: str | None = None,
+                      date_unit: str | None = None) -> DataFrame:
+    """Month, weekday, season, duration, decade, flags and hour (#18-#25).
+    ``date_format`` parses text dates, ``date_unit`` numeric ones ('julian', ...)."""
+    disc = TM.lenient_timestamp(F.col("DISCOVERY_DATE"), df.schema["DISCOVERY_DATE"].dataType,
+                                date_format, date_unit)
+    cont = TM.lenient_timestamp(F.col("CONT_DATE"), df.schema["CONT_DATE"].dataType, date_format, date_unit)
     df = df.withColumns({"DISCOVERY_DATE": disc, "CONT_DATE": cont})
     month = F.col("discovery_month")
     df = df.withColumns({
@@ -91,18 +94,19 @@ class FeatureStats:
         return {c: o for c, o in K.FREQUENCY_COLUMNS.items() if c in self.profile.counts}
 
 
-def _prepared(raw: DataFrame, date_format: str | None) -> DataFrame:
+def _prepared(raw: DataFrame, date_format: str | None, date_unit: str | None = None) -> DataFrame:
     base = scan_incidents(raw)
-    pre = temporal_features(base, date_format).withColumn(
+    pre = temporal_features(base, date_format, date_unit).withColumn(
         "geographic_region", R.region_of(F.col("LATITUDE"), F.col("LONGITUDE")))
     return categorical_fill(pre)
 
 
-def fit_feature_stats(raw: DataFrame, date_format: str | None = None) -> FeatureStats:
+def fit_feature_stats(raw: DataFrame, date_format: str | None = None,
+                      date_unit: str | None = None) -> FeatureStats:
     """Two passes over ``raw``: one GROUPING SETS aggregate (value counts and
     coordinate ranges), then the grid-cell counts over the fitted bins (at most
     21 x 21 rows).  Both results are small and materialised."""
-    pre = _prepared(raw, date_format)
+    pre = _prepared(raw, date_format, date_unit)
     freq = {c: o for c, o in K.FREQUENCY_COLUMNS.items() if c in pre.columns}
     prof = profile(pre, list(freq), list(BIN_OUTPUTS))
     edges = {c: equal_width_edges(*prof.minmax[c], K.N_BINS) for c in BIN_OUTPUTS}
@@ -113,12 +117,13 @@ def fit_feature_stats(raw: DataFrame, date_format: str | None = None) -> Feature
 
 
 def apply_feature_stats(raw: DataFrame, stats: FeatureStats, date_format: str | None = None,
-                        max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                        max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                        date_unit: str | None = None) -> DataFrame:
     """Feature table of ``raw`` with fitted statistics: a single map-side pass
     of codegen'd expressions and broadcast lookups; works on batch and
     streaming DataFrames alike.  Values never seen in the fitted table get a
     null frequency and density 0."""
-    binned = apply_bins(_prepared(raw, date_format), stats.edges, BIN_OUTPUTS)
+    binned = apply_bins(_prepared(raw, date_format, date_unit), stats.edges, BIN_OUTPUTS)
     df = cause_and_risk_flags(attach_counts(binned, stats.profile, stats.frequencies, max_broadcast_rows))
     df = join_lookup(df, stats.cells, list(BIN_OUTPUTS.values()), ["location_fire_density"],
                      lookup_rows=stats.cell_rows)
@@ -128,7 +133,10 @@ def apply_feature_stats(raw: DataFrame, stats: FeatureStats, date_format: str |
 
 
 def engineer_features(raw: DataFrame, date_format: str | None = None,
-                      max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                      max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                      date_unit: str | None = None) -> DataFrame:
     """Raw incident rows -> feature table in declared column order, every
-    whole-table statistic computed over ``raw`` itself (as the source job)."""
-    return apply_feature_stats(raw, fit_feature_stats(raw, date_format), date_format, max_broadcast_rows)
+    whole-table statistic computed over ``raw`` itself (as the source job).
+    Numeric date columns (e.g. Julian day numbers) need ``date_unit``."""
+    stats = fit_feature_stats(raw, date_format, date_unit)
+    return apply_feature_stats(raw, stats, date_format, max_broadcast_rows, date_unit)

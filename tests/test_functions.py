@@ -68,3 +68,28 @@ def test_flags_and_lookup(spark):
     assert got == ["B", "C", "N/A", "N/A"]
     df = spark.createDataFrame([("C",), ("A",), (None,)], "c string")
     assert [r[0] for r in df.select(R.binary_target(F.col("c"))).collect()] == [1.0, 0.0, 0.0]
+
+
+def test_numeric_dates_need_a_unit(spark):
+    import pytest
+    from pyspark.sql import types as T
+
+    df = spark.createDataFrame([(2453403.5,), (None,)], "d double")
+    with pytest.raises(TypeError):
+        TM.lenient_timestamp(F.col("d"), T.DoubleType())
+    got = [r[0] for r in df.select(TM.lenient_timestamp(F.col("d"), T.DoubleType(), unit="julian")).collect()]
+    assert got == [dt.datetime(2005, 2, 2), None]
+    df = spark.createDataFrame([(86400.0 * 3 + 3600,)], "s double")
+    assert df.select(TM.lenient_timestamp(F.col("s"), T.DoubleType(), unit="s")).first()[0] == \
+        dt.datetime(1970, 1, 4, 1)
+
+
+def test_available_features_and_session_conf(spark):
+    from sparkfeat.operators.clean import available_features
+    from sparkfeat.session import configure
+
+    df = spark.createDataFrame([("x", 1.0, "y")], "season string, LATITUDE double, other string")
+    assert available_features(df) == (["season"], ["LATITUDE"])
+    configure(spark)
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
