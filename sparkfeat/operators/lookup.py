@@ -51,8 +51,18 @@ def join_lookup(df: DataFrame, lookup: DataFrame, keys: list[str], values: list[
     weight = F.col(row_counts)
     hot = lookup.where(weight >= threshold).select(
         *keys, *[F.col(v).alias(f"__hot_{v}") for v in values], F.lit(True).alias("__hot"))
-    cold = lookup.where(weight < threshold).select(
-        *keys, *[F.col(v).alias(f"__cold_{v}") for v in values], F.lit(0).alias("__salt"))
+
+    def join_key(salt):
+        # One struct key (keys..., salt): the optimizer cannot fold the cold
+        # side's constant salt out of it, so the shuffle hashes key and salt.
+        return F.struct(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+                        salt.cast("int").alias("__salt")).alias("__jk")
+
+    cold_keys = F.lit(True)
+    for k in keys:
+        cold_keys = cold_keys & F.col(k).isNotNull()
+    cold = lookup.where((weight < threshold) & cold_keys).select(
+        join_key(F.lit(0)), *[F.col(v).alias(f"__cold_{v}") for v in values])
 
     x = df.join(F.broadcast(hot), keys, "left")
     any_null_key = F.lit(False)
@@ -63,7 +73,6 @@ def join_lookup(df: DataFrame, lookup: DataFrame, keys: list[str], values: list[
     salt = F.when(F.coalesce(F.col("__hot"), F.lit(False)) | any_null_key,
                   F.lit(1) + F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]),
                                     F.lit(salt_buckets))).otherwise(F.lit(0))
-    x = x.withColumn("__salt", salt.cast("int"))
-    y = x.join(cold, keys + ["__salt"], "left")
+    y = x.withColumn("__jk", join_key(salt)).join(cold, "__jk", "left")
     return y.select(*df.columns,
                     *[F.coalesce(F.col(f"__hot_{v}"), F.col(f"__cold_{v}")).alias(v) for v in values])

@@ -52,3 +52,20 @@ def test_cell_density_null_cell_is_zero(spark):
     df = spark.createDataFrame([(1, 0, 0), (2, 0, 0), (3, 1, None), (4, 1, 2)], "id long, a int, b int")
     got = {r["id"]: r["d"] for r in cell_density(df, ["a", "b"], "d", 441).collect()}
     assert got == {1: 2, 2: 2, 3: 0, 4: 1}
+
+
+def test_salted_path_spreads_hot_key(spark):
+    """The one-third hot key must not land in a single shuffle partition."""
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = _skewed(spark, 6000)
+        out = frequency_encode(df, {"k": "kf"}, max_broadcast_rows=3)
+        sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p"))
+                 .agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert sum(sizes) == 6000
+        assert max(sizes) < 0.25 * 6000, sizes
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
