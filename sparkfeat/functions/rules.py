@@ -27,27 +27,36 @@ def threshold_flag(c: Column, lo) -> Column:
     return F.coalesce((c >= F.lit(lo)).cast("int"), F.lit(0))
 
 
+def case(branches, default=None) -> Column:
+    """One flat ``CASE WHEN c1 THEN v1 WHEN c2 THEN v2 ... ELSE default END``
+    (a single expression, not a nest of CASEs), first match wins."""
+    branches = list(branches)
+    if not branches:
+        return F.lit(default)
+    out = F.when(*branches[0])
+    for cond, value in branches[1:]:
+        out = out.when(cond, value)
+    return out if default is None else out.otherwise(F.lit(default))
+
+
 def lookup(c: Column, mapping: dict, default=None) -> Column:
-    """Dictionary lookup as a CASE chain; unmatched (and null) -> ``default``."""
-    out = F.lit(default)
-    for k, v in reversed(list(mapping.items())):
-        out = F.when(c == F.lit(k), F.lit(v)).otherwise(out)
-    return out
+    """Dictionary lookup as one CASE; unmatched (and null) -> ``default``."""
+    return case(((c == F.lit(k), F.lit(v)) for k, v in mapping.items()), default)
 
 
 def region_of(lat: Column, lon: Column, rules=None, default: str | None = None) -> Column:
     """First matching (name, min latitude, max longitude) rule; else ``default``."""
     rules = K.REGION_RULES if rules is None else rules
     default = K.REGION_DEFAULT if default is None else default
-    out = F.lit(default)
-    for name, min_lat, max_lon in reversed(rules):
+    branches = []
+    for name, min_lat, max_lon in rules:
         cond = F.lit(True)
         if min_lat is not None:
             cond = cond & (lat >= F.lit(min_lat))
         if max_lon is not None:
             cond = cond & (lon <= F.lit(max_lon))
-        out = F.when(cond, F.lit(name)).otherwise(out)
-    return out
+        branches.append((cond, F.lit(name)))
+    return case(branches, default)
 
 
 def decode_label(code: Column, labels: list[str], default: str = K.MISSING_LABEL_NAME) -> Column:

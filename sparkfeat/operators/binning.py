@@ -37,10 +37,12 @@ def bin_expr(c: Column, edges: list[float] | None) -> Column:
     """Bin id ``k`` for ``edges[k] < c <= edges[k+1]``; outside, null or NaN -> null."""
     if edges is None:
         return F.lit(None).cast("int")
-    out = F.lit(None).cast("int")
-    for k in reversed(range(len(edges) - 1)):
-        out = F.when(c <= F.lit(edges[k + 1]), F.lit(k)).otherwise(out)
-    return F.when(c <= F.lit(edges[0]), F.lit(None).cast("int")).otherwise(out)
+    # One flat CASE: at or below the first edge -> null, then the first edge
+    # at or above c names the bin; above the last edge, null or NaN -> null.
+    out = F.when(c <= F.lit(edges[0]), F.lit(None).cast("int"))
+    for k in range(len(edges) - 1):
+        out = out.when(c <= F.lit(edges[k + 1]), F.lit(k))
+    return out
 
 
 def fit_equal_width(df: DataFrame, cols: list[str], n_bins: int = K.N_BINS) -> dict[str, list]:
