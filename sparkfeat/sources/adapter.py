@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.rules import case
+
 # FIXED VALUES: cause name by (order key mod 13); 12 -> null.
 CAUSE_BY_MOD13 = [
     "Lightning", "Equipment Use", "Smoking", "Campfire", "Debris Burning",
@@ -52,12 +54,8 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, cust, okey_cust = F.col("o_orderkey"), F.col("c_custkey"), F.col("o_custkey")
     price = F.col("o_totalprice")
 
-    cause = F.lit(None).cast("string")
-    for i in reversed(range(len(CAUSE_BY_MOD13))):
-        cause = F.when(key % 13 == i, F.lit(CAUSE_BY_MOD13[i])).otherwise(cause)
-    size_class = F.lit("G")
-    for name, bound in reversed(CLASS_BOUNDS):
-        size_class = F.when(price < bound, F.lit(name)).otherwise(size_class)
+    cause = case((key % 13 == i, F.lit(name)) for i, name in enumerate(CAUSE_BY_MOD13))
+    size_class = case(((price < bound, F.lit(name)) for name, bound in CLASS_BOUNDS), "G")
     hhmm = ((key * 37) % 25) * 100 + (key * 13) % 60
 
     return j.select(
