@@ -195,10 +195,10 @@ RANK = """r AS (SELECT FIRE_SIZE_CLASS, CAST(row_number() OVER (ORDER BY count(*
            FROM base GROUP BY 1),
 p AS (SELECT FOD_ID, label, CAST(FOD_ID % 3 AS DOUBLE) AS prediction FROM base JOIN r USING (FIRE_SIZE_CLASS))"""
 COUNTS = """m AS (SELECT r.label AS code, r.FIRE_SIZE_CLASS AS class,
-    CAST(count(*) FILTER (WHERE p.label = r.label AND p.prediction = r.label) AS DOUBLE) AS tp,
-    CAST(count(*) FILTER (WHERE p.label <> r.label AND p.prediction = r.label) AS DOUBLE) AS fp,
-    CAST(count(*) FILTER (WHERE p.label = r.label AND p.prediction <> r.label) AS DOUBLE) AS fn
-  FROM r, p GROUP BY 1, 2),
+    CAST((SELECT count(*) FROM p WHERE p.label = r.label AND p.prediction = r.label) AS DOUBLE) AS tp,
+    CAST((SELECT count(*) FROM p WHERE p.label <> r.label AND p.prediction = r.label) AS DOUBLE) AS fp,
+    CAST((SELECT count(*) FROM p WHERE p.label = r.label AND p.prediction <> r.label) AS DOUBLE) AS fn
+  FROM r),
 s AS (SELECT class, tp, fn,
     CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS precision,
     CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END AS recall FROM m),
