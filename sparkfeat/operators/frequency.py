@@ -22,6 +22,7 @@ def attach_counts(df: DataFrame, prof: Profile, outputs: dict[str, str],
         lk = prof.counts[c].withColumnRenamed("n", out)
         df = join_lookup(df, lk, [c], [out], lookup_rows=prof.count_rows[c],
                          row_counts=out, total_rows=prof.total_rows,
+                         key_bytes=prof.key_bytes.get(c, 0),
                          max_broadcast_rows=max_broadcast_rows)
     return df
 

@@ -14,9 +14,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Lookups up to this many rows are broadcast (a few tens of MB at most for
-# key + count rows).  Larger lookups take the salted shuffle path.
+# Lookups are broadcast only under both bounds: rows, and estimated bytes
+# (rows x (widest key + fixed per-row overhead for values and hashing)).
+# Larger lookups take the salted shuffle path.
 MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+ROW_OVERHEAD_BYTES = 64
 SALT_BUCKETS = 64
 
 
@@ -26,8 +29,9 @@ def _restore(df_cols: list[str], joined: DataFrame, values: list[str]) -> DataFr
 
 def join_lookup(df: DataFrame, lookup: DataFrame, keys: list[str], values: list[str], *,
                 lookup_rows: int | None = None, row_counts: str | None = None,
-                total_rows: int | None = None,
+                total_rows: int | None = None, key_bytes: int = 0,
                 max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
                 salt_buckets: int = SALT_BUCKETS) -> DataFrame:
     """Left join ``lookup`` (unique on ``keys``) onto ``df``; keep ``df``'s
     column order and append ``values``.
@@ -36,18 +40,21 @@ def join_lookup(df: DataFrame, lookup: DataFrame, keys: list[str], values: list[
     is None the lookup is counted, so pass a materialised lookup.
     ``row_counts`` names a lookup column holding each key's row count in
     ``df`` (needed for the skew-safe path, together with ``total_rows``).
+    ``key_bytes`` is the widest key in bytes (0 for fixed-width keys).
     """
     lk = lookup.select(*keys, *values)
     n = lookup.count() if lookup_rows is None else lookup_rows
-    if n <= max_broadcast_rows:
+    if n <= max_broadcast_rows and n * (key_bytes + ROW_OVERHEAD_BYTES) <= max_broadcast_bytes:
         return _restore(df.columns, df.join(F.broadcast(lk), keys, "left"), values)
     if row_counts is None or total_rows is None:
         # No per-key weights known: a plain shuffle join; adaptive execution
         # splits skewed partitions of the large (left) side.
         return _restore(df.columns, df.join(lk, keys, "left"), values)
 
-    # Hot keys: at most total_rows / threshold <= max_broadcast_rows of them.
-    threshold = max(1, -(-total_rows // max_broadcast_rows))
+    # Hot keys: at most total_rows / threshold <= cap of them, where the cap
+    # keeps the broadcast of hot keys under both bounds.
+    cap = max(1, min(max_broadcast_rows, max_broadcast_bytes // (key_bytes + ROW_OVERHEAD_BYTES)))
+    threshold = max(1, -(-total_rows // cap))
     weight = F.col(row_counts)
     hot = lookup.where(weight >= threshold).select(
         *keys, *[F.col(v).alias(f"__hot_{v}") for v in values], F.lit(True).alias("__hot"))

@@ -24,6 +24,7 @@ class Profile:
     minmax: dict[str, tuple] = field(default_factory=dict)
     counts: dict[str, DataFrame] = field(default_factory=dict)   # col -> (col, n)
     count_rows: dict[str, int] = field(default_factory=dict)     # distinct keys per col
+    key_bytes: dict[str, int] = field(default_factory=dict)      # longest key (as text) per col
 
 
 def _finite(df: DataFrame, c: str):
@@ -51,8 +52,10 @@ def profile(df: DataFrame, count_cols: list[str] = (), minmax_cols: list[str] =
 
     all_bits = (1 << n) - 1
     gid = {c: all_bits - (1 << (n - 1 - i)) for i, c in enumerate(count_cols)}
+    widest = F.greatest(*[F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) for c in count_cols]) \
+        if len(count_cols) > 1 else F.coalesce(F.length(F.col(count_cols[0]).cast("string")), F.lit(0))
     summary = {r["__gid"]: r for r in table.groupBy("__gid").agg(
-        F.count(F.lit(1)).alias("keys"),
+        F.count(F.lit(1)).alias("keys"), F.max(widest).alias("key_bytes"),
         *[F.min(f"__min_{c}").alias(f"__min_{c}") for c in minmax_cols],
         *[F.max(f"__max_{c}").alias(f"__max_{c}") for c in minmax_cols],
         F.sum("__n").alias("rows")).collect()}
@@ -62,4 +65,5 @@ def profile(df: DataFrame, count_cols: list[str] = (), minmax_cols: list[str] =
     for c in count_cols:
         prof.counts[c] = table.where(F.col("__gid") == gid[c]).select(c, F.col("__n").alias("n"))
         prof.count_rows[c] = summary[gid[c]]["keys"] if gid[c] in summary else 0
+        prof.key_bytes[c] = (summary[gid[c]]["key_bytes"] or 0) if gid[c] in summary else 0
     return prof

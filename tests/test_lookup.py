@@ -69,3 +69,19 @@ def test_salted_path_spreads_hot_key(spark):
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
+
+
+def test_wide_keys_take_the_shuffle_path(spark):
+    """Few rows but long keys: the byte bound, not the row bound, decides."""
+    from sparkfeat.operators.profile import profile
+
+    rows = [(i, ("x" * 5000) + str(i % 50)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, k string")
+    prof = profile(df, ["k"])
+    assert prof.count_rows["k"] == 50 and prof.key_bytes["k"] >= 5000
+    lk = prof.counts["k"].withColumnRenamed("n", "kf")
+    out = join_lookup(df, lk, ["k"], ["kf"], lookup_rows=50, row_counts="kf", total_rows=2000,
+                      key_bytes=prof.key_bytes["k"], max_broadcast_bytes=100_000)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "__jk" in plan                       # salted shuffle path chosen
+    assert {r["kf"] for r in out.collect()} == {40}
