@@ -461,3 +461,22 @@ def q_stream_features(spark, sf_dir):
     q = stream_features(spark, source, raw.schema, stats, sink)
     q.awaitTermination()
     return spark.read.parquet(sink)
+
+
+# ---------------------------------------------------------------- random-forest details (rows-only)
+def _rf_predictions(spark, sf_dir):
+    model, _, train, test = _class_weight_parts(spark, sf_dir)
+    _, pred = MD.fit_score(MD.classifier("RandomForest"), train, test)
+    return pred, S.fitted_labels(model)
+
+
+@query
+def q_rf_confusion(spark, sf_dir):
+    pred, labels = _rf_predictions(spark, sf_dir)
+    return M.confusion_wide(pred, labels)
+
+
+@query
+def q_rf_per_class(spark, sf_dir):
+    pred, labels = _rf_predictions(spark, sf_dir)
+    return M.per_class_metrics(pred, labels)
