@@ -53,3 +53,18 @@ def numeric_as_double(df: DataFrame, nums: list[str]) -> DataFrame:
     null (``try_cast``), so e.g. ``FIPS_CODE`` text '063' becomes 63.0.  The
     mean imputer truncates means on integer columns, hence double."""
     return df.withColumns({c: F.col(c).try_cast("double") for c in nums})
+
+
+def non_empty_columns(df: DataFrame, cols: list[str]) -> list[str]:
+    """Columns with at least one value that is neither null nor NaN (one
+    aggregate, reading only ``cols``).  The mean imputer cannot fill a column
+    without any value, so such columns are left out of the model input."""
+    if not cols:
+        return []
+    def present(c):
+        v = F.col(c)
+        if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
+            v = F.when(~F.isnan(v), v)
+        return F.count(v).alias(c)
+    row = df.agg(*[present(c) for c in cols]).collect()[0]
+    return [c for c in cols if row[c] > 0]

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..operators.clean import available_features, numeric_as_double
+from ..operators.clean import available_features, non_empty_columns, numeric_as_double
 from ..operators.metrics import confusion_wide, per_class_metrics
 from ..operators.models import (COMPARISON_SCHEMA, MULTICLASS, classifier, compare_models,
                                 feature_importances, fit_score)
@@ -58,10 +58,13 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def prepare(features: DataFrame, cats=None, nums=None, persist: bool = True):
-    """Available model inputs, numerics cast to double, materialised (#8)."""
+    """Available model inputs, numerics cast to double, materialised (#8).
+    Numeric columns without a single value are dropped (the imputer has no
+    mean for them)."""
     cats, nums = available_features(features, cats, nums)
     df = numeric_as_double(features, nums)
-    return (spread(materialize(df, "model-input")) if persist else df), cats, nums
+    df = spread(materialize(df, "model-input")) if persist else df
+    return df, cats, non_empty_columns(df, nums)
 
 
 def _split(df: DataFrame, split: str, key: str):

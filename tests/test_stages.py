@@ -35,3 +35,13 @@ def test_hash_split_is_stable_under_repartition(spark):
     ids_a = {r[0] for r in a.collect()}
     assert ids_a == {r[0] for r in b.collect()}
     assert 0.77 < len(ids_a) / 5000 < 0.83
+
+
+def test_prepare_drops_all_null_numeric(spark):
+    from sparkfeat.plans.experiments import prepare
+
+    df = spark.createDataFrame([(1, "A", None, 2.0, "x"), (2, "B", None, float("nan"), "y")],
+                               "FOD_ID long, FIRE_SIZE_CLASS string, FIPS_CODE string, LATITUDE double, season string")
+    out, cats, nums = prepare(df)
+    assert cats == ["season"] and nums == ["LATITUDE"]
+    assert out.count() == 2
