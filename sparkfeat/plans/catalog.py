@@ -8,16 +8,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import rules as R
-from ..operators.clean import fill_constant
-from ..operators.frequency import frequency_encode
+from ..functions import temporal as TM
+from ..operators import metrics as M
+from ..operators import models as MD
+from ..operators import stages as S
+from ..operators.binning import equal_width_bins
+from ..operators.clean import drop_null_target, fill_constant, numeric_as_double, select_available
+from ..operators.frequency import cell_density, frequency_encode
+from ..operators.split import is_train
+from ..operators.weights import attach_class_weights
+from ..session import scratch_path
 from ..sources.adapter import incidents
-from ..sources.incidents import scan_incidents
-from .features import engineer_features
+from ..sources.csv import read_csv, write_csv
+from ..sources.incidents import dataset_shape, scan_incidents
+from ..streaming import stream_features
+from . import experiments as X
+from .features import engineer_features, fit_feature_stats, temporal_features
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -56,13 +69,6 @@ def q_engineer_features(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- filters, projections, fills
-from ..functions import temporal as TM  # noqa: E402
-from ..operators.binning import equal_width_bins  # noqa: E402
-from ..operators.clean import drop_null_target, numeric_as_double, select_available  # noqa: E402
-from ..operators.frequency import cell_density  # noqa: E402
-from ..sources.csv import read_csv, write_csv  # noqa: E402
-from ..sources.incidents import dataset_shape  # noqa: E402
-from ..session import checkpoint_dir  # noqa: E402
 
 RAW_CATEGORICALS = ["SOURCE_SYSTEM_TYPE", "NWCG_REPORTING_AGENCY", "STAT_CAUSE_DESCR",
                     "OWNER_DESCR", "STATE", "COUNTY"]
@@ -70,7 +76,6 @@ RAW_CATEGORICALS = ["SOURCE_SYSTEM_TYPE", "NWCG_REPORTING_AGENCY", "STAT_CAUSE_D
 
 def _dated(spark, sf_dir):
     """Base rows with the temporal features of the feature job."""
-    from .features import temporal_features
     return temporal_features(base(spark, sf_dir))
 
 
@@ -123,9 +128,8 @@ def q_binary_label(spark, sf_dir):
 
 @query
 def q_sql_transform(spark, sf_dir):
-    from ..operators.stages import copy_column
     df = base(spark, sf_dir).select("FOD_ID", "LATITUDE")
-    return copy_column("LATITUDE", "latitude_copy").transform(df).select("FOD_ID", "latitude_copy")
+    return S.copy_column("LATITUDE", "latitude_copy").transform(df).select("FOD_ID", "latitude_copy")
 
 
 # ---------------------------------------------------------------- dates, times, numbers
@@ -185,17 +189,12 @@ def q_dataset_shape(spark, sf_dir):
 
 @query
 def q_csv_roundtrip(spark, sf_dir):
-    import uuid
-    path = f"{checkpoint_dir(spark).rstrip('/')}/sparkfeat/csv-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "csv")
     write_csv(base(spark, sf_dir).select("FOD_ID", "STATE", "FIPS_CODE", "LATITUDE", "DISCOVERY_TIME"), path)
     return read_csv(spark, path)
 
 
 # ---------------------------------------------------------------- label coding and metrics
-from ..operators import metrics as M  # noqa: E402
-from ..operators import stages as S  # noqa: E402
-from ..operators.split import is_train  # noqa: E402
-from ..operators.weights import attach_class_weights  # noqa: E402
 
 
 def _round(c, places=6):
@@ -311,7 +310,6 @@ def q_assemble(spark, sf_dir):
 
 @query
 def q_standard_scale(spark, sf_dir):
-    from pyspark.ml.functions import vector_to_array
     df = S.assembler(["LATITUDE", "LONGITUDE"]).transform(_ml_input(spark, sf_dir))
     out = S.scaler().fit(df).transform(df)
     arr = vector_to_array("features")
@@ -329,8 +327,6 @@ def q_pca_explained(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- models and experiments (rows-only)
-from ..operators import models as MD  # noqa: E402
-from . import experiments as X  # noqa: E402
 
 _NO_SECONDS = ["experiment", "variant", "k", "model", "train_rows", "test_rows", "accuracy", "f1_weighted"]
 
@@ -354,7 +350,6 @@ def _class_weight_parts(spark, sf_dir):
 
 @query
 def q_feature_stages_fit(spark, sf_dir):
-    from pyspark.ml.functions import vector_to_array
     _, data = transformed(spark, sf_dir, label_order="alphabetAsc", handle_invalid="keep")
     return data.select("FOD_ID", "label", vector_to_array("features").alias("features"))
 
@@ -415,7 +410,6 @@ def q_compare_models(spark, sf_dir):
 
 @query
 def q_pca_variance(spark, sf_dir):
-    from pyspark.ml import Pipeline
     df, cats, nums = model_input(spark, sf_dir)
     stages = S.feature_stages(cats, nums).getStages()[:-1] + [S.scaler("raw_features", "scaled_features")]
     base_df = Pipeline(stages=stages).fit(df).transform(df)
@@ -449,9 +443,6 @@ def q_exp_pca(spark, sf_dir):
 def q_stream_features(spark, sf_dir):
     """Incident rows land as parquet files; the streaming job applies the
     statistics fitted on the same rows, so it must equal the batch job."""
-    from ..session import scratch_path
-    from ..streaming import stream_features
-    from .features import fit_feature_stats
 
     source = scratch_path(spark, "stream-source")
     incidents(spark, sf_dir).write.parquet(source)
