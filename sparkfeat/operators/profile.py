@@ -25,6 +25,13 @@ class Profile:
     counts: dict[str, DataFrame] = field(default_factory=dict)   # col -> (col, n)
     count_rows: dict[str, int] = field(default_factory=dict)     # distinct keys per col
     key_bytes: dict[str, int] = field(default_factory=dict)      # longest key (as text) per col
+    table: DataFrame | None = None                               # materialised GROUPING SETS result
+    gids: dict[str, int] = field(default_factory=dict)           # grouping id of each column's set
+
+
+def counts_from_table(table: DataFrame, gids: dict[str, int]) -> dict[str, DataFrame]:
+    """Per-column ``(col, n)`` lookups from the materialised profile table."""
+    return {c: table.where(F.col("__gid") == g).select(c, F.col("__n").alias("n")) for c, g in gids.items()}
 
 
 def _finite(df: DataFrame, c: str):
@@ -61,9 +68,10 @@ def profile(df: DataFrame, count_cols: list[str] = (), minmax_cols: list[str] =
         F.sum("__n").alias("rows")).collect()}
     whole = summary[all_bits]
     prof = Profile(total_rows=whole["rows"],
-                   minmax={c: (whole[f"__min_{c}"], whole[f"__max_{c}"]) for c in minmax_cols})
+                   minmax={c: (whole[f"__min_{c}"], whole[f"__max_{c}"]) for c in minmax_cols},
+                   table=table, gids=gid)
+    prof.counts = counts_from_table(table, gid)
     for c in count_cols:
-        prof.counts[c] = table.where(F.col("__gid") == gid[c]).select(c, F.col("__n").alias("n"))
         prof.count_rows[c] = summary[gid[c]]["keys"] if gid[c] in summary else 0
         prof.key_bytes[c] = (summary[gid[c]]["key_bytes"] or 0) if gid[c] in summary else 0
     return prof

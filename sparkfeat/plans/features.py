@@ -23,7 +23,7 @@ from ..operators.binning import apply_bins, equal_width_edges
 from ..operators.clean import drop_null_target, fill_constant, select_available
 from ..operators.frequency import attach_counts
 from ..operators.lookup import MAX_BROADCAST_ROWS, join_lookup
-from ..operators.profile import Profile, profile
+from ..operators.profile import Profile, counts_from_table, profile
 from ..session import materialize
 from ..sources.incidents import scan_incidents
 
@@ -132,6 +132,36 @@ def apply_feature_stats(raw: DataFrame, stats: FeatureStats, date_format: str |
     return drop_null_target(select_available(df))
 
 
+def save_feature_stats(stats: FeatureStats, path: str) -> str:
+    """Write fitted statistics under ``path`` (shared storage): the profile
+    table and the cell counts as parquet, edges and counts as one JSON line.
+    A restarted streaming job reloads them with :func:`load_feature_stats`."""
+    import json
+
+    p = stats.profile
+    spark = stats.cells.sparkSession
+    p.table.write.mode("overwrite").parquet(f"{path}/profile")
+    stats.cells.write.mode("overwrite").parquet(f"{path}/cells")
+    meta = {"edges": stats.edges, "total_rows": p.total_rows, "minmax": p.minmax,
+            "count_rows": p.count_rows, "key_bytes": p.key_bytes, "gids": p.gids,
+            "cell_rows": stats.cell_rows}
+    spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1) \
+        .write.mode("overwrite").text(f"{path}/meta")
+    return path
+
+
+def load_feature_stats(spark, path: str) -> FeatureStats:
+    import json
+
+    meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
+    table = spark.read.parquet(f"{path}/profile")
+    prof = Profile(total_rows=meta["total_rows"], minmax={k: tuple(v) for k, v in meta["minmax"].items()},
+                   count_rows=meta["count_rows"], key_bytes=meta["key_bytes"], table=table,
+                   gids=meta["gids"])
+    prof.counts = counts_from_table(table, prof.gids)
+    return FeatureStats(meta["edges"], prof, spark.read.parquet(f"{path}/cells"), meta["cell_rows"])
+
+
 def engineer_features(raw: DataFrame, date_format: str | None = None,
                       max_broadcast_rows: int = MAX_BROADCAST_ROWS,
                       date_unit: str | None = None) -> DataFrame:

@@ -6,7 +6,9 @@ applies them per micro-batch.  The per-row work is stateless: codegen'd
 expressions plus stream-static broadcast joins against the small, materialised
 lookup tables, so no state store grows with the stream.  Progress lives in the
 checkpoint location (shared storage), so a restarted query resumes where it
-stopped and the file sink commits each batch exactly once.
+stopped and the file sink commits each batch exactly once.  The fitted
+statistics are kept on shared storage as well (``save_feature_stats`` /
+``load_feature_stats``), so a restarted driver applies the same ones.
 """
 
 from __future__ import annotations

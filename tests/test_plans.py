@@ -58,3 +58,14 @@ def test_cli_experiment_fit_on_train(spark, raw_path):
     assert tables["confusion"].count() == 7
     assert tables["importances"].count() <= K.TOP_IMPORTANCES
     assert spark.read.parquet(f"{out}/class_weight/comparison").count() == 6
+
+
+def test_stats_save_load_roundtrip(spark, raw_path):
+    from sparkfeat.plans.features import load_feature_stats, save_feature_stats
+
+    raw = spark.read.parquet(raw_path)
+    stats = fit_feature_stats(raw)
+    path = save_feature_stats(stats, scratch_path(spark, "test-stats"))
+    again = load_feature_stats(spark, path)
+    assert again.edges == stats.edges and again.profile.count_rows == stats.profile.count_rows
+    assert _rows(apply_feature_stats(raw, again)) == _rows(apply_feature_stats(raw, stats))
