@@ -17,6 +17,11 @@ _MICROS_PER_DAY = 86_400_000_000.0
 # A plain decimal or scientific number, surrounded by optional blanks.  Spark's
 # cast would also take suffixes such as '1d' or words such as 'Infinity'.
 _NUMBER = r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)\s*$"
+_FRACTION_DIGITS = r"^\s*[+-]?\d*\.(\d*)"
+_EXPONENT = r"[eE]([+-]?\d+)\s*$"
+# pandas refuses a written exponent above this, after subtracting the digits
+# that follow the decimal point ('0E309' fails, '0.1E309' parses).
+_MAX_DECIMAL_EXPONENT = 308
 
 
 # Microseconds per numeric unit, and the offset of the Julian day count.
@@ -94,7 +99,14 @@ def lenient_number(c: Column, dtype: T.DataType, default: float | None = None) -
         v = c.cast("double")
         v = F.when(F.isnan(v), F.lit(None)).otherwise(v)
     else:
-        v = F.regexp_extract(c.cast("string"), _NUMBER, 1).try_cast("double")
+        text = c.cast("string")
+        v = F.regexp_extract(text, _NUMBER, 1).try_cast("double")
+        exponent = F.coalesce(F.regexp_extract(text, _EXPONENT, 1).try_cast("double"), F.lit(0.0))
+        fraction = F.length(F.regexp_extract(text, _FRACTION_DIGITS, 1))
+        # Like pandas: an out-of-range written exponent or an overflow is no number.
+        ok = (exponent - fraction <= F.lit(_MAX_DECIMAL_EXPONENT)) & ~F.isnan(v) & \
+            (F.abs(v) != F.lit(float("inf")))
+        v = F.when(ok, v)
     return v if default is None else F.coalesce(v, F.lit(float(default)))
 
 

@@ -93,3 +93,38 @@ def test_available_features_and_session_conf(spark):
     configure(spark)
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+
+
+def test_lenient_number_matches_pandas(spark):
+    import math
+
+    import pandas as pd
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+    from pyspark.sql import types as T
+
+    texts = st.text(alphabet="0123456789 .eE+-", max_size=8)
+
+    @settings(max_examples=25, deadline=None)
+    @given(st.lists(texts, min_size=1, max_size=30))
+    def check(values):
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, s string")
+        got = [r[0] for r in df.orderBy("i").select(
+            TM.lenient_number(F.col("s"), T.StringType(), 1200.0)).collect()]
+        want = pd.to_numeric(pd.Series(values, dtype=object), errors="coerce").astype(float).fillna(1200.0)
+        for v, g, w in zip(values, got, want):
+            assert (math.isclose(g, w, rel_tol=1e-12) or (math.isinf(g) and g == w)), (v, g, w)
+
+    check()
+
+
+def test_lenient_number_exponent_edges(spark):
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    vals = ["0E400", "1E400", "1E308", "1E309", "2E308", "1E-400", "0.001E311", "1000E306", "0E309",
+            ".1E309", "0.00E311", "00.000E311", "5.0E309", "-2E308", "1.5E308", " 1e-400", "1e0309"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i long, s string")
+    got = [r[0] for r in df.orderBy("i").select(TM.lenient_number(F.col("s"), T.StringType(), 1200.0)).collect()]
+    want = list(pd.to_numeric(pd.Series(vals, dtype=object), errors="coerce").astype(float).fillna(1200.0))
+    assert got == want
