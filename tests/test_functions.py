@@ -128,3 +128,28 @@ def test_lenient_number_exponent_edges(spark):
     got = [r[0] for r in df.orderBy("i").select(TM.lenient_number(F.col("s"), T.StringType(), 1200.0)).collect()]
     want = list(pd.to_numeric(pd.Series(vals, dtype=object), errors="coerce").astype(float).fillna(1200.0))
     assert got == want
+
+
+def test_dates_match_pandas(spark):
+    import pandas as pd
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    stamps = st.datetimes(min_value=dt.datetime(1950, 1, 1), max_value=dt.datetime(2050, 12, 31))
+
+    @settings(max_examples=15, deadline=None)
+    @given(st.lists(st.tuples(stamps, st.one_of(st.none(), stamps)), min_size=1, max_size=20))
+    def check(pairs):
+        rows = [(i, a.replace(microsecond=0), None if b is None else b.replace(microsecond=0))
+                for i, (a, b) in enumerate(pairs)]
+        df = spark.createDataFrame(rows, "i long, a timestamp_ntz, b timestamp_ntz")
+        got = df.orderBy("i").select(
+            TM.month_of(F.col("a")).alias("m"), TM.day_of_week(F.col("a")).alias("w"),
+            F.coalesce(TM.duration_days(F.col("a"), F.col("b")), F.lit(0)).alias("d")).collect()
+        pdf = pd.DataFrame(rows, columns=["i", "a", "b"])
+        a, b = pd.to_datetime(pdf["a"]), pd.to_datetime(pdf["b"])
+        want_d = (b - a).dt.days.fillna(0).astype(int)
+        for r, m, w, d in zip(got, a.dt.month, a.dt.dayofweek, want_d):
+            assert (r["m"], r["w"], r["d"]) == (m, w, d)
+
+    check()
