@@ -1,9 +1,9 @@
 """Attach a one-row-per-key lookup table to a large table (left equi join).
 
-Broadcast is used only when the lookup's row count is known to be bounded:
-either a bound proven by construction (bin grids, fitted label lists) or a
-count measured on the materialised lookup.  Beyond the bound the join is a
-shuffle join that stays safe under skew: keys whose row count in the large
+Broadcast is used only when the lookup's size is known to be bounded, in rows
+and in estimated bytes: either a bound proven by construction (bin grids,
+fitted label lists) or a count measured on the lookup.  Beyond the bound the
+join is a shuffle join that stays safe under skew: keys whose row count in the large
 table is high ("hot") are few by construction (at most ``total / threshold``)
 and are broadcast; their rows get a salt so that the shuffle spreads them over
 many tasks instead of sending a third of the data to one.
@@ -37,18 +37,25 @@ def join_lookup(df: DataFrame, lookup: DataFrame, keys: list[str], values: list[
     column order and append ``values``.
 
     ``lookup_rows`` is the (measured or proven) number of lookup rows; when it
-    is None the lookup is counted, so pass a materialised lookup.
+    is None the lookup is measured (rows, and the sum of ``row_counts``) in one
+    small aggregate, so pass a small or materialised lookup.
     ``row_counts`` names a lookup column holding each key's row count in
     ``df`` (needed for the skew-safe path, together with ``total_rows``).
     ``key_bytes`` is the widest key in bytes (0 for fixed-width keys).
     """
     lk = lookup.select(*keys, *values)
-    n = lookup.count() if lookup_rows is None else lookup_rows
+    n = lookup_rows
+    if n is None:
+        if row_counts is not None and total_rows is None:
+            m = lookup.agg(F.count(F.lit(1)).alias("n"), F.sum(row_counts).alias("t")).first()
+            n, total_rows = m["n"], m["t"] or 0
+        else:
+            n = lookup.count()
     if n <= max_broadcast_rows and n * (key_bytes + ROW_OVERHEAD_BYTES) <= max_broadcast_bytes:
         return _restore(df.columns, df.join(F.broadcast(lk), keys, "left"), values)
     if row_counts is None or total_rows is None:
         # No per-key weights known: a plain shuffle join; adaptive execution
-        # splits skewed partitions of the large (left) side.
+        # (skew join) splits oversized partitions of the large (left) side.
         return _restore(df.columns, df.join(lk, keys, "left"), values)
 
     # Hot keys: at most total_rows / threshold <= cap of them, where the cap

@@ -55,3 +55,12 @@ def test_balanced_weights(spark):
     assert w == {0.0: pytest.approx(4 / 6), 1.0: pytest.approx(2.0)}
     out = attach_class_weights(df, max_classes=3).collect()
     assert sorted(r["weight"] for r in out) == pytest.approx([4 / 6] * 3 + [2.0])
+
+
+def test_class_weights_over_budget_path(spark):
+    rows = [(float(0 if i % 3 else 1),) for i in range(300)]
+    df = spark.createDataFrame(rows, "label double")
+    out = attach_class_weights(df, max_broadcast_rows=1).collect()
+    w = {r["label"]: r["weight"] for r in out}
+    assert w == {0.0: pytest.approx(300 / (2 * 200)), 1.0: pytest.approx(300 / (2 * 100))}
+    assert len(out) == 300
