@@ -45,8 +45,11 @@ def spread(df: DataFrame) -> DataFrame:
     spread by key hash and written again, which is cheap exactly when it
     happens; a large table already has more splits than slots and is returned
     as is."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    parts = df.rdd.getNumPartitions()
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # no RDD-level access in this session: leave the layout as is
+        return df
     if parts >= slots:
         return df
     # Below ~20k rows per task, per-iteration task overhead outweighs the

@@ -37,7 +37,8 @@ def build_session(app_name: str = "sparkfeat", master: str | None = None,
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    master = spark.conf.get("spark.master", "") or ""
+    return master.startswith("local")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -48,15 +49,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     cluster an unset folder is an error, because checkpoints must live on
     storage every executor and the driver can reach.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a session without an RDD-level context (e.g. Spark Connect)
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
+        if sc is None:
+            return configured
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if _is_local(spark):
+    if _is_local(spark) and sc is not None:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="sparkfeat-ckpt-"))
         return sc.getCheckpointDir()
     raise RuntimeError(
