@@ -170,3 +170,14 @@ def engineer_features(raw: DataFrame, date_format: str | None = None,
     Numeric date columns (e.g. Julian day numbers) need ``date_unit``."""
     stats = fit_feature_stats(raw, date_format, date_unit)
     return apply_feature_stats(raw, stats, date_format, max_broadcast_rows, date_unit)
+
+
+def features_fit_on_train(raw: DataFrame, key: str = K.ID_COLUMN, fraction: float = K.TRAIN_FRACTION,
+                          date_format: str | None = None, date_unit: str | None = None) -> DataFrame:
+    """Feature table whose whole-table statistics (bins, value counts, cell
+    counts) come from the training part only (key-hash split, the same one the
+    experiments use), applied to every row: no test row shapes a feature."""
+    from ..operators.split import is_train
+
+    stats = fit_feature_stats(raw.where(is_train(F.col(key), fraction)), date_format, date_unit)
+    return apply_feature_stats(raw, stats, date_format, date_unit=date_unit)

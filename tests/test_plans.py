@@ -69,3 +69,16 @@ def test_stats_save_load_roundtrip(spark, raw_path):
     again = load_feature_stats(spark, path)
     assert again.edges == stats.edges and again.profile.count_rows == stats.profile.count_rows
     assert _rows(apply_feature_stats(raw, again)) == _rows(apply_feature_stats(raw, stats))
+
+
+def test_features_fit_on_train(spark, raw_path):
+    from sparkfeat.operators.split import is_train
+    from sparkfeat.plans.features import features_fit_on_train
+
+    raw = spark.read.parquet(raw_path)
+    out = features_fit_on_train(raw)
+    assert out.count() == engineer_features(raw).count()
+    train_rows = engineer_features(raw).where(is_train(F.col("FOD_ID"))).count()
+    # state frequencies count training rows only, so they sum (per row) to at most the train size
+    top = out.where(is_train(F.col("FOD_ID"))).agg(F.max("state_fire_frequency")).first()[0]
+    assert top <= train_rows
