@@ -176,6 +176,9 @@ def pca_experiment(df: DataFrame, cats: list[str], nums: list[str], *, ks=K.PCA_
     fit_rows = df if fit_on == "all" else _split(df, split, key)[0]
     base = Pipeline(stages=stages).fit(fit_rows).transform(df)
     kmax = max(ks)
+    size = base.select("scaled_features").schema["scaled_features"].metadata.get("ml_attr", {}).get("num_attrs")
+    if size is not None and kmax > size:
+        raise ValueError(f"PCA k={kmax} exceeds the {size} feature slots")
     pca = pca_fit(base if fit_on == "all" else _split(base, split, key)[0], kmax, out="pca_all")
     variance = [float(v) for v in pca.explainedVariance.toArray()]
     projected = materialize(model_columns(pca.transform(base), key, "pca_all"), "pca")

@@ -60,3 +60,34 @@ def test_same_seed_same_metrics(separable):
     a = MD.evaluate(MD.fit_score(MD.classifier("RandomForest"), train, test)[1])
     b = MD.evaluate(MD.fit_score(MD.classifier("RandomForest"), train, test)[1])
     assert a == b
+
+
+def test_pca_prefix_property(separable):
+    """Leading components (and variances) at a small k equal those of a larger
+    fit, which lets the PCA experiment fit once at the largest k."""
+    import numpy as np
+
+    _, data, _, _ = separable
+    base = S.scaler("raw_features", "scaled_features").fit(data).transform(data)
+    small, large = S.pca_fit(base, 2, out="pca"), S.pca_fit(base, 4, out="pca")
+    assert np.allclose(small.pc.toArray(), large.pc.toArray()[:, :2])
+    assert np.allclose(small.explainedVariance.toArray(), large.explainedVariance.toArray()[:2])
+
+
+def test_scaling_and_pca_experiments(spark, separable):
+    from pyspark.sql import functions as F
+
+    from sparkfeat.plans import experiments as X
+
+    model, data, _, _ = separable
+    raw = data.select("FOD_ID", "FIRE_SIZE_CLASS", "signal", "noise", "cat")
+    params = {"LogisticRegression": {"maxIter": 5}, "GBT": {"maxIter": 3}, "RandomForest": {"numTrees": 3}}
+    sc = X.scaling_experiment(raw, ["cat"], ["signal", "noise"], params=params).comparison.collect()
+    assert [(r["variant"], r["model"]) for r in sc][::4] == [("scaled", "RandomForest"), ("unscaled", "RandomForest")]
+    assert len(sc) == 8
+    pca = X.pca_experiment(raw, ["cat"], ["signal", "noise"], ks=(1, 2), params=params)
+    assert [r["k"] for r in pca.comparison.collect()] == [1] * 4 + [2] * 4
+    ev = [r["explained_variance"] for r in pca.tables["pca_variance"].orderBy("k").collect()]
+    assert 0 < ev[0] <= ev[1] <= 1.0 + 1e-9
+    with pytest.raises(ValueError):
+        X.pca_experiment(raw, ["cat"], ["signal", "noise"], ks=(50,), params=params)
