@@ -1,6 +1,6 @@
 """spark-submit entry point (#58).
 
-    spark-submit -m ... sparkfeat/plans/cli.py --dataset_directory DIR \
+    spark-submit --py-files sparkfeat.zip run_experiment.py --dataset_directory DIR \
         --experiment {class_weight,scaling,pca} [--format parquet|csv] [--output DIR]
 
 ``DIR`` holds the feature table (parquet by default; CSV with a header is
