@@ -82,3 +82,12 @@ def test_features_fit_on_train(spark, raw_path):
     # state frequencies count training rows only, so they sum (per row) to at most the train size
     top = out.where(is_train(F.col("FOD_ID"))).agg(F.max("state_fire_frequency")).first()[0]
     assert top <= train_rows
+
+
+def test_feature_job_cli_csv(spark, raw_path):
+    out = scratch_path(spark, "test-features-csv")
+    args = cli.parse_feature_args(["--input", raw_path, "--output", out, "--output_format", "csv"])
+    cli.run_features(spark, args)
+    back = spark.read.option("header", True).option("inferSchema", True).csv(out)
+    assert back.count() == engineer_features(spark.read.parquet(raw_path)).count()
+    assert set(back.columns) == set(K.FINAL_FEATURES)
