@@ -18,6 +18,13 @@ RAW_COLUMNS = [
     "OWNER_CODE", "OWNER_DESCR", "STATE", "COUNTY", "FIPS_CODE", "FIPS_NAME",
 ]
 
+# --- FIXED VALUES: numeric raw columns and their Spark types (text input is cast by name) ---
+RAW_NUMERIC_TYPES = {
+    "FOD_ID": "bigint", "FIRE_YEAR": "bigint", "DISCOVERY_DOY": "bigint", "CONT_DOY": "bigint",
+    "STAT_CAUSE_CODE": "double", "FIRE_SIZE": "double", "LATITUDE": "double", "LONGITUDE": "double",
+    "OWNER_CODE": "double",
+}
+
 # --- FIXED VALUES: columns that must be non-null after the scan ---
 NOT_NULL_COLUMNS = ["FIRE_SIZE", "LATITUDE", "LONGITUDE", "FIRE_SIZE_CLASS"]
 

@@ -62,6 +62,8 @@ def lenient_timestamp(c: Column, dtype: T.DataType, fmt: str | None = None,
     if isinstance(dtype, T.DateType):
         return c.cast("timestamp_ntz")
     if isinstance(dtype, T.StringType):
+        if unit is not None:
+            return _from_number(c.try_cast("double"), unit)
         if fmt is None:
             return c.try_cast("timestamp_ntz")
         # try_to_timestamp validates (null for bad text); the value itself is

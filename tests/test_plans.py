@@ -91,3 +91,14 @@ def test_feature_job_cli_csv(spark, raw_path):
     back = spark.read.option("header", True).option("inferSchema", True).csv(out)
     assert back.count() == engineer_features(spark.read.parquet(raw_path)).count()
     assert set(back.columns) == set(K.FINAL_FEATURES)
+
+
+def test_feature_job_from_csv_text_matches_parquet(spark, raw_path):
+    csv_in = scratch_path(spark, "test-incidents-csv")
+    spark.read.parquet(raw_path).write.option("header", True).csv(csv_in)
+    out = scratch_path(spark, "test-features-from-csv")
+    cli.run_features(spark, cli.parse_feature_args(["--input", csv_in, "--input_format", "csv",
+                                                    "--output", out]))
+    got = spark.read.parquet(out)
+    want = engineer_features(spark.read.parquet(raw_path))
+    assert _rows(got) == _rows(want)
