@@ -471,3 +471,11 @@ def q_rf_confusion(spark, sf_dir):
 def q_rf_per_class(spark, sf_dir):
     pred, labels = _rf_predictions(spark, sf_dir)
     return M.per_class_metrics(pred, labels)
+
+
+@query
+def q_features_fit_on_train(spark, sf_dir):
+    """Feature table with bins, value counts and cell counts fitted on the
+    key-hash training part only, applied to every row."""
+    from .features import features_fit_on_train
+    return features_fit_on_train(incidents(spark, sf_dir))

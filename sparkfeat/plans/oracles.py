@@ -263,3 +263,68 @@ SELECT FOD_ID, round(LATITUDE / stddev_samp(LATITUDE) OVER (), 6) AS latitude_sc
 oracle("pca_explained", f"""{BASE},
 c AS (SELECT var_samp(LATITUDE) a, var_samp(LONGITUDE) d, covar_samp(LATITUDE, LONGITUDE) b FROM base)
 SELECT 1 AS k, round(((a + d) / 2 + sqrt(((a - d) / 2) * ((a - d) / 2) + b * b)) / (a + d), 6) AS explained_variance FROM c""")
+
+
+# ---------------------------------------------------------------- statistics fitted on the training part
+TRAIN = "CAST(('0x' || substr(md5(CAST(FOD_ID AS VARCHAR)), 1, 8)) AS BIGINT) % 10000 < 8000"
+
+
+def _train_edges(col: str) -> str:
+    return f"""(SELECT list_transform(range(0, 21), lambda i: CASE WHEN i = 20 THEN mx
+                  WHEN i = 0 THEN mn - (mx - mn) * 0.001 ELSE i * ((mx - mn) / 20) + mn END)
+        FROM (SELECT min({col}) AS mn, max({col}) AS mx FROM base WHERE {TRAIN}))"""
+
+
+def _bounded_bin(col: str) -> str:
+    k = f"len(list_filter({_train_edges(col)}, lambda z: z < {col})) - 1"
+    return f"CAST(CASE WHEN {k} BETWEEN 0 AND 19 THEN {k} END AS INTEGER)"
+
+
+FEATURES_TRAIN = f"""{BASE},
+filled AS (
+  SELECT *,
+    {TRAIN} AS is_train,
+    CAST(month(DISCOVERY_DATE) AS INTEGER) AS discovery_month,
+    CAST(isodow(DISCOVERY_DATE) - 1 AS INTEGER) AS discovery_day_of_week,
+    coalesce({SEASON}, 'Unknown') AS season_f,
+    {REGION} AS geographic_region,
+    coalesce(SOURCE_SYSTEM_TYPE, 'Unknown') AS sst_f,
+    coalesce(NWCG_REPORTING_AGENCY, 'Unknown') AS agency_f,
+    coalesce(STAT_CAUSE_DESCR, 'Unknown') AS cause_f,
+    coalesce(OWNER_DESCR, 'Unknown') AS owner_f,
+    coalesce(STATE, 'Unknown') AS state_f,
+    coalesce(COUNTY, 'Unknown') AS county_f,
+    {_bounded_bin('LATITUDE')} AS lat_bin,
+    {_bounded_bin('LONGITUDE')} AS lon_bin
+  FROM base),
+st AS (SELECT state_f, count(*) AS n FROM filled WHERE is_train GROUP BY 1),
+co AS (SELECT county_f, count(*) AS n FROM filled WHERE is_train GROUP BY 1),
+ca AS (SELECT cause_f, count(*) AS n FROM filled WHERE is_train GROUP BY 1),
+ag AS (SELECT agency_f, count(*) AS n FROM filled WHERE is_train GROUP BY 1),
+ce AS (SELECT lat_bin, lon_bin, count(*) AS n FROM filled WHERE is_train GROUP BY 1, 2)
+SELECT
+  FIRE_SIZE_CLASS, FOD_ID, f.state_f AS STATE, f.county_f AS COUNTY,
+  discovery_month, FIRE_YEAR AS discovery_year, discovery_day_of_week,
+  DISCOVERY_DOY AS discovery_day_of_year, season_f AS season,
+  CAST(floor(FIRE_YEAR / 10) * 10 AS BIGINT) AS "decade",
+  {DURATION} AS fire_duration_days,
+  {HOUR} AS discovery_hour,
+  LATITUDE, LONGITUDE, f.lat_bin, f.lon_bin, geographic_region,
+  coalesce(ce.n, 0) AS location_fire_density,
+  CAST(f.cause_f IN {HUMAN} AS INTEGER) AS human_caused,
+  STAT_CAUSE_CODE, f.cause_f AS STAT_CAUSE_DESCR, sst_f AS SOURCE_SYSTEM_TYPE,
+  f.agency_f AS NWCG_REPORTING_AGENCY, owner_f AS OWNER_DESCR,
+  st.n AS state_fire_frequency, co.n AS county_fire_frequency,
+  ca.n AS cause_frequency, ag.n AS agency_fire_frequency,
+  FIPS_CODE, OWNER_CODE, SOURCE_SYSTEM,
+  coalesce(CAST(discovery_month BETWEEN 5 AND 10 AS INTEGER), 0) AS fire_season,
+  coalesce(CAST(discovery_day_of_week >= 5 AS INTEGER), 0) AS is_weekend,
+  coalesce(CAST(discovery_month IN (6, 7, 8, 9) AS INTEGER), 0) AS high_risk_month,
+  coalesce(CAST(discovery_month IN (7, 8, 9, 10) AS INTEGER), 0) AS drought_season
+FROM filled f
+LEFT JOIN st ON f.state_f = st.state_f
+LEFT JOIN co ON f.county_f = co.county_f
+LEFT JOIN ca ON f.cause_f = ca.cause_f
+LEFT JOIN ag ON f.agency_f = ag.agency_f
+LEFT JOIN ce ON f.lat_bin = ce.lat_bin AND f.lon_bin = ce.lon_bin"""
+oracle("features_fit_on_train", FEATURES_TRAIN)
