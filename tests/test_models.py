@@ -75,8 +75,6 @@ def test_pca_prefix_property(separable):
 
 
 def test_scaling_and_pca_experiments(spark, separable):
-    from pyspark.sql import functions as F
-
     from sparkfeat.plans import experiments as X
 
     model, data, _, _ = separable
