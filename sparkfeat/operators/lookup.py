@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 64
-SALT_BUCKETS = 64
+# Hot and null-key rows match nothing on the cold side, so their salt range
+# costs no replication: a wide range spreads them over every shuffle partition.
+SALT_BUCKETS = 1 << 16
 
 
 def _restore(df_cols: list[str], joined: DataFrame, values: list[str]) -> DataFrame:
