@@ -66,9 +66,10 @@ def profile(df: DataFrame, count_cols: list[str] = (), minmax_cols: list[str] =
         *[F.min(f"__min_{c}").alias(f"__min_{c}") for c in minmax_cols],
         *[F.max(f"__max_{c}").alias(f"__max_{c}") for c in minmax_cols],
         F.sum("__n").alias("rows")).collect()}
-    whole = summary[all_bits]
-    prof = Profile(total_rows=whole["rows"],
-                   minmax={c: (whole[f"__min_{c}"], whole[f"__max_{c}"]) for c in minmax_cols},
+    whole = summary.get(all_bits)  # absent when the input has no rows
+    prof = Profile(total_rows=whole["rows"] if whole else 0,
+                   minmax={c: (whole[f"__min_{c}"], whole[f"__max_{c}"]) if whole else (None, None)
+                           for c in minmax_cols},
                    table=table, gids=gid)
     prof.counts = counts_from_table(table, gid)
     for c in count_cols:

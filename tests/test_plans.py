@@ -123,3 +123,10 @@ def test_stream_restart_processes_only_new_files(spark, raw_path):
     assert out.count() == apply_feature_stats(raw, stats).count()
     assert out.select("FOD_ID").distinct().count() == out.count()
     assert _rows(out) == _rows(apply_feature_stats(raw, stats))
+
+
+def test_feature_job_on_empty_input(spark, raw_path):
+    raw = spark.read.parquet(raw_path).where(F.lit(False))
+    out = engineer_features(raw)
+    assert out.columns == K.FINAL_FEATURES
+    assert out.count() == 0
