@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, quality, sharding, simhash
+from . import decontaminate, mixing, quality, relative_lz, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,5 +45,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op4_decontaminate, op5_mixing, op6_sharding, op8_quality, op9_simhash)}
+def op10_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = relative_lz.parse(_table(spark, sf_dir, "documents"))
+    return parsed.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op4_decontaminate, op5_mixing, op6_sharding, op8_quality, op9_simhash, op10_relative_lz)}
 ORACLES: dict[str, str] = {}

@@ -6,6 +6,12 @@ import re
 
 import xxhash
 
+def document_order(row):
+    """By id, null last, then by the text's signed 64-bit hash (null: the seed)."""
+    h = 42 if row[1] is None else xxhash.xxh64_intdigest(row[1].encode(), 42)
+    return row[0] is None, row[0] or 0, h - (1 << 64) * (h >> 63)
+
+
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -95,7 +101,7 @@ def mix_targets(sizes, cap=3, weights=(1, 2, 3)):
 def repeated_words(rows, size=20):
     """(id, n_words, n_removed, digest) per row; rows are documents in (id, text) order."""
     seen, out = {}, []
-    for key in sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0)):
+    for key in sorted(set(rows), key=document_order):
         words = SPACE.findall(key[1] or "")
         gone = set()
         for i in range(len(words) - size + 1):
@@ -110,7 +116,7 @@ def repeated_words(rows, size=20):
 def repeated_bytes(rows, size=50):
     """{(id, text): (n_bytes, n_removed, n_spans, digest)}; only smaller documents count."""
     seen, out = set(), {}
-    for key in sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0)):
+    for key in sorted(set(rows), key=document_order):
         data = (key[1] or "").encode()
         gone = bytearray(len(data))
         for i in range(len(data) - size + 1):
