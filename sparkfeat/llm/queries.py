@@ -6,13 +6,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, quality, relative_lz, sharding, simhash
+from ..session import scratch_path
+from . import archive, decontaminate, language, mixing, oracles, quality, relative_lz, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), ["doc_id"])
     return found.select("doc_id", "n_words", "n_hit", "n_items", decontaminate.items_digest(F.col("items")).alias("items_sha256"),
@@ -35,6 +40,14 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _law_columns(sharding.reshard(_table(spark, sf_dir, "documents")))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive every page, read the archive back and derive the columns from the
+    reconstructed records."""
+    pages = _table(spark, sf_dir, "pages")
+    stored = archive.write_archive(pages, scratch_path(spark, "warc"))
+    return archive.parse_records(archive.read_records(spark, stored))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -50,5 +63,5 @@ def op10_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op4_decontaminate, op5_mixing, op6_sharding, op8_quality, op9_simhash, op10_relative_lz)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op3_language, op4_decontaminate, op5_mixing, op6_sharding, op7_warc, op8_quality, op9_simhash, op10_relative_lz)}
+ORACLES: dict[str, str] = dict(oracles.ORACLES)
