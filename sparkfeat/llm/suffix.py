@@ -1,26 +1,29 @@
 """Repeated byte strings by a multi-document Burrows-Wheeler construction.
 
 A byte is removed if a string of ``window`` bytes that covers it also starts
-in an earlier document.  Every window belongs to one cell: the run of windows
-that share their least 16-byte gram hash, the cell's anchor.  Equal windows
-have equal anchors, so
+in an earlier document.  Every window has an anchor, its least gram hash
+(leftmost of equal ones), and belongs to one cell: the run of windows with the
+same anchor place.  Equal windows have equal anchors at equal distances, so
 
 1. anchors that only one document holds are sorted out first (a shuffle of six
    bytes and a place per cell);
 2. the cells that are left become short strings, each with the earliest
    document that holds it; strings of one anchor meet in one group;
 3. each group is a collection whose Burrows-Wheeler transform is built column
-   by column: every round inserts one symbol of every string, from the last
-   symbol to the first, into the transform and the common-prefix lengths, which
-   are rewritten front to back in each round.  At the end, neighbours with a
-   common prefix of at least ``window`` bytes are equal windows, and a window
-   whose class an earlier document holds is removed.
-
-Equal strings are collapsed before each shuffle (the earliest document stands
-for them; the others lose the whole string), and strings of an anchor with only
-one distinct string need no sorting.  Anchors that very many distinct strings
-share (``HOT_STRINGS`` in one task) are split: their windows go one by one to
-the group of their own hash, so that no anchor gathers in one task.
+   by column, columns counted from the anchor: every round inserts one symbol
+   of every string, from the last column to the first; the order of the
+   suffixes that start in this column and their common-prefix lengths are
+   rewritten front to back from those of the round before.  Only windows of one
+   column can be equal, so no other order is needed and a round costs one step
+   per string.  Neighbours with a common prefix of at least ``window`` bytes are
+   equal windows; one whose class an earlier document holds is removed.
+
+The strings travel through shuffle files; a group's state is one symbol and one
+prefix length per string, so it needs no files of its own.  Equal strings are
+collapsed before each shuffle: the earliest document stands for them, the
+others lose the whole string.  Anchors that very many distinct strings of one
+task share (``HOT_STRINGS``) are split: their windows go one by one to the group
+of their own hash, so that no anchor gathers in one task.
 
 Defined cases: null and empty texts have no bytes; documents are ordered by id
 (null last); rows of equal id and text are one document and share its result;
@@ -39,23 +42,22 @@ from . import text as tx
 from .blocks import by_target, deal_texts, dealt_texts, gathered, home, in_order, keyed, pack, unpack, with_ids
 
 WINDOW = 50
-GRAM = 16
-#: Windows of a cell at most, so that strings stay short (rounds are their length).
-CELL = 64
+GRAM = 20
 HOT_STRINGS = 2000
-#: Marks the start of a string; no byte of UTF-8.
-END = np.uint8(0xFF)
+_PLACE = np.uint64((1 << 30) - 1)
 
 
 def cells(texts: tx.Texts, window: int = WINDOW):
-    """Of each cell: text, first byte (in the text), windows, anchor.  They
-    depend on the text alone."""
+    """Of each cell: text, first byte (in the text), windows, place of the
+    anchor after the first byte, anchor, hash of its bytes.  They depend on the
+    text alone."""
     data, offsets = texts.data, texts.offsets
-    n = len(data) - window + 1
     none = np.zeros(0, np.int64)
-    if n <= 0:
-        return none, none, none, np.zeros(0, np.uint64)
-    least = tx.Rolling(tx.BYTE_VALUE[data]).grams(GRAM)
+    if len(data) < window:
+        return none, none, none, none, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    rolling = tx.Rolling(tx.BYTE_VALUE[data])
+    gram = rolling.grams(GRAM)
+    least = (gram & ~_PLACE) | np.arange(len(gram), dtype=np.uint64)  # ties: the leftmost
     width, have = window - GRAM + 1, 1
     while 2 * have <= width:
         least = np.minimum(least[:-have], least[have:])
@@ -66,14 +68,13 @@ def cells(texts: tx.Texts, window: int = WINDOW):
     many = np.maximum(size - (window - 1), 0)
     doc = np.repeat(np.arange(len(size)), many)
     at = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many) + offsets[:-1][doc]
-    least = least[at]
+    place = (least[at] & _PLACE).astype(np.int64)
     new = np.ones(len(at), bool)
-    new[1:] = (least[1:] != least[:-1]) | (doc[1:] != doc[:-1])
+    new[1:] = (place[1:] != place[:-1]) | (doc[1:] != doc[:-1])
     start = np.flatnonzero(new)
-    place = np.arange(len(at)) - np.repeat(start, np.diff(np.append(start, len(at))))
-    start = np.flatnonzero(place % CELL == 0)
     count = np.diff(np.append(start, len(at)))
-    return doc[start], at[start] - offsets[doc[start]], count, tx.mix(least[start])
+    doc, at, place = doc[start], at[start], place[start]
+    return doc, at - offsets[doc], count, place - at, gram[place], rolling.spans(at, at + count + window - 1)
 
 
 _ANCHORS = "part int, anchor binary, k binary, pos binary, known binary"
@@ -93,7 +94,7 @@ def _anchor_entries(docs: DataFrame, parts: int, window: int) -> DataFrame:
             for keys, some in gathered(k, column):
                 base, found = 0, []
                 for texts in some:
-                    doc, pos, _, anchor = cells(texts, window)
+                    doc, pos, _, _, anchor, _ = cells(texts, window)
                     found.append((keys[base:base + len(texts)][doc], pos, anchor >> np.uint64(16)))
                     base += len(texts)
                 key, pos, anchor = (np.concatenate(c) for c in zip(*found))
@@ -154,128 +155,7 @@ def _shared_cells(entries: DataFrame, groups: int) -> DataFrame:
     return entries.groupBy("part").applyInArrow(match, "home int, k binary, pos binary")
 
 
-_STRINGS = 2000
-#: Marks the start of a string; no byte of UTF-8.
-END = np.uint8(0xFF)
-
-
-def cells(texts: tx.Texts, window: int = WINDOW):
-    """Of each cell: text, first byte (in the text), windows, anchor.  They
-    depend on the text alone."""
-    data, offsets = texts.data, texts.offsets
-    n = len(data) - window + 1
-    none = np.zeros(0, np.int64)
-    if n <= 0:
-        return none, none, none, np.zeros(0, np.uint64)
-    least = tx.Rolling(tx.BYTE_VALUE[data]).grams(GRAM)
-    width, have = window - GRAM + 1, 1
-    while 2 * have <= width:
-        least = np.minimum(least[:-have], least[have:])
-        have *= 2
-    if width > have:
-        least = np.minimum(least[:-(width - have)], least[width - have:])
-    size = np.diff(offsets)
-    many = np.maximum(size - (window - 1), 0)
-    doc = np.repeat(np.arange(len(size)), many)
-    at = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many) + offsets[:-1][doc]
-    least = least[at]
-    new = np.ones(len(at), bool)
-    new[1:] = (least[1:] != least[:-1]) | (doc[1:] != doc[:-1])
-    start = np.flatnonzero(new)
-    place = np.arange(len(at)) - np.repeat(start, np.diff(np.append(start, len(at))))
-    start = np.flatnonzero(place % CELL == 0)
-    count = np.diff(np.append(start, len(at)))
-    return doc[start], at[start] - offsets[doc[start]], count, tx.mix(least[start])
-
-
-_ANCHORS = "part int, anchor binary, k binary, pos binary, known binary"
-_ANCHOR_TYPES = (pa.int32(), *[pa.binary()] * 4)
-
-
-def _batch(rows: list, types, names) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
-
-
-def _anchor_entries(docs: DataFrame, parts: int, window: int) -> DataFrame:
-    """First place of each anchor in each task's run of documents; the places of
-    those that several documents of the run hold pass through as known."""
-
-    def scan(batches):
-        for k, column in in_order(batches):
-            for keys, some in gathered(k, column):
-                base, found = 0, []
-                for texts in some:
-                    doc, pos, _, anchor = cells(texts, window)
-                    found.append((keys[base:base + len(texts)][doc], pos, anchor >> np.uint64(16)))
-                    base += len(texts)
-                key, pos, anchor = (np.concatenate(c) for c in zip(*found))
-                if not len(key):
-                    continue
-                order = np.argsort(anchor, kind="stable")
-                sorted_anchor, sorted_key = anchor[order], key[order]
-                new = np.ones(len(order), bool)
-                new[1:] = sorted_anchor[1:] != sorted_anchor[:-1]
-                begin = np.flatnonzero(new)
-                shared = sorted_key[begin] != sorted_key[np.append(begin[1:], len(order)) - 1]
-                known = np.sort(order[np.repeat(shared, np.diff(np.append(begin, len(order))))])
-                first = np.sort(order[begin])
-                target = (tx.mix(anchor[first]) % np.uint64(parts)).astype(np.int64)
-                dealt, edge = by_target(target, parts)
-                out = []
-                for p in np.flatnonzero(np.diff(edge)):
-                    own = first[dealt[edge[p]:edge[p + 1]]]
-                    six = anchor[own].view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-                    out.append((int(p), six, pack(key[own]), pack(pos[own]), None))
-                if len(known):
-                    out.append((int(key[0] % parts), b"", b"", b"", pack(np.stack([key[known], pos[known]]).ravel())))
-                yield _batch(out, _ANCHOR_TYPES, ["part", "anchor", "k", "pos", "known"])
-
-    return docs.select("k", "text").mapInArrow(scan, _ANCHORS)
-
-
-def _shared_cells(entries: DataFrame, groups: int) -> DataFrame:
-    """``home, k, pos`` of the cells whose anchor several documents hold."""
-
-    def match(key: tuple, table: pa.Table) -> pa.Table:
-        anchor, k, pos, places = [], [], [], []
-        for row in table.to_pylist():
-            if row["known"] is not None:
-                places.append(unpack(row["known"], np.int64).reshape(2, -1))
-                continue
-            six = np.frombuffer(row["anchor"], np.uint8).reshape(-1, 6)
-            wide = np.zeros((len(six), 8), np.uint8)
-            wide[:, :6] = six
-            anchor.append(wide.view(np.uint64).ravel())
-            k.append(unpack(row["k"], np.int64))
-            pos.append(unpack(row["pos"], np.int64))
-        if anchor:
-            anchor, k, pos = np.concatenate(anchor), np.concatenate(k), np.concatenate(pos)
-            order = np.argsort(anchor)
-            same = anchor[order[1:]] == anchor[order[:-1]]
-            again = np.zeros(len(order), bool)
-            again[order[1:]] |= same
-            again[order[:-1]] |= same
-            places.append(np.stack([k[again], pos[again]]))
-        k, pos = np.concatenate(places, axis=1)
-        order, begin = by_target(home(k, groups), groups)
-        rows = [(int(g), pack(k[order[begin[g]:begin[g + 1]]]), pack(pos[order[begin[g]:begin[g + 1]]]))
-                for g in np.flatnonzero(np.diff(begin))]
-        types = (pa.int32(), pa.binary(), pa.binary())
-        return pa.Table.from_batches([_batch(rows, types, ["home", "k", "pos"])])
-
-    return entries.groupBy("part").applyInArrow(match, "home int, k binary, pos binary")
-
-
-def _collapse(strings: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of each entry: the number of its distinct string, and whether its document
-    is the earliest of that string."""
-    _, which = np.unique(strings, return_inverse=True)
-    least = np.full(which.max() + 1 if len(which) else 0, np.iinfo(np.int64).max)
-    np.minimum.at(least, which, k)
-    return which, k == least[which]
-
-
-_STRINGS = "part int, anchor binary, size binary, data binary, entry binary, k binary, pos binary, known binary"
+_STRINGS = "part int, size binary, offset binary, data binary, entry binary, k binary, pos binary, known binary"
 _STRING_TYPES = (pa.int32(), *[pa.binary()] * 7)
 
 
@@ -290,39 +170,34 @@ def _strings(dealt: DataFrame, shared: DataFrame, parts: int, window: int, hot_s
         if wanted:
             wanted = np.concatenate(wanted, axis=1)
             wanted = wanted[:, np.lexsort((wanted[1], wanted[0]))]
-            strings, anchors, keys, places = [], [], [], []
+            data, found, base = [], [], 0
             for k, texts in dealt_texts(left):
                 mine = wanted[:, np.searchsorted(wanted[0], k[0]):np.searchsorted(wanted[0], k[-1], "right")]
                 mine = mine[:, np.isin(mine[0], k)]
                 if not mine.shape[1]:
                     continue
-                doc, pos, count, anchor = cells(texts, window)
-                # Both are in order of (key, place): mark the wanted cells.
+                doc, pos, count, offset, anchor, own = cells(texts, window)
                 begin = texts.offsets[doc] + pos
-                asked = texts.offsets[np.searchsorted(k, mine[0])] + mine[1]
-                some = np.flatnonzero(np.isin(begin, asked))
-                whole = texts.data.tobytes()
-                a = begin[some]
-                b = a + count[some] + window - 1
-                strings += [whole[i:j] for i, j in zip(a.tolist(), b.tolist())]
-                anchors.append(anchor[some])
-                keys.append(k[doc[some]])
-                places.append(pos[some])
-            if strings:
-                rows = _deal_strings(np.array(strings, object), np.concatenate(anchors), np.concatenate(keys),
-                                     np.concatenate(places), parts, window, hot_strings)
-        return pa.Table.from_batches([_batch(rows, _STRING_TYPES, ["part", "anchor", "size", "data", "entry", "k", "pos", "known"])])
+                some = np.isin(begin, texts.offsets[np.searchsorted(k, mine[0])] + mine[1])
+                found.append((begin[some] + base, count[some] + window - 1, offset[some], anchor[some], own[some],
+                              k[doc[some]], pos[some]))
+                data.append(texts.data)
+                base += len(texts.data)
+            if found:
+                rows = _deal_strings(np.concatenate(data), *(np.concatenate(c) for c in zip(*found)), parts, window, hot_strings)
+        return pa.Table.from_batches([_batch(rows, _STRING_TYPES, ["part", "size", "offset", "data", "entry", "k", "pos", "known"])])
 
     return dealt.groupBy("home").cogroup(shared.groupBy("home")).applyInArrow(cut, _STRINGS)
 
 
-def _distinct(strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First entry of each distinct string, and the string of each entry."""
-    seen: dict[bytes, int] = {}
-    which = np.fromiter((seen.setdefault(s, len(seen)) for s in strings), np.int64, len(strings))
-    first = np.full(len(seen), -1, np.int64)
-    first[which[::-1]] = np.arange(len(which))[::-1]
-    return first, which
+def _distinct(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One entry of each distinct combination, and the combination of each entry."""
+    order = np.lexsort(keys)
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([k[order[1:]] != k[order[:-1]] for k in keys])
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return order[new], which
 
 
 def _earliest(which: np.ndarray, k: np.ndarray, n: int) -> np.ndarray:
@@ -331,120 +206,100 @@ def _earliest(which: np.ndarray, k: np.ndarray, n: int) -> np.ndarray:
     return least
 
 
-def _deal_strings(strings, anchor, k, pos, parts: int, window: int, hot_strings: int) -> list:
-    first, which = _distinct(strings)
+def _deal_strings(data, begin, size, offset, anchor, own, k, pos, parts: int, window: int, hot_strings: int) -> list:
+    """Strings of a group of documents, ``data[begin:begin + size]``, by target."""
+    first, which = _distinct(own, anchor)
     # Anchors with very many distinct strings: every window is a string of its own.
-    names, per = np.unique(anchor[first], return_counts=True)
-    hot = np.isin(anchor, names[per > hot_strings])
-    route = anchor.copy()
+    names, inverse, per = np.unique(anchor[first], return_inverse=True, return_counts=True)
+    hot = (per[inverse] > hot_strings)[which]
     if hot.any():
+        many = size[hot] - (window - 1)
+        step = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+        single = [np.repeat(c[hot], many) for c in (begin, offset, k, pos)]
+        at = single[0] + step
+        hashed = tx.Rolling(tx.BYTE_VALUE[data]).spans(at, at + window)
         cold = ~hot
-        single, single_k, single_pos = [], [], []
-        for s, key, at in zip(strings[hot], k[hot].tolist(), pos[hot].tolist()):
-            for i in range(len(s) - window + 1):
-                single.append(s[i:i + window])
-                single_k.append(key)
-                single_pos.append(at + i)
-        one = tx.Texts(np.frombuffer(b"".join(single), np.uint8), np.arange(0, (len(single) + 1) * window, window), 0)
-        own = tx.Rolling(tx.BYTE_VALUE[one.data]).spans(one.offsets[:-1], one.offsets[1:]) if len(single) else np.zeros(0, np.uint64)
-        strings = np.concatenate([strings[cold], np.array(single, object)])
-        route = np.concatenate([anchor[cold], own])
-        k, pos = np.concatenate([k[cold], single_k]).astype(np.int64), np.concatenate([pos[cold], single_pos]).astype(np.int64)
-        first, which = _distinct(strings)
-    least = _earliest(which, k, len(first))
-    earliest = k == least[which]
-    size = np.fromiter(map(len, strings), np.int64, len(strings))
-    target = (tx.mix(route[first] ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(parts)).astype(np.int64)
+        begin, size = np.append(begin[cold], at), np.append(size[cold], np.full(len(at), window))
+        offset, anchor = np.append(offset[cold], single[1] - step), np.append(anchor[cold], hashed)
+        own, k, pos = np.append(own[cold], hashed), np.append(k[cold], single[2]), np.append(pos[cold], single[3] + step)
+        first, which = _distinct(own, anchor)
+    earliest = k == _earliest(which, k, len(first))[which]
+    target = (tx.mix(anchor[first] ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(parts)).astype(np.int64)
     order, edge = by_target(target, parts)
     mine = np.flatnonzero(earliest)
     mine = mine[np.argsort(which[mine], kind="stable")]
-    begin = np.searchsorted(which[mine], np.arange(len(first) + 1))
-    out = []
+    held = np.searchsorted(which[mine], np.arange(len(first) + 1))
+    whole, out = data.tobytes(), []
     for p in np.flatnonzero(np.diff(edge)):
-        own = order[edge[p]:edge[p + 1]]
-        count = begin[own + 1] - begin[own]
-        entry = np.repeat(np.arange(len(own)), count)
-        rows = mine[np.repeat(begin[own] - (np.cumsum(count) - count), count) + np.arange(len(entry))]
-        out.append((int(p), route[first[own]].tobytes(), pack(size[first[own]]),
-                    zstandard.compress(b"".join(strings[first[own]]), 3), pack(entry), pack(k[rows]), pack(pos[rows]), None))
+        some = order[edge[p]:edge[p + 1]]
+        count = held[some + 1] - held[some]
+        entry = np.repeat(np.arange(len(some)), count)
+        rows = mine[np.repeat(held[some] - (np.cumsum(count) - count), count) + np.arange(len(entry))]
+        strings = b"".join(whole[b:b + n] for b, n in zip(begin[first[some]].tolist(), size[first[some]].tolist()))
+        out.append((int(p), pack(size[first[some]]), pack(offset[first[some]]), zstandard.compress(strings, 1), pack(entry),
+                    pack(k[rows]), pack(pos[rows]), None))
     late = np.flatnonzero(~earliest)
     if len(late):
-        out.append((int(k[0] % parts), b"", b"", b"", b"", b"", b"", pack(np.stack([k[late], pos[late], size[late]]).ravel())))
+        out.append((int(k[0] % parts), *[b""] * 6, pack(np.stack([k[late], pos[late], size[late]]).ravel())))
     return out
 
 
-def build(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Column-wise construction over the strings ``data[offsets[i]:offsets[i + 1]]``.
-
-    Returns, for all suffixes in order (empty ones first): string, length, and
-    common prefix with the suffix before.  The state of a suffix is one 64-bit
-    record: transform symbol, common prefix, length, string.  A round inserts
-    the next longer suffix of every string that is not finished: the suffixes
-    it extends are the newest ones, and the place of an extension is the rank
-    of its symbol among all transform symbols before it (a stable sort of the
-    transform); the common prefix with a neighbour is one more than the least
-    common prefix between the two suffixes they extend."""
-    m = len(offsets) - 1
-    size = np.diff(offsets)
-    shift_lcp, shift_len, shift_id = np.uint64(8), np.uint64(16), np.uint64(24)
-    ids = np.arange(m)
-
-    def symbol(string, length):  # the symbol before the suffix of this length
-        at = offsets[string + 1] - length - 1
-        return np.where(length < size[string], data[np.maximum(at, 0)], END).astype(np.uint64)
-
-    state = symbol(ids, np.zeros(m, np.int64)) | (ids.astype(np.uint64) << shift_id)
-    newest = ids[size > 0]
-    length = 0
-    while len(newest):
-        order = np.argsort(state.view(np.uint8)[::8], kind="stable")  # the low byte: transform symbols
-        lcp = (state >> shift_lcp).astype(np.uint8)
-        flag = np.zeros(len(state), bool)
-        flag[newest] = True
-        flag = flag[order]
-        rank = np.flatnonzero(flag)                    # among all extensions, in order
-        string = (state[order[rank]] >> shift_id).astype(np.int64)
-        length += 1
-        # Least common prefix between each extended suffix and the one before with the same symbol.
-        need = np.flatnonzero(flag | np.concatenate([[False], flag[:-1]]))
-        need = need[need < len(order)]
-        symbols = state.view(np.uint8)[::8]
-        before = np.maximum(need - 1, 0)
-        alike = (need > 0) & (symbols[order[need]] == symbols[order[before]]) & (symbols[order[need]] != END)
-        low, high = order[before[alike]] + 1, order[need[alike]]
-        bounds = np.empty(2 * len(low), np.int64)
-        bounds[0::2], bounds[1::2] = low, high + 1
-        prefix = np.zeros(len(need), np.int64)
-        if len(low):
-            padded = np.append(lcp, np.uint8(0))
-            prefix[alike] = 1 + np.minimum.reduceat(padded, bounds)[0::2].astype(np.int64)
-        # Insert the extensions; the empty suffixes stay in front.
-        place = m + rank
-        new = np.empty(len(state) + len(place), np.uint64)
-        kept = np.ones(len(new), bool)
-        kept[place] = False
-        new[kept] = state
-        new[place] = symbol(string, np.full(len(string), length)) | (np.uint64(length) << shift_len) | (string.astype(np.uint64) << shift_id)
-        update = m + need
-        inside = (update < len(new))
-        real = symbols[order[need]] != END
-        update, prefix = update[inside & real], prefix[inside & real]
-        new[update] = (new[update] & ~np.uint64(0xFF00)) | (prefix.astype(np.uint64) << shift_lcp)
-        state = new
-        newest = place[size[string] > length]
-    return ((state >> shift_id).astype(np.int64), ((state >> shift_len) & np.uint64(0xFF)).astype(np.int64),
-            ((state >> shift_lcp) & np.uint64(0xFF)).astype(np.int64))
-
-
-def _equal_windows(data, offsets, owner, window: int):
+def columns(data: np.ndarray, begin: np.ndarray, size: np.ndarray, offset: np.ndarray):
+    """Column-wise construction over the strings ``data[begin:begin + size]``
+    whose symbol number ``offset`` stands in column 0.
+
+    Yields, from the last column to the first, ``(column, order, prefix)``: the
+    strings that have a symbol in the column, in the order of their suffixes
+    from there on (an end comes before any symbol; equal suffixes stay in the
+    order they have), and the common prefix of each with the one before.
+    A round takes the order of the suffixes one column further, with the
+    strings that end there in front, and sorts it stably by the symbol in this
+    column; the common prefix of neighbours with equal symbols is one more than
+    the least one between them before."""
+    last, first = size - offset - 1, -offset
+    order, prefix = np.zeros(0, np.int64), np.zeros(0, np.uint8)
+    if not len(size):
+        return
+    enters = np.argsort(-last, kind="stable")
+    edge = np.searchsorted(-last[enters], np.arange(-int(last.max()), -int(first.min()) + 2))
+    for i, column in enumerate(range(int(last.max()), int(first.min()) - 1, -1)):
+        stays = first[order] <= column
+        if not stays.all():
+            at = np.flatnonzero(stays)
+            if len(at):
+                prefix = np.minimum.reduceat(prefix[:at[-1] + 1], np.concatenate([[0], at[:-1] + 1]))
+            order, prefix = order[at], prefix[:len(at)]
+        fresh = np.sort(enters[edge[i]:edge[i + 1]])
+        if len(fresh):
+            prefix = np.concatenate([np.zeros(len(fresh) + (len(order) > 0), np.uint8), prefix[1:]])
+            order = np.concatenate([fresh, order])
+        if not len(order):
+            continue
+        symbol = data[begin[order] + offset[order] + column]
+        by = np.argsort(symbol, kind="stable")
+        ordered = symbol[by]
+        between = np.minimum.reduceat(np.append(prefix, np.uint8(0)), by + 1)
+        new = np.zeros(len(by), np.uint8)
+        new[1:] = np.where(ordered[1:] == ordered[:-1], between[:-1] + np.uint8(1), 0)
+        order, prefix = order[by], new
+        yield column, order, prefix
+
+
+def _equal_windows(data, begin, size, offset, owner, window: int):
     """``string, first byte`` of every window that a string of an earlier owner holds too."""
-    string, length, lcp = build(data, offsets)
-    begin = np.flatnonzero(lcp < window)
-    least = np.minimum.reduceat(owner[string], begin)
-    same = np.repeat(least, np.diff(np.append(begin, len(string))))
-    late = (length >= window) & (same < owner[string])
-    string = string[late]
-    return string, (offsets[string + 1] - length[late]) - offsets[string]
+    string, start = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for column, order, prefix in columns(data, begin, size, offset):
+        some = np.flatnonzero(prefix >= window)
+        if not len(some):
+            continue
+        new = np.ones(len(order), bool)
+        new[some] = False
+        head = np.flatnonzero(new)
+        least = np.minimum.reduceat(owner[order], head)[np.cumsum(new) - 1]
+        late = order[least < owner[order]]
+        string.append(late)
+        start.append(offset[late] + column)
+    return np.concatenate(string), np.concatenate(start)
 
 
 def _merge(k: np.ndarray, start: np.ndarray, window: int) -> np.ndarray:
@@ -463,41 +318,35 @@ def _spans(strings: DataFrame, groups: int, window: int) -> DataFrame:
     """``home, k, start, size``: removed spans found in each collection."""
 
     def sort(key: tuple, table: pa.Table) -> pa.Table:
-        spans, texts, anchors, k, pos, entry, n = [], [], [], [], [], [], 0
+        spans, data, sizes, offsets, k, pos, entry, n = [], [], [], [], [], [], [], 0
         for row in table.to_pylist():
             if row["known"] is not None:
                 spans.append(unpack(row["known"], np.int64).reshape(3, -1))
                 continue
-            size = unpack(row["size"], np.int64)
-            data, end = zstandard.decompress(row["data"]), np.cumsum(size)
-            texts += [data[e - s:e] for s, e in zip(size.tolist(), end.tolist())]
-            anchors.append(np.frombuffer(row["anchor"], np.uint64))
-            entry.append(unpack(row["entry"], np.int64) + n)
-            k.append(unpack(row["k"], np.int64))
-            pos.append(unpack(row["pos"], np.int64))
-            n += len(size)
+            data.append(zstandard.decompress(row["data"]))
+            for column, name in ((sizes, "size"), (offsets, "offset"), (entry, "entry"), (k, "k"), (pos, "pos")):
+                column.append(unpack(row[name], np.int64))
+            entry[-1] += n
+            n += len(sizes[-1])
         if n:
-            anchors, k, pos, entry = (np.concatenate(c) for c in (anchors, k, pos, entry))
-            first, which = _distinct(np.array(texts, object))
+            whole = b"".join(data)
+            size, offset, entry, k, pos = (np.concatenate(c) for c in (sizes, offsets, entry, k, pos))
+            begin = np.cumsum(size) - size
+            seen: dict[bytes, int] = {}
+            which = np.fromiter((seen.setdefault(whole[b:b + s], len(seen)) for b, s in zip(begin.tolist(), size.tolist())), np.int64, n)
+            first = np.empty(len(seen), np.int64)
+            first[which[::-1]] = np.arange(n)[::-1]
             own = which[entry]
             owner = _earliest(own, k, len(first))
-            size = np.fromiter(map(len, texts), np.int64, n)[first]
             late = k != owner[own]
-            spans.append(np.stack([k[late], pos[late], size[own[late]]]))
+            spans.append(np.stack([k[late], pos[late], size[first[own[late]]]]))
             k, pos, own = k[~late], pos[~late], own[~late]
-            # Strings whose anchor has another string, too.
-            names, inverse, per = np.unique(anchors[first], return_inverse=True, return_counts=True)
-            some = np.flatnonzero(per[inverse] > 1)
-            if len(some):
-                data = np.frombuffer(b"".join(texts[i] for i in first[some].tolist()), np.uint8)
-                offsets = np.concatenate([[0], np.cumsum(size[some])])
-                string, start = _equal_windows(data, offsets, owner[some], window)
-                order = np.argsort(own, kind="stable")
-                edge = np.searchsorted(own[order], np.arange(len(first) + 1))
-                string = some[string]
-                count = edge[string + 1] - edge[string]
-                at = order[np.repeat(edge[string] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))]
-                spans.append(_merge(k[at], pos[at] + np.repeat(start, count), window))
+            string, start = _equal_windows(np.frombuffer(whole, np.uint8), begin[first], size[first], offset[first], owner, window)
+            order = np.argsort(own, kind="stable")
+            edge = np.searchsorted(own[order], np.arange(len(first) + 1))
+            count = edge[string + 1] - edge[string]
+            at = order[np.repeat(edge[string] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))]
+            spans.append(_merge(k[at], pos[at] + np.repeat(start, count), window))
         all_spans = np.concatenate(spans, axis=1)
         order, begin = by_target(home(all_spans[0], groups), groups)
         rows = [(int(g), *(pack(c[order[begin[g]:begin[g + 1]]]) for c in all_spans)) for g in np.flatnonzero(np.diff(begin))]

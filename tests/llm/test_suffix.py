@@ -1,3 +1,5 @@
+import os
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -10,18 +12,23 @@ from . import brute
 from ..conftest import SF_SMALL
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.lists(st.text("ab", max_size=12), min_size=1, max_size=8))
-def test_construction_against_sorted_suffixes(strings):
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.text("ab", min_size=1, max_size=9), st.integers(0, 8)), min_size=1, max_size=9))
+def test_construction_against_sorted_suffixes(rows):
+    strings = [s for s, _ in rows]
+    offset = np.array([min(o, len(s) - 1) for s, o in rows])
     data = np.frombuffer("".join(strings).encode(), np.uint8)
-    offsets = np.concatenate([[0], np.cumsum([len(s) for s in strings])])
-    string, length, lcp = suffix.build(data if len(data) else np.zeros(1, np.uint8), offsets)
-    # An end of string sorts before every symbol, ends by their string's number.
-    rows = sorted((tuple(map(ord, s[i:])) + (-len(strings) + n,), n, len(s) - i) for n, s in enumerate(strings) for i in range(len(s) + 1))
-    assert [(n, size) for _, n, size in rows] == list(zip(string.tolist(), length.tolist()))
-    for (a, *_), (b, *_), got in zip(rows, rows[1:], lcp[1:].tolist()):
-        want = next(i for i in range(len(a)) if a[i] != b[i])
-        assert got == want
+    size = np.array([len(s) for s in strings])
+    seen = 0
+    for column, order, prefix in suffix.columns(data, np.cumsum(size) - size, size, offset):
+        tail = {i: s[o + column:] for i, (s, o) in enumerate(zip(strings, offset.tolist())) if 0 <= o + column < len(s)}
+        assert sorted(order.tolist()) == sorted(tail)
+        got = [tail[i] for i in order.tolist()]
+        assert got == sorted(got)
+        for a, b, n in zip(got, got[1:], prefix[1:].tolist()):
+            assert n == len(os.path.commonprefix([a, b]))
+        seen += len(tail)
+    assert seen == len(data)
 
 
 def _rows(df):
