@@ -7,13 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import archive, decontaminate, language, mixing, oracles, quality, relative_lz, sharding, simhash, suffix
+from . import archive, decontaminate, language, mixing, oracles, quality, relative_lz, sharding, simhash, suffix, templates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = templates.drop_recurring(_table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffix.remove_repeats(_table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -68,5 +73,5 @@ def op10_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_suffix, op3_language, op4_decontaminate, op5_mixing, op6_sharding, op7_warc, op8_quality, op9_simhash, op10_relative_lz)}
+QUERIES = {f.__name__: f for f in (op1_templates, op2_suffix, op3_language, op4_decontaminate, op5_mixing, op6_sharding, op7_warc, op8_quality, op9_simhash, op10_relative_lz)}
 ORACLES: dict[str, str] = dict(oracles.ORACLES)

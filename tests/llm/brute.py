@@ -128,3 +128,46 @@ def repeated_bytes(rows, size=50):
         kept = bytes(b for b, g in zip(data, gone) if not g)
         out[key] = (len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest())
     return out
+
+
+def recurring_lines(rows, depth=3, min_tokens=3, min_docs=3, min_fixed=0.5):
+    """{(id, text): (n_lines, n_dropped, kept text)} by the log-template tree."""
+    keys = sorted(set(rows), key=document_order)
+    leaves = collections.defaultdict(lambda: collections.defaultdict(set))
+    parsed = {}
+    for key in keys:
+        parsed[key] = []
+        for line in (key[1] or "").split("\n"):
+            tokens = tuple("<*>" if re.search("[0-9@]", w) else w for w in SPACE.findall(line))
+            leaf = (len(tokens), tokens[:depth]) if len(tokens) >= min_tokens else None
+            parsed[key].append((line, leaf, tokens))
+            if leaf:
+                leaves[leaf][tokens].add(key)
+    template = {}
+    for leaf, lines in leaves.items():
+        places = collections.Counter()
+        for tokens, docs in lines.items():
+            for i, t in enumerate(tokens):
+                places[i, t] += len(docs)
+        for tokens in lines:
+            if len(lines) == 1:
+                general = tokens
+            else:
+                general = tuple(t if t != "<*>" and places[i, t] >= min_docs else "<*>" for i, t in enumerate(tokens))
+            if sum(t != "<*>" for t in general) >= min_fixed * len(general) and sum(map(len, lines.values())) >= min_docs:
+                template[leaf, tokens] = (leaf, general)
+    holders = collections.defaultdict(set)
+    for (leaf, tokens), t in template.items():
+        holders[t] |= leaves[leaf][tokens]
+    order = {key: i for i, key in enumerate(keys)}
+    out = {}
+    for key in keys:
+        left, n = [], 0
+        for line, leaf, tokens in parsed[key]:
+            t = template.get((leaf, tokens))
+            if t and len(holders[t]) >= min_docs and min(holders[t], key=order.get) != key:
+                n += 1
+            else:
+                left.append(line)
+        out[key] = (sum(bool(x[0]) for x in parsed[key]), n, "\n".join(left))
+    return out
