@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -82,12 +83,18 @@ def by_target(target: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(target[order], np.arange(n + 1))
 
 
-def in_order(batches):
-    """``(k, column)`` per batch, rows sorted by key."""
+def in_order(batches, slice_bytes: int = BLOCK_BYTES):
+    """``(k, column)`` of parts of each batch, rows sorted by key; a part is a
+    copy of about ``slice_bytes``, so that a large batch is not held twice."""
     for batch in batches:
         k = batch.column(0).to_numpy(zero_copy_only=False)
         order = np.argsort(k, kind="stable")
-        yield k[order], batch.column(1).take(pa.array(order))
+        size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(size[order], dtype=np.int64) // slice_bytes
+        edge = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(order)]])
+        for at, to in zip(edge[:-1].tolist(), edge[1:].tolist()):
+            own = order[at:to]
+            yield k[own], batch.column(1).take(pa.array(own))
 
 
 def gathered(k: np.ndarray, column: pa.Array, block_bytes: int = BLOCK_BYTES):

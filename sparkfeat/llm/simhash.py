@@ -190,7 +190,8 @@ def _classes(rows: DataFrame, id_col: str, max_bits: int) -> DataFrame:
     root = connected_components(links(distinct.select("fp"), max_bits))
     of = distinct.join(root.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = of.groupBy("root").agg(F.min("__least").alias("component_id"))
-    return materialize(of.join(least, "root").select("fp", "root", "component_id"), "simhash-components")
+    of = join_hot(materialize(of, "simhash-roots"), least, ["root"])
+    return materialize(of.select("fp", "root", "component_id"), "simhash-components")
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,

@@ -156,7 +156,8 @@ def chunks(column: pa.Array, chunk_bytes: int = CHUNK_BYTES):
     is a chunk of its own)."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column, "")
+    if column.null_count:
+        column = pc.fill_null(column, "")
     if not len(column):
         return
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
