@@ -1,6 +1,51 @@
 """DuckDB SQL of the operators' queries that SQL can express."""
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_SPACE = r"[^\x20\x09-\x0D]+"
+
 ORACLES = {
+    "op2_suffix": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+b AS (SELECT doc_id, h, p, p + 50 <= length(h) // 2 AS whole FROM (SELECT doc_id, h, unnest(range(length(h) // 2)) AS p FROM d)),
+w AS (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY substr(h, 2 * p + 1, 100)) < doc_id AS late FROM b WHERE whole),
+g AS (SELECT b.doc_id, b.p, substr(b.h, 2 * b.p + 1, 2) AS x,
+             coalesce(max(CASE WHEN w.late THEN 1 ELSE 0 END) OVER (PARTITION BY b.doc_id ORDER BY b.p ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 0) AS gone
+      FROM b LEFT JOIN w ON b.doc_id = w.doc_id AND b.p = w.p),
+r AS (SELECT *, coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY p), 0) AS before FROM g),
+s AS (SELECT doc_id, count(*) AS n, sum(gone) AS removed, sum(CASE WHEN gone = 1 AND before = 0 THEN 1 ELSE 0 END) AS spans,
+             coalesce(string_agg(x, '' ORDER BY p) FILTER (WHERE gone = 0), '') AS kept FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN s ON d.doc_id = s.doc_id
+""",
+    "op4_decontaminate": f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS ws FROM documents),
+i AS (SELECT item_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS ws FROM benchmark),
+iw AS (SELECT DISTINCT item_id, least(13, len(ws)) AS m, array_to_string(ws[a:a + least(13, len(ws)) - 1], ' ') AS s
+       FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 12, 1) + 1)) AS a FROM i WHERE len(ws) > 0)),
+m AS (SELECT DISTINCT m FROM iw),
+dw AS (SELECT doc_id, m, a, array_to_string(ws[a:a + m - 1], ' ') AS s
+       FROM (SELECT doc_id, ws, m, unnest(range(1, len(ws) - m + 2)) AS a FROM d, m WHERE len(ws) >= m)),
+f AS (SELECT DISTINCT dw.doc_id, dw.a, dw.m, iw.item_id FROM dw JOIN iw ON dw.s = iw.s AND dw.m = iw.m),
+h AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(a, a + m)) AS p FROM f) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS names
+      FROM (SELECT DISTINCT doc_id, item_id FROM f) GROUP BY doc_id)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(t.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(h.n, 0) > 0 AND 20 * coalesce(h.n, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
+""",
+    "op10_relative_lz": f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_SPACE}') AS ws FROM documents),
+w AS (SELECT doc_id, p, ws[p] AS word, CASE WHEN p + 19 <= len(ws) THEN array_to_string(ws[p:p + 19], ' ') END AS s
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS p FROM d)),
+r AS (SELECT doc_id, p, word, CASE WHEN s IS NOT NULL AND row_number() OVER (PARTITION BY s ORDER BY doc_id, p) > 1 THEN 1 ELSE 0 END AS late FROM w),
+g AS (SELECT doc_id, p, word, max(late) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone FROM r),
+s AS (SELECT doc_id, count(*) AS n, sum(gone) AS removed, coalesce(string_agg(word, ' ' ORDER BY p) FILTER (WHERE gone = 0), '') AS kept
+      FROM g GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_words, coalesce(removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN s ON d.doc_id = s.doc_id
+""",
     "op7_warc": """
 WITH p AS (
   SELECT page_id, url, coalesce(encode(html), ''::BLOB) AS payload FROM pages
