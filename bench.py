@@ -73,7 +73,7 @@ def main():
         return X.materialize(data.select("FOD_ID", "FIRE_SIZE_CLASS", "label", "features"), "bench-data")
 
     data = timed("feature_stages", fit_stages)
-    train, test = hash_split(data, "FOD_ID")
+    train, test = hash_split(data.repartition(int(cpus), "FOD_ID"), "FOD_ID")
     train.persist(), test.persist()
     train.count(), test.count()
 

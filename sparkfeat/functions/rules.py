@@ -52,7 +52,8 @@ def region_of(lat: Column, lon: Column, rules=None, default: str | None = None)
     for name, min_lat, max_lon in rules:
         cond = F.lit(True)
         if min_lat is not None:
-            cond = cond & (lat >= F.lit(min_lat))
+            # NaN is above every number in Spark; no comparison with it should hold.
+            cond = cond & (lat >= F.lit(min_lat)) & ~F.isnan(lat.cast("double"))
         if max_lon is not None:
             cond = cond & (lon <= F.lit(max_lon))
         branches.append((cond, F.lit(name)))

@@ -11,19 +11,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .lookup import MAX_BROADCAST_ROWS, join_lookup
+from .lookup import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, ROW_OVERHEAD_BYTES, join_lookup
 from .profile import Profile, profile
 
 
 def attach_counts(df: DataFrame, prof: Profile, outputs: dict[str, str],
                   max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join the per-value counts of a :class:`Profile` onto ``df``."""
+    """Join the per-value counts of a :class:`Profile` onto ``df``.  All lookups
+    share one byte budget for what they broadcast."""
+    budget = MAX_BROADCAST_BYTES
     for c, out in outputs.items():
         lk = prof.counts[c].withColumnRenamed("n", out)
+        size = prof.count_rows[c] * (prof.key_bytes.get(c, 0) + ROW_OVERHEAD_BYTES)
         df = join_lookup(df, lk, [c], [out], lookup_rows=prof.count_rows[c],
                          row_counts=out, total_rows=prof.total_rows,
                          key_bytes=prof.key_bytes.get(c, 0),
-                         max_broadcast_rows=max_broadcast_rows)
+                         max_broadcast_rows=max_broadcast_rows, max_broadcast_bytes=budget)
+        if prof.count_rows[c] <= max_broadcast_rows and size <= budget:
+            budget -= size
     return df
 
 

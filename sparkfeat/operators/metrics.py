@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import constants as K
 from ..functions.rules import decode_label
 from .lookup import join_lookup
 
@@ -28,14 +29,15 @@ def confusion_long(pred: DataFrame, label: str = "label", prediction: str = "pre
 def confusion_wide(pred: DataFrame, labels: list[str], label: str = "label",
                    prediction: str = "prediction") -> DataFrame:
     """Rows = true class name, one bigint column per predicted class name
-    (every known class, 0 when never predicted) (#33).  Unknown codes decode
-    to 'N/A'."""
+    (every known class and 'N/A', 0 when never predicted) (#33).  Unknown codes
+    decode to 'N/A', so a row's columns add up to its class's rows."""
     named = confusion_long(pred, label, prediction).select(
         decode_label(F.col(label), labels).alias("label"),
         decode_label(F.col(prediction), labels).alias("__pred"), "count")
-    wide = named.groupBy("label").pivot("__pred", list(labels)).agg(F.sum("count"))
+    names = list(dict.fromkeys([*labels, K.MISSING_LABEL_NAME]))
+    wide = named.groupBy("label").pivot("__pred", names).agg(F.sum("count"))
     return wide.select("label", *[F.coalesce(F.col(f"`{n}`"), F.lit(0)).cast("bigint").alias(n)
-                                  for n in labels])
+                                  for n in names])
 
 
 def _class_counts(pred: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -68,9 +70,9 @@ def per_class_metrics(pred: DataFrame, labels: list[str], label: str = "label",
     spark = pred.sparkSession
     known = spark.createDataFrame([(float(i), name) for i, name in enumerate(labels)],
                                   "code double, class string")
-    counts = _class_counts(pred, label, prediction)
-    # ``known`` holds one row per fitted class: a bound fixed by the label list.
-    j = join_lookup(known, counts, ["code"], ["tp", "fp", "fn"], lookup_rows=len(labels) + 1)
+    # Only codes of the fitted label list, so at most one row per label is broadcast.
+    counts = _class_counts(pred, label, prediction).where(F.col("code").isin([float(i) for i in range(len(labels))]))
+    j = join_lookup(known, counts, ["code"], ["tp", "fp", "fn"], lookup_rows=len(labels))
     tp, fp, fn = (F.coalesce(F.col(c), F.lit(0)).cast("double") for c in ("tp", "fp", "fn"))
     p, r, f = _prf(tp, fp, fn)
     return j.select("class", p.alias("precision"), r.alias("recall"), f.alias("f1"))

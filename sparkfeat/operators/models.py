@@ -45,10 +45,11 @@ def fit_score(estimator, train: DataFrame, test: DataFrame):
     return model, model.transform(test)
 
 
-def evaluate(pred: DataFrame, label: str = "label") -> tuple[float, float]:
-    """(accuracy, weighted F1) from one aggregate over the predictions."""
+def evaluate(pred: DataFrame, label: str = "label") -> tuple[float | None, float | None]:
+    """(accuracy, weighted F1) from one aggregate over the predictions; nulls
+    when there is nothing to score."""
     row = accuracy_f1(pred, label).collect()[0]
-    return float(row["accuracy"]), float(row["f1_weighted"])
+    return row["accuracy"], row["f1_weighted"]
 
 
 def slot_sources(df: DataFrame, vec: str = "raw_features") -> list[str]:
@@ -91,21 +92,28 @@ def feature_importances(model, transformed: DataFrame, vec: str = "raw_features"
 def compare_models(train: DataFrame, test: DataFrame, *, experiment: str, variant: str,
                    k: int | None = None, models=MULTICLASS + ("GBT",), weight: str | None = None,
                    target: str = K.TARGET, params: dict | None = None,
-                   train_rows: int | None = None, test_rows: int | None = None) -> list[tuple]:
+                   train_rows: int | None = None, test_rows: int | None = None,
+                   fitted: dict | None = None) -> list[tuple]:
     """Fit, score and evaluate each model; one report row per model (#53).
+    Row counts are taken here unless given; ``fitted`` (a dict) receives each
+    model and its predictions, so nothing has to be fitted again for details.
     ``seconds`` covers fit + score + evaluation.  GBT trains on the binary
     target and is scored with the same (support-weighted) F1."""
     params = params or {}
     rows = []
+    train_rows = train.count() if train_rows is None else train_rows
+    test_rows = test.count() if test_rows is None else test_rows
     for name in models:
         t0 = time.time()
         if name == "GBT":
             est = classifier("GBT", label="binary_label", **params.get(name, {}))
-            _, pred = fit_score(est, with_binary_label(train, target), with_binary_label(test, target))
+            model, pred = fit_score(est, with_binary_label(train, target), with_binary_label(test, target))
             acc, f1 = evaluate(pred, "binary_label")
         else:
             est = classifier(name, weight=weight, **params.get(name, {}))
-            _, pred = fit_score(est, train, test)
+            model, pred = fit_score(est, train, test)
             acc, f1 = evaluate(pred)
+        if fitted is not None:
+            fitted[name] = (model, pred)
         rows.append((experiment, variant, k, name, train_rows, test_rows, acc, f1, time.time() - t0))
     return rows

@@ -59,8 +59,8 @@ def profile(df: DataFrame, count_cols: list[str] = (), minmax_cols: list[str] =
 
     all_bits = (1 << n) - 1
     gid = {c: all_bits - (1 << (n - 1 - i)) for i, c in enumerate(count_cols)}
-    widest = F.greatest(*[F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) for c in count_cols]) \
-        if len(count_cols) > 1 else F.coalesce(F.length(F.col(count_cols[0]).cast("string")), F.lit(0))
+    widest = F.greatest(*[F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in count_cols]) \
+        if len(count_cols) > 1 else F.coalesce(F.octet_length(F.col(count_cols[0]).cast("string")), F.lit(0))
     summary = {r["__gid"]: r for r in table.groupBy("__gid").agg(
         F.count(F.lit(1)).alias("keys"), F.max(widest).alias("key_bytes"),
         *[F.min(f"__min_{c}").alias(f"__min_{c}") for c in minmax_cols],

@@ -23,11 +23,20 @@ def hash_bucket(key: Column) -> Column:
 
 
 def is_train(key: Column, fraction: float = K.TRAIN_FRACTION) -> Column:
+    """Null for a null key; use :func:`train_flag` where keys can be null."""
     return hash_bucket(key) < F.lit(int(round(fraction * HASH_BUCKETS)))
 
 
+def train_flag(df: DataFrame, key: str, fraction: float = K.TRAIN_FRACTION) -> Column:
+    """Never null: a row without a key is assigned by a hash of its other
+    columns, so such rows spread over both parts and none is lost."""
+    rest = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(HASH_BUCKETS))
+    bucket = F.coalesce(hash_bucket(F.col(key)), rest)
+    return bucket < F.lit(int(round(fraction * HASH_BUCKETS)))
+
+
 def hash_split(df: DataFrame, key: str, fraction: float = K.TRAIN_FRACTION) -> tuple[DataFrame, DataFrame]:
-    flag = is_train(F.col(key), fraction)
+    flag = train_flag(df, key, fraction)
     return df.where(flag), df.where(~flag)
 
 

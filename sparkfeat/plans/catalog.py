@@ -24,7 +24,7 @@ from ..operators.clean import drop_null_target, fill_constant, numeric_as_double
 from ..operators.frequency import cell_density, frequency_encode
 from ..operators.split import is_train
 from ..operators.weights import attach_class_weights
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources.adapter import incidents
 from ..sources.csv import read_csv, write_csv
 from ..sources.incidents import dataset_shape, scan_incidents
@@ -319,21 +319,22 @@ def q_standard_scale(spark, sf_dir):
 @query
 def q_pca_explained(spark, sf_dir):
     df = S.assembler(["LATITUDE", "LONGITUDE"], out="scaled_features").transform(_ml_input(spark, sf_dir))
-    model = S.pca_fit(df, 1)
-    ev = float(sum(model.explainedVariance.toArray()))
-    # The fitted variance is a model parameter; report it against the fitted rows.
-    return df.agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit(1).alias("k"), _round(F.lit(ev)).alias("explained_variance"))
+    ev = float(sum(S.pca_fit(df, 1).explainedVariance.toArray()))
+    return spark.createDataFrame([(1, ev)], "k int, ev double").select("k", _round(F.col("ev")).alias("explained_variance"))
 
 
 # ---------------------------------------------------------------- models and experiments (rows-only)
 
+#: Partitions of the training rows: fixed, so seeded fits do not depend on the cluster.
+FIT_PARTITIONS = 8
 _NO_SECONDS = ["experiment", "variant", "k", "model", "train_rows", "test_rows", "accuracy", "f1_weighted"]
 
 
 def model_input(spark, sf_dir):
-    """Feature table of the whole adapter, typed for the ML stages and materialised."""
-    return X.prepare(engineer_features(incidents(spark, sf_dir)))
+    """Feature table of the whole adapter, typed for the ML stages and materialised.
+    The adapter's joins run once; the feature job then scans their result."""
+    raw = materialize(incidents(spark, sf_dir), "incidents")
+    return X.prepare(engineer_features(raw))
 
 
 def transformed(spark, sf_dir, **opts):
@@ -345,7 +346,7 @@ def transformed(spark, sf_dir, **opts):
 def _class_weight_parts(spark, sf_dir):
     df, cats, nums = model_input(spark, sf_dir)
     stages = S.feature_stages(cats, nums, label_order="alphabetAsc", handle_invalid="keep")
-    return X._fit_transform(stages, df, "hash", K.ID_COLUMN, "all")
+    return X._fit_transform(stages, df, "hash", K.ID_COLUMN, "all", FIT_PARTITIONS)
 
 
 @query
@@ -364,6 +365,13 @@ def _predictions(spark, sf_dir, name):
     return pred.select("FOD_ID", "label", "prediction")
 
 
+@query
+def q_model_test_part(spark, sf_dir):
+    """Keys and labels that every model is scored on."""
+    _, _, _, test = _class_weight_parts(spark, sf_dir)
+    return test.select("FOD_ID", F.col("label").cast("int").alias("label"))
+
+
 @query
 def q_model_random_forest(spark, sf_dir):
     return _predictions(spark, sf_dir, "RandomForest")
@@ -388,8 +396,9 @@ def q_model_gbt_binary(spark, sf_dir):
 def q_model_weighted(spark, sf_dir):
     model, _, train, test = _class_weight_parts(spark, sf_dir)
     weighted = attach_class_weights(train, max_classes=len(S.fitted_labels(model)) + 1)
-    rows = MD.compare_models(weighted, test, experiment="class_weight", variant="weighted",
-                             models=MD.MULTICLASS, weight="weight")
+    rows = MD.compare_models(train, test, experiment="class_weight", variant="baseline", models=MD.MULTICLASS)
+    rows += MD.compare_models(weighted, test, experiment="class_weight", variant="weighted",
+                              models=MD.MULTICLASS, weight="weight")
     return spark.createDataFrame(rows, MD.COMPARISON_SCHEMA).select(*_NO_SECONDS)
 
 
@@ -403,7 +412,7 @@ def q_top_importances(spark, sf_dir):
 @query
 def q_compare_models(spark, sf_dir):
     df, cats, nums = model_input(spark, sf_dir)
-    _, _, train, test = X._fit_transform(S.feature_stages(cats, nums), df, "hash", K.ID_COLUMN, "all")
+    _, _, train, test = X._fit_transform(S.feature_stages(cats, nums), df, "hash", K.ID_COLUMN, "all", FIT_PARTITIONS)
     rows = MD.compare_models(train, test, experiment="scaling", variant="scaled")
     return spark.createDataFrame(rows, MD.COMPARISON_SCHEMA).select(*_NO_SECONDS)
 
@@ -420,7 +429,7 @@ def q_pca_variance(spark, sf_dir):
 
 def _experiment(spark, sf_dir, name):
     df, cats, nums = model_input(spark, sf_dir)
-    return X.EXPERIMENTS[name](df, cats, nums).comparison.select(*_NO_SECONDS)
+    return X.EXPERIMENTS[name](df, cats, nums, fit_partitions=FIT_PARTITIONS).comparison.select(*_NO_SECONDS)
 
 
 @query

@@ -42,7 +42,7 @@ def run(spark, a, **opts) -> dict:
         if a.output:
             df.write.mode("overwrite").parquet(f"{a.output}/{a.experiment}/{name}")
         else:
-            df.show(50, truncate=False)
+            df.show(max(1, df.count()), truncate=False)  # small tables: classes, models, slots
     return tables
 
 

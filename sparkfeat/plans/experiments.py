@@ -5,7 +5,8 @@ the pipeline fit: each estimator fit is a separate pass, and these passes then
 read the columnar copy instead of re-running the feature job.  Train and test
 parts are persisted around the repeated model fits and released in
 ``finally``.  The default split hashes the row key, so a recomputed partition
-lands in the same part; ``split='random'`` uses ``randomSplit`` (seed 42).
+lands in the same part; ``split='random'`` draws the part once (seed 42) and
+writes it.
 """
 
 from __future__ import annotations
@@ -14,16 +15,16 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import VectorSlicer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..operators.clean import available_features, non_empty_columns, numeric_as_double
 from ..operators.metrics import confusion_wide, per_class_metrics
-from ..operators.models import (COMPARISON_SCHEMA, MULTICLASS, classifier, compare_models,
-                                feature_importances, fit_score)
-from ..operators.split import hash_split, random_split
+from ..operators.models import (COMPARISON_SCHEMA, MULTICLASS, compare_models,
+                                feature_importances)
+from ..operators.split import train_flag
 from ..operators.stages import feature_stages, fitted_labels, pca_fit, scaler
 from ..operators.weights import attach_class_weights
 from ..session import materialize
@@ -35,73 +36,66 @@ class Report:
     tables: dict[str, DataFrame] = field(default_factory=dict)
 
 
-MIN_ROWS_PER_FIT_TASK = 20_000
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Iterative fits parallelise by partition.  ``df`` must be a plain file
-    scan (counting its splits then runs nothing).  Fewer splits than task
-    slots means the table is small (under slots x maxPartitionBytes), so it is
-    spread by key hash and written again, which is cheap exactly when it
-    happens; a large table already has more splits than slots and is returned
-    as is."""
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # no RDD-level access in this session: leave the layout as is
-        return df
-    if parts >= slots:
-        return df
-    # Below ~20k rows per task, per-iteration task overhead outweighs the
-    # parallel work of an iterative fit.
-    want = min(slots, max(1, df.count() // MIN_ROWS_PER_FIT_TASK))
-    if want <= parts:
-        return df
-    key = [c for c in (K.ID_COLUMN,) if c in df.columns]
-    return materialize(df.repartition(want, *key) if key else df.repartition(want), "spread")
-
-
 def prepare(features: DataFrame, cats=None, nums=None, persist: bool = True):
     """Available model inputs, numerics cast to double, materialised (#8).
     Numeric columns without a single value are dropped (the imputer has no
     mean for them)."""
     cats, nums = available_features(features, cats, nums)
     df = numeric_as_double(features, nums)
-    df = spread(materialize(df, "model-input")) if persist else df
+    df = materialize(df, "model-input") if persist else df
     return df, cats, non_empty_columns(df, nums)
 
 
-def _split(df: DataFrame, split: str, key: str):
-    return hash_split(df, key) if split == "hash" else random_split(df)
+PART = "__train"
+
+
+def with_part(df: DataFrame, split: str, key: str) -> DataFrame:
+    """Add the row's part (``PART``: True for training) once; stages, PCA and
+    models all use this column, so no part can differ between them.
+    ``split='hash'`` hashes the key; ``split='random'`` draws a seeded number
+    per row and writes it, so that it is never drawn again."""
+    if split == "hash":
+        return df.withColumn(PART, train_flag(df, key))
+    if split != "random":
+        raise ValueError("split must be 'hash' or 'random'")
+    return materialize(df.withColumn(PART, F.rand(K.SEED) < F.lit(K.TRAIN_FRACTION)), "parts")
+
+
+def _rows_to_fit(df: DataFrame, fit_on: str) -> DataFrame:
+    if fit_on not in ("all", "train"):
+        raise ValueError("fit_on must be 'all' or 'train'")
+    return df if fit_on == "all" else df.where(PART)
+
+
+def _parts(data: DataFrame, key: str, fit_partitions: int | None):
+    """Train and test rows.  Iterative fits run by partition and seeded tree
+    fits depend on it: ``fit_partitions`` fixes the number of partitions (and
+    the order of rows in them); by default the scan's splits are left alone."""
+    if fit_partitions:
+        data = data.repartition(fit_partitions, key).sortWithinPartitions(key)
+    return data.where(PART).drop(PART), data.where(~F.col(PART)).drop(PART)
 
 
 def model_columns(df: DataFrame, key: str = K.ID_COLUMN, features: str = "features") -> DataFrame:
     """Only what the fits read: key, label, target (for the binary label) and
     the feature vector; cached parts then hold no intermediate columns."""
-    return df.select(*[c for c in (key, "label", K.TARGET, features) if c in df.columns])
-
-
-def _fit_transform(pipeline, df: DataFrame, split: str, key: str, fit_on: str):
-    """Fit the feature stages, transform, split.
-
-    ``fit_on='all'`` fits on every row before the split (the source job's
-    behaviour); ``fit_on='train'`` splits first and fits imputer, indexers and
-    scaler on the training part only, so no test statistics leak into the
-    features.  The transformed model columns are written once to the shared
-    checkpoint folder: every later fit pass (tree metadata, split finding,
-    iterations) reads that copy instead of re-running the transforms."""
-    if fit_on == "all":
-        model = pipeline.fit(df)
-        data = materialize(model_columns(model.transform(df), key), "model-data")
-        train, test = _split(data, split, key)
-        return model, model.transform(df), train, test
-    if fit_on != "train":
-        raise ValueError("fit_on must be 'all' or 'train'")
-    raw_train, raw_test = _split(df, split, key)
-    model = pipeline.fit(raw_train)
-    train = materialize(model_columns(model.transform(raw_train), key), "model-train")
-    test = materialize(model_columns(model.transform(raw_test), key), "model-test")
-    return model, model.transform(df), train, test
+    return df.select(*[c for c in (key, "label", K.TARGET, features, PART) if c in df.columns])
+
+
+def _fit_transform(pipeline, df: DataFrame, split: str, key: str, fit_on: str, fit_partitions: int | None = None):
+    """Split once, fit the feature stages, transform.
+
+    ``fit_on='all'`` fits on every row (the source job's behaviour);
+    ``fit_on='train'`` fits imputer, indexers and scaler on the training part
+    only, so no test statistics leak into the features.  The transformed model
+    columns are written once to the shared checkpoint folder: every later fit
+    pass (tree metadata, split finding, iterations) reads that copy instead of
+    re-running the transforms."""
+    df = with_part(df, split, key)
+    model = pipeline.fit(_rows_to_fit(df, fit_on))
+    transformed = model.transform(df)
+    train, test = _parts(materialize(model_columns(transformed, key), "model-data"), key, fit_partitions)
+    return model, transformed, train, test
 
 
 @contextmanager
@@ -122,75 +116,87 @@ def _report(spark: SparkSession, rows: list[tuple], tables=None) -> Report:
 
 def class_weight_experiment(df: DataFrame, cats: list[str], nums: list[str], *, split: str = "hash",
                             key: str = K.ID_COLUMN, params: dict | None = None,
-                            fit_on: str = "all") -> Report:
+                            fit_on: str = "all", fit_partitions: int | None = None) -> Report:
     """Baseline RF / DT / LR, RF details (confusion, per-class metrics,
-    importances), then the same models trained with balanced class weights
-    computed on the training part; the test part stays unweighted (#55)."""
+    importances) from the same forest and its predictions, written once, then
+    the same models trained with balanced class weights computed on the
+    training part; the test part stays unweighted (#55).  Six fits."""
     spark = df.sparkSession
     stages = feature_stages(cats, nums, label_order="alphabetAsc", handle_invalid="keep")
-    model, data, train, test = _fit_transform(stages, df, split, key, fit_on)
+    model, data, train, test = _fit_transform(stages, df, split, key, fit_on, fit_partitions)
     labels = fitted_labels(model)
     with persisted(train, test):
         n_train, n_test = train.count(), test.count()
         common = dict(experiment="class_weight", train_rows=n_train, test_rows=n_test, params=params)
-        rows = compare_models(train, test, variant="baseline", models=MULTICLASS, **common)
-        rf, pred = fit_score(classifier("RandomForest", **(params or {}).get("RandomForest", {})),
-                             train, test)
+        fitted: dict = {}
+        rows = compare_models(train, test, variant="baseline", models=MULTICLASS, fitted=fitted, **common)
+        forest, pred = fitted["RandomForest"]
+        pred = materialize(pred.select("label", "prediction"), "forest-predictions")
         tables = {
             "confusion": confusion_wide(pred, labels),
             "per_class": per_class_metrics(pred, labels),
-            "importances": feature_importances(rf, data),
+            "importances": feature_importances(forest, data),
         }
         weighted = attach_class_weights(train, max_classes=len(labels) + 1)
-        rows += compare_models(weighted, test, variant="weighted", models=MULTICLASS,
-                               weight="weight", **common)
+        with persisted(weighted):
+            rows += compare_models(weighted, test, variant="weighted", models=MULTICLASS,
+                                   weight="weight", **common)
         tables = {k: materialize(v, f"report-{k}") for k, v in tables.items()}
     return _report(spark, rows, tables)
 
 
+def _scaled_base(df: DataFrame, cats: list[str], nums: list[str], split: str, key: str, fit_on: str):
+    """Rows with ``raw_features`` and ``scaled_features``, written once: all
+    common stages are fitted a single time."""
+    df = with_part(df, split, key)
+    common = Pipeline(stages=feature_stages(cats, nums).getStages()[:-1]).fit(_rows_to_fit(df, fit_on))
+    raw = materialize(common.transform(df).select(*[c for c in (key, "label", K.TARGET, PART, "raw_features") if c in df.columns
+                                                    or c in ("label", "raw_features")]), "raw-features")
+    scale = scaler("raw_features", "scaled_features").fit(_rows_to_fit(raw, fit_on))
+    return materialize(scale.transform(raw), "scaled-features")
+
+
 def scaling_experiment(df: DataFrame, cats: list[str], nums: list[str], *, split: str = "hash",
                        key: str = K.ID_COLUMN, params: dict | None = None,
-                       fit_on: str = "all") -> Report:
-    """All four models with and without standard scaling (#56)."""
-    spark = df.sparkSession
+                       fit_on: str = "all", fit_partitions: int | None = None) -> Report:
+    """All four models with and without standard scaling (#56).  Both arms share
+    the imputer, indexers, encoder and assembler; only the scaler differs."""
     rows = []
-    for scaled in (True, False):
-        _, _, train, test = _fit_transform(feature_stages(cats, nums, scaling=scaled), df, split, key, fit_on)
+    base = _scaled_base(df, cats, nums, split, key, fit_on)
+    for variant, vector in (("scaled", "scaled_features"), ("unscaled", "raw_features")):
+        data = model_columns(base.withColumnRenamed(vector, "features"), key)
+        train, test = _parts(data, key, fit_partitions)
         with persisted(train, test):
-            rows += compare_models(train, test, experiment="scaling",
-                                   variant="scaled" if scaled else "unscaled",
-                                   train_rows=train.count(), test_rows=test.count(), params=params)
-    return _report(spark, rows)
+            rows += compare_models(train, test, experiment="scaling", variant=variant, params=params)
+    return _report(df.sparkSession, rows)
 
 
 def pca_experiment(df: DataFrame, cats: list[str], nums: list[str], *, ks=K.PCA_KS,
                    split: str = "hash", key: str = K.ID_COLUMN, params: dict | None = None,
-                   fit_on: str = "all") -> Report:
+                   fit_on: str = "all", fit_partitions: int | None = None) -> Report:
     """PCA on the scaled features for each k, all four models per k (#57).
 
     PCA is fitted once at the largest k: principal components and explained
     variances at a smaller k are the leading entries of those at the largest,
-    so each k slices the projection instead of refitting."""
+    so each k slices the projection instead of refitting.  Stages, PCA and
+    models use the same parts, and PCA reads the written base."""
     spark = df.sparkSession
-    stages = feature_stages(cats, nums).getStages()[:-1] + [scaler("raw_features", "scaled_features")]
-    fit_rows = df if fit_on == "all" else _split(df, split, key)[0]
-    base = Pipeline(stages=stages).fit(fit_rows).transform(df)
+    base = _scaled_base(df, cats, nums, split, key, fit_on)
     kmax = max(ks)
-    size = base.select("scaled_features").schema["scaled_features"].metadata.get("ml_attr", {}).get("num_attrs")
+    first = base.select("scaled_features").first()
+    size = first[0].size if first else None
     if size is not None and kmax > size:
         raise ValueError(f"PCA k={kmax} exceeds the {size} feature slots")
-    pca = pca_fit(base if fit_on == "all" else _split(base, split, key)[0], kmax, out="pca_all")
+    pca = pca_fit(_rows_to_fit(base, fit_on), kmax, out="pca_all")
     variance = [float(v) for v in pca.explainedVariance.toArray()]
     projected = materialize(model_columns(pca.transform(base), key, "pca_all"), "pca")
     rows, var_rows = [], []
     for k in ks:
         var_rows.append((k, sum(variance[:k])))
-        data = projected.withColumn(
-            "features", array_to_vector(F.slice(vector_to_array("pca_all"), 1, k)))
-        train, test = _split(data, split, key)
+        data = VectorSlicer(inputCol="pca_all", outputCol="features", indices=list(range(k))).transform(projected)
+        train, test = _parts(data.drop("pca_all"), key, fit_partitions)
         with persisted(train, test):
-            rows += compare_models(train, test, experiment="pca", variant="pca", k=k,
-                                   train_rows=train.count(), test_rows=test.count(), params=params)
+            rows += compare_models(train, test, experiment="pca", variant="pca", k=k, params=params)
     var_df = spark.createDataFrame(var_rows, "k int, explained_variance double")
     return _report(spark, rows, {"pca_variance": var_df})
 

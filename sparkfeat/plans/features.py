@@ -177,7 +177,7 @@ def features_fit_on_train(raw: DataFrame, key: str = K.ID_COLUMN, fraction: floa
     """Feature table whose whole-table statistics (bins, value counts, cell
     counts) come from the training part only (key-hash split, the same one the
     experiments use), applied to every row: no test row shapes a feature."""
-    from ..operators.split import is_train
+    from ..operators.split import train_flag
 
-    stats = fit_feature_stats(raw.where(is_train(F.col(key), fraction)), date_format, date_unit)
+    stats = fit_feature_stats(raw.where(train_flag(raw, key, fraction)), date_format, date_unit)
     return apply_feature_stats(raw, stats, date_format, date_unit=date_unit)

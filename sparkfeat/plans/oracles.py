@@ -216,7 +216,7 @@ SELECT rt.FIRE_SIZE_CLASS AS label,
   count(*) FILTER (WHERE rp.FIRE_SIZE_CLASS = 'A') AS "A", count(*) FILTER (WHERE rp.FIRE_SIZE_CLASS = 'B') AS "B",
   count(*) FILTER (WHERE rp.FIRE_SIZE_CLASS = 'C') AS "C", count(*) FILTER (WHERE rp.FIRE_SIZE_CLASS = 'D') AS "D",
   count(*) FILTER (WHERE rp.FIRE_SIZE_CLASS = 'E') AS "E", count(*) FILTER (WHERE rp.FIRE_SIZE_CLASS = 'F') AS "F",
-  count(*) FILTER (WHERE rp.FIRE_SIZE_CLASS = 'G') AS "G"
+  count(*) FILTER (WHERE rp.FIRE_SIZE_CLASS = 'G') AS "G", count(*) FILTER (WHERE rp.FIRE_SIZE_CLASS IS NULL) AS "N/A"
 FROM p JOIN r AS rt ON p.label = rt.label LEFT JOIN r AS rp ON p.prediction = rp.label GROUP BY 1""")
 oracle("per_class_metrics", f"""{BASE}, {RANK}, {COUNTS}
 SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM f""")
@@ -229,6 +229,11 @@ oracle("hash_split", f"""{BASE}
 SELECT FOD_ID, CAST(CAST(('0x' || substr(md5(CAST(FOD_ID AS VARCHAR)), 1, 8)) AS BIGINT) % 10000 < 8000 AS INTEGER) AS is_train
 FROM base""")
 
+oracle("model_test_part", f"""{BASE}, cls AS (SELECT FIRE_SIZE_CLASS AS c, row_number() OVER (ORDER BY FIRE_SIZE_CLASS) - 1 AS label
+  FROM base WHERE FIRE_SIZE_CLASS IS NOT NULL GROUP BY 1)
+SELECT FOD_ID, CAST(label AS INTEGER) AS label FROM base JOIN cls ON FIRE_SIZE_CLASS = c
+WHERE NOT CAST(('0x' || substr(md5(CAST(FOD_ID AS VARCHAR)), 1, 8)) AS BIGINT) % 10000 < 8000""")
+
 # ---------------------------------------------------------------- ML feature stages
 ML = f"""{BASE}, ml AS (SELECT *, TRY_CAST(FIPS_CODE AS DOUBLE) AS fips,
     CASE WHEN regexp_full_match(DISCOVERY_TIME, '\\s*[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?\\s*')

@@ -70,13 +70,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "(HDFS/S3/ABFS) that all executors can reach")
 
 
-def checkpoint(df):
-    """Reliable checkpoint: materialise ``df`` in the shared folder and cut its
-    lineage, so a lost executor never forces a recompute of the upstream scan."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder name below the shared checkpoint folder."""
     import uuid

@@ -32,13 +32,15 @@ def read_incident_stream(spark: SparkSession, source_dir: str, schema: StructTyp
 
 def stream_features(spark: SparkSession, source_dir: str, schema: StructType, stats: FeatureStats,
                     sink_dir: str, checkpoint_location: str | None = None, fmt: str = "parquet",
-                    available_now: bool = True, date_format: str | None = None) -> StreamingQuery:
+                    available_now: bool = True, date_format: str | None = None,
+                    date_unit: str | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the streaming feature job writing parquet to ``sink_dir``.
 
     ``available_now`` processes every file present and stops (incremental
-    batch); otherwise the query keeps running with the default trigger."""
-    stream = read_incident_stream(spark, source_dir, schema, fmt)
-    out = apply_feature_stats(stream, stats, date_format)
+    batch); otherwise the query keeps running with the default trigger.
+    ``max_files_per_trigger`` splits a backlog into batches."""
+    stream = read_incident_stream(spark, source_dir, schema, fmt, max_files_per_trigger)
+    out = apply_feature_stats(stream, stats, date_format, date_unit=date_unit)
     writer = (out.writeStream.format("parquet")
               .option("path", sink_dir)
               .option("checkpointLocation", checkpoint_location or scratch_path(spark, "stream-ckpt"))

@@ -42,7 +42,7 @@ def test_confusion_tables(spark):
     long = {(r["label"], r["prediction"]): r["count"] for r in confusion_long(pred).collect()}
     assert long == {(0.0, 0.0): 1, (0.0, 1.0): 1, (1.0, 1.0): 2, (2.0, 0.0): 1}
     wide = confusion_wide(pred, ["x", "y", "z"])
-    assert wide.columns == ["label", "x", "y", "z"]
+    assert wide.columns == ["label", "x", "y", "z", "N/A"]
     rows = {r["label"]: (r["x"], r["y"], r["z"]) for r in wide.collect()}
     assert rows == {"x": (1, 1, 0), "y": (0, 2, 0), "z": (1, 0, 0)}
     dist = {r["label"]: r["count"] for r in class_distribution(pred).collect()}

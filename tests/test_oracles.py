@@ -10,7 +10,8 @@ import __spark_entry__ as E
 
 from .conftest import SF_SMOKE
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+          "embeddings", "pages", "benchmark", "labels", "conversations"]
 SKIP_SLOW = {"stream_features"}  # covered by tests/test_plans.py
 
 
