@@ -70,6 +70,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "(HDFS/S3/ABFS) that all executors can reach")
 
 
+def ready(spark: SparkSession) -> None:
+    """Before a job: make sure of the checkpoint folder, and let Python workers
+    import this package from the folder it was loaded from, whatever their
+    working directory (a package shipped with ``--py-files`` is found anyway)."""
+    import os
+
+    checkpoint_dir(spark)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if os.path.isdir(root) and root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, [known])])
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder name below the shared checkpoint folder."""
     import uuid
