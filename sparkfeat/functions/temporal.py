@@ -43,13 +43,14 @@ def _from_number(c: Column, unit: str) -> Column:
     return F.timestamp_add("MICROSECOND", micros, epoch)
 
 
-def lenient_timestamp(c: Column, dtype: T.DataType, fmt: str | None = None,
+def lenient_timestamp(c: Column, dtype: T.DataType, fmt: str | list[str] | tuple[str, ...] | None = None,
                       unit: str | None = None) -> Column:
     """Timestamp from ``c``; unparsable text becomes null (``errors='coerce'``).
 
     Timestamps pass through, dates widen to ``timestamp_ntz``.  Text is parsed
     without a time zone (``timestamp_ntz``) so day arithmetic never crosses a
-    daylight-saving shift.  Numbers need an explicit ``unit`` ('julian', 'D',
+    daylight-saving shift; ``fmt`` may list formats, of which the first that
+    fits a value reads it.  Numbers need an explicit ``unit`` ('julian', 'D',
     's', 'ms', 'us'); without one they are refused, since reading them as
     nanoseconds would put every row in January 1970.
     """
@@ -68,8 +69,8 @@ def lenient_timestamp(c: Column, dtype: T.DataType, fmt: str | None = None,
             return c.try_cast("timestamp_ntz")
         # try_to_timestamp validates (null for bad text); the value itself is
         # parsed without a zone, so wall-clock times never shift with DST.
-        return F.when(F.try_to_timestamp(c, F.lit(fmt)).isNotNull(),
-                      F.to_timestamp_ntz(c, F.lit(fmt)))
+        return F.coalesce(*[F.when(F.try_to_timestamp(c, F.lit(f)).isNotNull(), F.to_timestamp_ntz(c, F.lit(f)))
+                            for f in ([fmt] if isinstance(fmt, str) else fmt)])
     raise TypeError(f"cannot parse a timestamp from {dtype.simpleString()} without a unit")
 
 

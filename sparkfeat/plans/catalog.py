@@ -355,6 +355,19 @@ def q_feature_stages_fit(spark, sf_dir):
     return data.select("FOD_ID", "label", vector_to_array("features").alias("features"))
 
 
+@query
+def q_pipeline_features(spark, sf_dir):
+    """The class-weight pipeline (imputer, indexers, one-hot, assembler, scaler)
+    over two numeric and two categorical columns of the whole table, one row per
+    non-zero slot of each row's scaled vector."""
+    df = _ml_input(spark, sf_dir).where(F.col("FIRE_SIZE_CLASS").isNotNull())
+    stages = S.feature_stages(["OWNER_DESCR", "NWCG_REPORTING_AGENCY"], ["FIPS_CODE", "discovery_time_num"],
+                              label_order="alphabetAsc", handle_invalid="keep")
+    out = stages.fit(df).transform(df).select("FOD_ID", F.col("label").cast("int").alias("label"), "features")
+    long = out.select("FOD_ID", "label", F.posexplode(vector_to_array("features")).alias("slot", "value"))
+    return long.where("value <> 0").select("FOD_ID", "label", "slot", _round(F.col("value")).alias("value"))
+
+
 def _predictions(spark, sf_dir, name):
     _, _, train, test = _class_weight_parts(spark, sf_dir)
     if name == "GBT":

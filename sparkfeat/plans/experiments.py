@@ -11,6 +11,7 @@ writes it.
 
 from __future__ import annotations
 
+import functools
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
@@ -27,7 +28,7 @@ from ..operators.models import (COMPARISON_SCHEMA, MULTICLASS, compare_models,
 from ..operators.split import train_flag
 from ..operators.stages import feature_stages, fitted_labels, pca_fit, scaler
 from ..operators.weights import attach_class_weights
-from ..session import materialize
+from ..session import materialize, scratch
 
 
 @dataclass
@@ -114,6 +115,19 @@ def _report(spark: SparkSession, rows: list[tuple], tables=None) -> Report:
     return Report(spark.createDataFrame(rows, COMPARISON_SCHEMA), tables or {})
 
 
+def _cleaned(experiment):
+    """Only the report's tables outlive an experiment, not its intermediate copies."""
+    @functools.wraps(experiment)
+    def run(df: DataFrame, *args, **options) -> Report:
+        with scratch(df.sparkSession) as own:
+            report = experiment(df, *args, **options)
+            for table in (report.comparison, *report.tables.values()):
+                own.keep(table)
+        return report
+    return run
+
+
+@_cleaned
 def class_weight_experiment(df: DataFrame, cats: list[str], nums: list[str], *, split: str = "hash",
                             key: str = K.ID_COLUMN, params: dict | None = None,
                             fit_on: str = "all", fit_partitions: int | None = None) -> Report:
@@ -156,6 +170,7 @@ def _scaled_base(df: DataFrame, cats: list[str], nums: list[str], split: str, ke
     return materialize(scale.transform(raw), "scaled-features")
 
 
+@_cleaned
 def scaling_experiment(df: DataFrame, cats: list[str], nums: list[str], *, split: str = "hash",
                        key: str = K.ID_COLUMN, params: dict | None = None,
                        fit_on: str = "all", fit_partitions: int | None = None) -> Report:
@@ -171,6 +186,7 @@ def scaling_experiment(df: DataFrame, cats: list[str], nums: list[str], *, split
     return _report(df.sparkSession, rows)
 
 
+@_cleaned
 def pca_experiment(df: DataFrame, cats: list[str], nums: list[str], *, ks=K.PCA_KS,
                    split: str = "hash", key: str = K.ID_COLUMN, params: dict | None = None,
                    fit_on: str = "all", fit_partitions: int | None = None) -> Report:
@@ -205,6 +221,7 @@ EXPERIMENTS = {"class_weight": class_weight_experiment, "scaling": scaling_exper
                "pca": pca_experiment}
 
 
+@_cleaned
 def run_experiment(features: DataFrame, name: str, **opts) -> Report:
     """Choose an experiment by name (#58)."""
     df, cats, nums = prepare(features)

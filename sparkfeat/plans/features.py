@@ -32,7 +32,7 @@ BIN_OUTPUTS = {"LATITUDE": "lat_bin", "LONGITUDE": "lon_bin"}
 MAX_CELLS = (K.N_BINS + 1) ** 2
 
 
-def temporal_features(df: DataFrame, date_format: str | None = None,
+def temporal_features(df: DataFrame, date_format: str | list[str] | None = None,
                       date_unit: str | None = None) -> DataFrame:
     """Month, weekday, season, duration, decade, flags and hour (#18-#25).
     ``date_format`` parses text dates, ``date_unit`` numeric ones ('julian', ...)."""
@@ -94,14 +94,14 @@ class FeatureStats:
         return {c: o for c, o in K.FREQUENCY_COLUMNS.items() if c in self.profile.counts}
 
 
-def _prepared(raw: DataFrame, date_format: str | None, date_unit: str | None = None) -> DataFrame:
+def _prepared(raw: DataFrame, date_format: str | list[str] | None, date_unit: str | None = None) -> DataFrame:
     base = scan_incidents(raw)
     pre = temporal_features(base, date_format, date_unit).withColumn(
         "geographic_region", R.region_of(F.col("LATITUDE"), F.col("LONGITUDE")))
     return categorical_fill(pre)
 
 
-def fit_feature_stats(raw: DataFrame, date_format: str | None = None,
+def fit_feature_stats(raw: DataFrame, date_format: str | list[str] | None = None,
                       date_unit: str | None = None) -> FeatureStats:
     """Two passes over ``raw``: one GROUPING SETS aggregate (value counts and
     coordinate ranges), then the grid-cell counts over the fitted bins (at most
@@ -116,7 +116,7 @@ def fit_feature_stats(raw: DataFrame, date_format: str | None = None,
     return FeatureStats(edges, prof, cells, MAX_CELLS)
 
 
-def apply_feature_stats(raw: DataFrame, stats: FeatureStats, date_format: str | None = None,
+def apply_feature_stats(raw: DataFrame, stats: FeatureStats, date_format: str | list[str] | None = None,
                         max_broadcast_rows: int = MAX_BROADCAST_ROWS,
                         date_unit: str | None = None) -> DataFrame:
     """Feature table of ``raw`` with fitted statistics: a single map-side pass
@@ -162,7 +162,7 @@ def load_feature_stats(spark, path: str) -> FeatureStats:
     return FeatureStats(meta["edges"], prof, spark.read.parquet(f"{path}/cells"), meta["cell_rows"])
 
 
-def engineer_features(raw: DataFrame, date_format: str | None = None,
+def engineer_features(raw: DataFrame, date_format: str | list[str] | None = None,
                       max_broadcast_rows: int = MAX_BROADCAST_ROWS,
                       date_unit: str | None = None) -> DataFrame:
     """Raw incident rows -> feature table in declared column order, every
@@ -173,7 +173,7 @@ def engineer_features(raw: DataFrame, date_format: str | None = None,
 
 
 def features_fit_on_train(raw: DataFrame, key: str = K.ID_COLUMN, fraction: float = K.TRAIN_FRACTION,
-                          date_format: str | None = None, date_unit: str | None = None) -> DataFrame:
+                          date_format: str | list[str] | None = None, date_unit: str | None = None) -> DataFrame:
     """Feature table whose whole-table statistics (bins, value counts, cell
     counts) come from the training part only (key-hash split, the same one the
     experiments use), applied to every row: no test row shapes a feature."""

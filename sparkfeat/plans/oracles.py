@@ -265,6 +265,24 @@ UNION ALL SELECT FOD_ID, CAST(2 + k AS INTEGER) AS slot, 1e0 AS value FROM base
 oracle("standard_scale", f"""{BASE}
 SELECT FOD_ID, round(LATITUDE / stddev_samp(LATITUDE) OVER (), 6) AS latitude_scaled,
        round(LONGITUDE / stddev_samp(LONGITUDE) OVER (), 6) AS longitude_scaled FROM base""")
+oracle("pipeline_features", f"""{ML}, t AS (SELECT * FROM ml WHERE FIRE_SIZE_CLASS IS NOT NULL),
+cls AS (SELECT FIRE_SIZE_CLASS AS c, row_number() OVER (ORDER BY FIRE_SIZE_CLASS) - 1 AS label FROM t GROUP BY 1),
+io AS (SELECT OWNER_DESCR AS v, row_number() OVER (ORDER BY count(*) DESC, OWNER_DESCR) - 1 AS k, count(*) AS n
+  FROM t WHERE OWNER_DESCR IS NOT NULL GROUP BY 1),
+ia AS (SELECT NWCG_REPORTING_AGENCY AS v, row_number() OVER (ORDER BY count(*) DESC, NWCG_REPORTING_AGENCY) - 1 AS k, count(*) AS n
+  FROM t WHERE NWCG_REPORTING_AGENCY IS NOT NULL GROUP BY 1),
+size AS (SELECT CAST(count(*) AS DOUBLE) AS total, (SELECT count(*) FROM io) AS owners FROM t),
+filled AS (SELECT FOD_ID, FIRE_SIZE_CLASS, OWNER_DESCR, NWCG_REPORTING_AGENCY,
+  coalesce(fips, avg(fips) OVER ()) AS f, coalesce(tnum, avg(tnum) OVER ()) AS h FROM t),
+slots AS (
+  SELECT FOD_ID, FIRE_SIZE_CLASS, 0 AS slot, f / stddev_samp(f) OVER () AS value FROM filled
+  UNION ALL SELECT FOD_ID, FIRE_SIZE_CLASS, 1, h / stddev_samp(h) OVER () FROM filled
+  UNION ALL SELECT FOD_ID, FIRE_SIZE_CLASS, 2 + k, CASE WHEN n = total THEN 0 ELSE 1 / sqrt(n * (total - n) / (total * (total - 1))) END
+    FROM filled JOIN io ON OWNER_DESCR = io.v, size
+  UNION ALL SELECT FOD_ID, FIRE_SIZE_CLASS, 2 + owners + k, CASE WHEN n = total THEN 0 ELSE 1 / sqrt(n * (total - n) / (total * (total - 1))) END
+    FROM filled JOIN ia ON NWCG_REPORTING_AGENCY = ia.v, size)
+SELECT FOD_ID, CAST(label AS INTEGER) AS label, CAST(slot AS INTEGER) AS slot, round(value, 6) AS value
+FROM slots JOIN cls ON FIRE_SIZE_CLASS = c WHERE value <> 0""")
 oracle("pca_explained", f"""{BASE},
 c AS (SELECT var_samp(LATITUDE) a, var_samp(LONGITUDE) d, covar_samp(LATITUDE, LONGITUDE) b FROM base)
 SELECT 1 AS k, round(((a + d) / 2 + sqrt(((a - d) / 2) * ((a - d) / 2) + b * b)) / (a + d), 6) AS explained_variance FROM c""")

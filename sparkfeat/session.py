@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -90,11 +92,48 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/sparkfeat/{name}-{uuid.uuid4().hex}"
 
 
+class Scratch:
+    """Folders that ``materialize`` wrote inside one :func:`scratch` scope."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+        self.kept: set[str] = set()
+
+    def keep(self, df):
+        """Spare the folders that ``df`` reads (a small result: its files are listed)."""
+        files = df.inputFiles()
+        self.kept.update(p for p in self.paths if any(f"/{p.rsplit('/', 1)[1]}/" in f for f in files))
+        return df
+
+
+_SCOPE: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Remove at the end, also after a failure, what the block materialised,
+    except what it kept; kept folders belong to the enclosing scope, if any."""
+    outer, own = _SCOPE.get(), Scratch()
+    token = _SCOPE.set(own)
+    try:
+        yield own
+    finally:
+        _SCOPE.reset(token)
+        for path in own.paths:
+            if path not in own.kept:
+                p = spark._jvm.org.apache.hadoop.fs.Path(path)
+                p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        if outer is not None:
+            outer.paths += [p for p in own.paths if p in own.kept]
+
+
 def materialize(df, name: str):
     """Write ``df`` as parquet under the shared checkpoint folder and read it
     back.  Later jobs read the columnar copy (with column pruning and real file
     statistics) instead of recomputing the lineage, and the copy survives the
     loss of any executor."""
     path = scratch_path(df.sparkSession, name)
+    if (own := _SCOPE.get()) is not None:
+        own.paths.append(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -120,3 +120,41 @@ def test_comparison_has_row_counts(spark):
     fitted = {}
     row = MD.compare_models(train, test, experiment="e", variant="v", models=("DecisionTree",), fitted=fitted)[0]
     assert (row[4], row[5]) == (train.count(), test.count()) and "DecisionTree" in fitted
+
+
+def test_date_formats_in_order(spark):
+    from sparkfeat.functions.temporal import lenient_timestamp
+    from pyspark.sql.types import StringType
+
+    df = spark.createDataFrame([("03/04/2005",), ("2005-04-03",), ("4 April",), (None,)], "d string")
+    got = df.select(lenient_timestamp(F.col("d"), StringType(), ["MM/dd/yyyy", "yyyy-MM-dd"]).cast("string").alias("t")).collect()
+    assert [r["t"] for r in got] == ["2005-03-04 00:00:00", "2005-04-03 00:00:00", None, None]
+
+
+def _left_behind(spark):
+    from pathlib import Path
+
+    from sparkfeat.session import checkpoint_dir
+
+    return {p.name for p in Path(checkpoint_dir(spark).removeprefix("file:")).glob("sparkfeat/*")}
+
+
+def test_experiment_leaves_only_its_report(spark):
+    rows = [(i, "AC"[i % 3 == 0], float(i % 7), float(i % 5), "uv"[i % 2]) for i in range(200)]
+    df = spark.createDataFrame(rows, "FOD_ID long, FIRE_SIZE_CLASS string, x double, y double, c string")
+    before = _left_behind(spark)
+    quick = {"RandomForest": {"numTrees": 2}, "LogisticRegression": {"maxIter": 2}}
+    report = X.class_weight_experiment(df, ["c"], ["x", "y"], params=quick)
+    left = _left_behind(spark) - before
+    assert left and all(name.startswith("report-") for name in left), left
+    assert report.comparison.count() == 6 and all(t.count() for t in report.tables.values())
+
+
+def test_scratch_is_removed_after_a_failure(spark):
+    from sparkfeat.session import materialize, scratch
+
+    before = _left_behind(spark)
+    with pytest.raises(ValueError), scratch(spark):
+        materialize(spark.range(3), "lost")
+        raise ValueError
+    assert _left_behind(spark) == before
