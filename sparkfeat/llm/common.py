@@ -20,14 +20,16 @@ def text_hash(text) -> F.Column:
     return F.xxhash64(text)
 
 
-def join_hot(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+def join_hot(left: DataFrame, right: DataFrame, keys: list[str], counted: DataFrame | None = None) -> DataFrame:
     """Left join of ``right`` (unique, non-null ``keys``) that never gathers a
     hot key: the rows of keys that hold over ``HOT_SHARE`` of ``left`` (at most
     ``1 / HOT_SHARE`` keys by construction) meet a broadcast of just those keys'
     right rows and stay where they are; the others meet in a shuffle join.
-    ``left`` is read three times: pass a table that has been written."""
-    total = left.count()
-    hot = materialize(left.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    ``left`` is read three times: pass a table that has been written, or, where
+    ``left`` is wide, a slim written table ``counted`` of the same keys."""
+    counted = left if counted is None else counted
+    total = counted.count()
+    hot = materialize(counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
                       .where(F.col("__n") > max(1.0, total * HOT_SHARE)).select(*keys), "hot-keys")
     if not hot.head(1):
         return left.join(right, keys, "left")

@@ -33,6 +33,7 @@ CAP = 3
 WEIGHTS = (1, 2, 3)
 TOLERANCE = 1e-9
 MAX_STEPS = 60
+ROWS_PER_PIECE = 5_000
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -163,7 +164,10 @@ def mix(docs: DataFrame, source_col: str = "source", text_col: str = "text", id_
                          F.coalesce("total", F.lit(0)).alias("__total"), F.col("source_size").alias("mix_source_size"),
                          F.col("target").alias("mix_target")))
     per_group = materialize(per_group, "mix-copies")
-    ranked = running_sum(rows, ["__key", "mix_size"], [F.col("__h"), F.col(id_col)], F.lit(1), "__rank", 256, per_group)
+    # A group of one source and size can hold most rows: enough pieces that each is a few thousand texts.
+    n_rows = histogram.agg(F.sum("n")).first()[0] or 0
+    pieces = max(256, int(n_rows) // ROWS_PER_PIECE)
+    ranked = running_sum(rows, ["__key", "mix_size"], [F.col("__h"), F.col(id_col)], F.lit(1), "__rank", pieces, per_group)
     extra = (F.col("__rank") < F.pmod("__total", "__n")).cast("long")
     copies = F.floor(F.col("__total") / F.col("__n")) + extra
     return ranked.select(*own, "mix_size", "mix_source_size", "mix_target", copies.cast("long").alias("mix_copies"))

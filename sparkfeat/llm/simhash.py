@@ -7,8 +7,9 @@ together, differing bits are counted, and a pair of nodes is dropped as soon
 as its count exceeds the budget.  The walk is made once for each of
 ``budget // 2 + 1`` rotations of the bits: errors spread over that many blocks,
 so in one rotation the leading block holds at most one of them, which keeps
-the number of live node pairs small.  The trie is cut near its root and each
-pair of subtrees within the budget is one group of a Spark shuffle.
+the number of live node pairs small.  The trie is cut near its root, and
+further down where a node is heavy, and each pair of subtrees within the
+budget is one group of a Spark shuffle.
 
 Links are not listed: each group returns a star per local component (at most
 one row per fingerprint), and the stars are merged into components.
@@ -26,15 +27,17 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
 from . import text as tx
-from .common import connected_components, join_hot
+from .common import connected_components, join_hot, union_all
 
 SEED = 42
 BITS = 64
+#: Fingerprints that a pair of trie nodes may hold before it is walked further down (8 bytes each).
+MOST = 1 << 20
 
 
 def _fingerprints(texts: tx.Texts, shingle: int) -> np.ndarray:
@@ -149,39 +152,95 @@ def _rotated(x: np.ndarray, by: int) -> np.ndarray:
     return x if by == 0 else (x << np.uint64(by)) | (x >> np.uint64(BITS - by))
 
 
-def links(distinct: DataFrame, budget: int, subtree: int = 4096) -> DataFrame:
+def _prefix(fp, first: int, depth: int) -> F.Column:
+    """The leading ``depth`` bits of the fingerprint rotated to start at bit ``first``."""
+    x = fp if first == 0 else F.shiftleft(fp, first).bitwiseOR(F.shiftrightunsigned(fp, BITS - first))
+    return F.shiftrightunsigned(x, BITS - depth) if depth < BITS else x
+
+
+def _pair(node, other) -> tuple[F.Column, F.Column]:
+    return F.least(node, other).alias("x"), F.greatest(node, other).alias("y")
+
+
+def _deeper(dealt: DataFrame, depth: int, step: int, blocks: list[tuple[int, int]], budget: int) -> DataFrame:
+    """Rows of node pairs at ``depth``, dealt to the pairs of their subtrees
+    ``step`` bits further down that stay within the error budget."""
+    to = depth + step
+    by_rotation = lambda make: F.element_at(F.array(*[make(*block) for block in blocks]), F.col("r") + 1)
+    node = by_rotation(lambda first, _: _prefix(F.col("fp"), first, depth))
+    below = by_rotation(lambda first, _: _prefix(F.col("fp"), first, to))
+    partner = F.shiftleft(F.col("x").bitwiseXOR(F.col("y")).bitwiseXOR(node), step)
+    moved = dealt.withColumn("node", below).withColumn(
+        "other", F.explode(F.transform(F.sequence(F.lit(0), F.lit((1 << step) - 1)), lambda b: partner.bitwiseOR(b.cast("long")))))
+    differ = F.col("node").bitwiseXOR(F.col("other"))
+    in_head = by_rotation(lambda _, head: F.bit_count(F.shiftrightunsigned(differ, max(0, to - head))))
+    return (moved.where((F.bit_count(differ) <= budget) & (in_head <= min(1, budget)))
+            .select("fp", "r", F.lit(to).alias("depth"), *_pair(F.col("node"), F.col("other"))))
+
+
+def _dealt(distinct: DataFrame, budget: int, subtree: int, most: int, blocks: list[tuple[int, int]]) -> DataFrame:
+    """``fp, r, depth, x, y``: every fingerprint in the node pairs that it can
+    have links in.  All pairs are cut at one depth near the root, but pairs of a
+    node of over ``most / 2`` fingerprints: these are walked further down, a few bits a
+    round, until no pair holds more than ``most`` (two fingerprints are left at
+    the last bit)."""
+    n = distinct.count()
+    cut = min(16, blocks[0][1], max(1, (max(1, n) // subtree).bit_length()))
+    nodes = distinct.select("fp", F.posexplode(F.array(*[_prefix(F.col("fp"), first, cut) for first, _ in blocks])).alias("r", "node"))
+    flips = F.array(F.lit(0).cast("long"), *[F.lit(1 << b).cast("long") for b in range(cut)])
+    pairs = (nodes.withColumn("other", F.explode(flips)).withColumn("other", F.col("node").bitwiseXOR(F.col("other")))
+             .select("fp", "r", F.lit(cut).alias("depth"), *_pair(F.col("node"), F.col("other"))))
+    # At most 2 ** 16 nodes a rotation, so this table is bounded whatever the data.
+    heavy = materialize(nodes.groupBy("r", "node").agg(F.count(F.lit(1)).alias("n"))
+                        .where(2 * F.col("n") > most).select("r", "node"), "simhash-heavy")
+    if not heavy.head(1):
+        return pairs
+    of_x = heavy.select("r", F.col("node").alias("x"), F.lit(True).alias("__x"))
+    of_y = heavy.select("r", F.col("node").alias("y"), F.lit(True).alias("__y"))
+    marked = pairs.join(F.broadcast(of_x), ["r", "x"], "left").join(F.broadcast(of_y), ["r", "y"], "left")
+    is_heavy = F.coalesce("__x", "__y").isNotNull()
+    columns = ["fp", "r", "depth", "x", "y"]
+    parts = [marked.where(~is_heavy).select(*columns)]
+    level, depth = materialize(marked.where(is_heavy).select(*columns), "simhash-level"), cut
+    while depth < BITS:
+        step = min(4, BITS - depth)
+        level = materialize(_deeper(level, depth, step, blocks, budget), "simhash-level")
+        depth += step
+        large = materialize(level.groupBy("r", "x", "y").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most)
+                            .select("r", "x", "y", F.lit(True).alias("__large")), "simhash-large")
+        if not large.head(1):
+            break
+        split = materialize(join_hot(level, large, ["r", "x", "y"]), "simhash-split")
+        parts.append(split.where(F.col("__large").isNull()).select(*columns))
+        level = split.where(F.col("__large").isNotNull()).select(*columns)
+    return union_all([*parts, level])
+
+
+def links(distinct: DataFrame, budget: int, subtree: int = 4096, most: int = MOST) -> DataFrame:
     """``u, v``: edges that connect exactly the fingerprints (column ``fp``,
     distinct) whose chains of links of at most ``budget`` bits connect."""
-    n = distinct.count()
     blocks = _blocks(budget)
-    cut = min(16, blocks[0][1], max(1, (max(1, n) // subtree).bit_length()))
-    pairs = []
-    for r, (first, _) in enumerate(blocks):
-        x = F.col("fp") if first == 0 else F.shiftleft("fp", first).bitwiseOR(F.shiftrightunsigned("fp", BITS - first))
-        node = F.shiftrightunsigned(x, BITS - cut).cast("int")
-        for other in [node, *[node.bitwiseXOR(F.lit(1 << b)) for b in range(cut)]]:
-            pairs.append(F.struct(F.lit(r).alias("r"), F.least(node, other).alias("x"), F.greatest(node, other).alias("y")))
-    dealt = distinct.select("fp", F.explode(F.array(*pairs)).alias("p")).select("fp", "p.*")
 
     def join(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        r, x, y = (int(k) for k in key)
+        r, depth = int(key[0]), int(key[1])
+        x, y = sorted(int(k) & (1 << BITS) - 1 for k in key[2:])
         first, head = blocks[r]
         plain = rows["fp"].to_numpy().view(np.uint64)
         a = _rotated(plain, first)
         order = np.argsort(a)
         a, plain = a[order], plain[order]
-        mid = int(np.searchsorted(a >> np.uint64(BITS - cut), np.uint64(x), "right"))
+        mid = int(np.searchsorted(a >> np.uint64(BITS - depth), np.uint64(x), "right"))
         whole = (0, len(a))
-        low, high, errors = (whole, whole, 0) if x == y else ((0, mid), (mid, len(a)), 1)
+        low, high = (whole, whole) if x == y else ((0, mid), (mid, len(a)))
         if low[0] == low[1] or high[0] == high[1]:
             return pd.DataFrame({"u": [], "v": []}, dtype="int64")
         chain = np.flatnonzero(np.bitwise_count(a[1:] ^ a[:-1]) <= budget)
-        found = [(chain, chain + 1), *trie_join(a, low, high, cut, errors, head, min(1, budget), budget)]
+        found = [(chain, chain + 1), *trie_join(a, low, high, depth, (x ^ y).bit_count(), head, min(1, budget), budget)]
         label = _local_components(len(a), *(np.concatenate(side) for side in zip(*found)))
         member = np.flatnonzero(label != np.arange(len(a)))
         return pd.DataFrame({"u": plain[member].view(np.int64), "v": plain[label[member]].view(np.int64)})
 
-    return dealt.groupBy("r", "x", "y").applyInPandas(join, "u long, v long")
+    return _dealt(distinct, budget, subtree, most, blocks).groupBy("r", "depth", "x", "y").applyInPandas(join, "u long, v long")
 
 
 def _classes(rows: DataFrame, id_col: str, max_bits: int) -> DataFrame:
@@ -214,7 +273,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     keyed = docs.select("*", key.alias("__k"), F.xxhash64(text_col).alias("__h"))
     rows = materialize(fingerprints(keyed, [id_col, "__k", "__h"], text_col, shingle), "simhash")
     found = join_hot(rows, _classes(rows, id_col, max_bits), ["fp"])
-    chosen = found.groupBy("root").agg(F.min(F.struct("__k", "__h")).alias("c")).select("c.*")
-    first = Window.partitionBy("__k", "__h").orderBy(*[c for c in own if c not in (id_col, text_col)] or [F.lit(0)])
-    return (keyed.join(chosen, ["__k", "__h"], "left_semi").withColumn("__n", F.row_number().over(first))
-            .where("__n = 1").select(*own))
+    equal = found.groupBy("root", "__k", "__h").agg(F.count(F.lit(1)).alias("__n"))
+    chosen = materialize(equal.groupBy("root").agg(F.min(F.struct("__k", "__h", "__n")).alias("c")).select("c.*"), "simhash-chosen")
+    kept = join_hot(keyed, chosen, ["__k", "__h"], counted=rows)
+    single = kept.where("__n = 1").select(*own)
+    if not chosen.where("__n > 1").head(1):
+        return single
+    # Rows of equal id and text: the least is found by partial aggregation, so none of them gather.
+    order = [c for c in own if c not in (id_col, text_col)] + [id_col, text_col]
+    least = F.min(F.struct(*[F.col(f"`{c}`") for c in order])).alias("__row")
+    repeated = kept.where("__n > 1").groupBy("__k", "__h").agg(least)
+    return single.unionByName(repeated.select(*[F.col("__row")[c].alias(c) for c in own]))
