@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import re
 
 import xxhash
@@ -171,3 +172,36 @@ def recurring_lines(rows, depth=3, min_tokens=3, min_docs=3, min_fixed=0.5):
                 left.append(line)
         out[key] = (sum(bool(x[0]) for x in parsed[key]), n, "\n".join(left))
     return out
+
+
+def quality_ratios(text):
+    """The six scores of the rules, None where the divisor is 0."""
+    text = text or ""
+    n_words, chars, symbols, dup, repeat, _ = quality_base(text)
+    n_lines = len([x for x in text.split("\n") if SPACE.search(x)])
+    upper, letters = len(re.findall("[A-Z]", text)), len(re.findall("[A-Za-z]", text))
+    parts = {"symbols_per_word": (symbols, n_words), "duplicate_lines": (dup, n_lines), "repeated_words": (repeat, n_words),
+             "upper_case": (upper, letters), "exclamations": (text.count("!"), n_words), "long_words": (chars, n_words)}
+    return {name: part / whole if whole else None for name, (part, whole) in parts.items()}
+
+
+def quality_kept(rows, good, rules, rate=0.01, error=0.05):
+    """Ids that base rules and certified cutoffs keep; rows are (id, text, stratum)
+    with ids of their own, rules (name, cutoffs from the loosest)."""
+    base = [r for r in rows if not quality_base(r[1])[5]]
+    scores = {r[0]: quality_ratios(r[1]) for r in base}
+    over = lambda i, name, cutoff: scores[i][name] is not None and scores[i][name] > cutoff
+    held = collections.defaultdict(list)
+    for i, _, stratum in base:
+        if i in good:
+            held[stratum].append(i)
+    held = {s: ids for s, ids in held.items() if (1 - rate) ** len(ids) <= error / len(rules)}
+    cutoffs = {}
+    for s, ids in held.items():
+        for name, steps in rules:
+            for cutoff in steps:
+                k, n = sum(over(i, name, cutoff) for i in ids), len(ids)
+                if sum(math.comb(n, j) * rate**j * (1 - rate) ** (n - j) for j in range(k + 1)) > error / (len(held) * len(rules)):
+                    break
+                cutoffs[s, name] = cutoff
+    return {i for i, _, s in base if not any((s, name) in cutoffs and over(i, name, cutoffs[s, name]) for name, _ in rules)}
