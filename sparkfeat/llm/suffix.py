@@ -86,8 +86,9 @@ def _batch(rows: list, types, names) -> pa.RecordBatch:
 
 
 def _anchor_entries(docs: DataFrame, parts: int, window: int) -> DataFrame:
-    """First place of each anchor in each task's run of documents; the places of
-    those that several documents of the run hold pass through as known."""
+    """First place of each anchor in each task's run of documents; of those that
+    several documents of the run hold, the first place in each document passes
+    through as known."""
 
     def scan(batches):
         for k, column in in_order(batches):
@@ -106,7 +107,9 @@ def _anchor_entries(docs: DataFrame, parts: int, window: int) -> DataFrame:
                 new[1:] = sorted_anchor[1:] != sorted_anchor[:-1]
                 begin = np.flatnonzero(new)
                 shared = sorted_key[begin] != sorted_key[np.append(begin[1:], len(order)) - 1]
-                known = np.sort(order[np.repeat(shared, np.diff(np.append(begin, len(order))))])
+                of_document = new.copy()
+                of_document[1:] |= sorted_key[1:] != sorted_key[:-1]
+                known = np.sort(order[of_document & np.repeat(shared, np.diff(np.append(begin, len(order))))])
                 first = np.sort(order[begin])
                 target = (tx.mix(anchor[first]) % np.uint64(parts)).astype(np.int64)
                 dealt, edge = by_target(target, parts)
@@ -123,7 +126,8 @@ def _anchor_entries(docs: DataFrame, parts: int, window: int) -> DataFrame:
 
 
 def _shared_cells(entries: DataFrame, groups: int) -> DataFrame:
-    """``home, k, pos`` of the cells whose anchor several documents hold."""
+    """``home, k, pos``: of each anchor that several documents hold, its first
+    place in each of them (a document lies in one run, so no run adds to another's)."""
 
     def match(key: tuple, table: pa.Table) -> pa.Table:
         anchor, k, pos, places = [], [], [], []
@@ -160,9 +164,10 @@ _STRING_TYPES = (pa.int32(), *[pa.binary()] * 7)
 
 
 def _strings(dealt: DataFrame, shared: DataFrame, parts: int, window: int, hot_strings: int) -> DataFrame:
-    """The shared cells of each group of documents as strings: distinct ones with
-    the places in their earliest document, and, as known spans, the places in
-    later documents of the group."""
+    """The cells of shared anchors in each group of documents as strings: distinct
+    ones with the places in their earliest document, and, as known spans, the
+    places in later documents of the group.  A shared anchor comes with its first
+    place in the document; all cells of the document that have it are taken."""
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         wanted = [np.stack([unpack(r["k"], np.int64), unpack(r["pos"], np.int64)]) for r in right.to_pylist()]
@@ -179,6 +184,9 @@ def _strings(dealt: DataFrame, shared: DataFrame, parts: int, window: int, hot_s
                 doc, pos, count, offset, anchor, own = cells(texts, window)
                 begin = texts.offsets[doc] + pos
                 some = np.isin(begin, texts.offsets[np.searchsorted(k, mine[0])] + mine[1])
+                # Other places of these anchors; a chance hit only adds a cell to compare.
+                pair = (anchor >> np.uint64(16)) ^ tx.mix(doc.view(np.uint64))
+                some = np.isin(pair, pair[some])
                 found.append((begin[some] + base, count[some] + window - 1, offset[some], anchor[some], own[some],
                               k[doc[some]], pos[some]))
                 data.append(texts.data)

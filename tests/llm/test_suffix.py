@@ -49,6 +49,35 @@ def test_spans_are_the_removed_bytes(spark, odd_docs):
         assert sum(s["size"] for s in r["spans"]) == r["n_removed"] and len(r["spans"]) == r["n_spans"]
 
 
+def _one_per_partition(spark, rows):
+    return spark.createDataFrame(spark.sparkContext.parallelize(rows, len(rows)), "doc_id long, text string")
+
+
+def _against_brute(df, rows):
+    want = brute.repeated_bytes(rows)
+    assert sorted(_rows(df)) == sorted((r[0], *want[r]) for r in rows)
+    return want
+
+
+def test_passage_repeated_inside_documents_that_meet_nowhere_else(spark):
+    rng = np.random.default_rng(5)
+    word = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    a, b, c = word(200), word(30), word(90)
+    rows = [(1, a + word(40) + a + word(70) + a), (2, word(60) + a + word(30) + a + a + word(9) + a),
+            (3, c + b + word(80) + word(80) + b + c), (4, word(55) + b + c), (5, "x" * 3000), (6, word(20) + "x" * 2500 + word(20)),
+            (7, "na " * 400), (8, "na " * 300 + c + "na " * 70)]
+    want = _against_brute(suffix.remove_repeats(_one_per_partition(spark, rows)), rows)
+    assert want[rows[1]][1] >= 800 and want[rows[5]][1] >= 2500
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_shuffled_phrases_each_document_in_its_own_partition(spark, seed):
+    rng = np.random.default_rng(seed)
+    phrases = ["".join(map(chr, rng.integers(97, 123, n))) for n in rng.integers(8, 45, 14)]
+    rows = [(i, "".join(phrases[j] for j in rng.integers(0, 14, 40))) for i in range(4)]
+    _against_brute(suffix.remove_repeats(_one_per_partition(spark, rows)), rows)
+
+
 def test_query_matches_brute_force(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
     want = sorted((key[0], *rest) for key, rest in brute.repeated_bytes(docs).items())
