@@ -21,9 +21,11 @@ same anchor place.  Equal windows have equal anchors at equal distances, so
 The strings travel through shuffle files; a group's state is one symbol and one
 prefix length per string, so it needs no files of its own.  Equal strings are
 collapsed before each shuffle: the earliest document stands for them, the
-others lose the whole string.  Anchors that very many distinct strings of one
-task share (``HOT_STRINGS``) are split: their windows go one by one to the group
-of their own hash, so that no anchor gathers in one task.
+others lose the whole string.  Anchors that very many distinct strings share
+(over ``HOT_STRINGS`` by the sum over all tasks) are split: their windows go one
+by one to the group of their own hash, so that no anchor gathers in one task.
+They are chosen once for the whole collection, and every task splits the same
+ones, so equal windows meet wherever they come from.
 
 Defined cases: null and empty texts have no bytes; documents are ordered by id
 (null last); rows of equal id and text are one document and share its result;
@@ -38,12 +40,15 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
+from ..session import materialize
 from . import text as tx
 from .blocks import by_target, deal_texts, dealt_texts, gathered, home, in_order, keyed, pack, unpack, with_ids
 
 WINDOW = 50
 GRAM = 20
 HOT_STRINGS = 2000
+#: Anchors that are split at most (the largest; or one per part, if that is more): their list goes to every task.
+MOST_HOT = 1 << 16
 _PLACE = np.uint64((1 << 30) - 1)
 
 
@@ -77,8 +82,8 @@ def cells(texts: tx.Texts, window: int = WINDOW):
     return doc, at - offsets[doc], count, place - at, gram[place], rolling.spans(at, at + count + window - 1)
 
 
-_ANCHORS = "part int, anchor binary, k binary, pos binary, known binary"
-_ANCHOR_TYPES = (pa.int32(), *[pa.binary()] * 4)
+_ANCHORS = "part int, anchor binary, n binary, k binary, pos binary, known binary"
+_ANCHOR_TYPES = (pa.int32(), *[pa.binary()] * 5)
 
 
 def _batch(rows: list, types, names) -> pa.RecordBatch:
@@ -86,8 +91,8 @@ def _batch(rows: list, types, names) -> pa.RecordBatch:
 
 
 def _anchor_entries(docs: DataFrame, parts: int, window: int) -> DataFrame:
-    """First place of each anchor in each task's run of documents; of those that
-    several documents of the run hold, the first place in each document passes
+    """First place of each anchor in each task's run of documents, and how many
+    distinct strings of the run have it (``n``); of those that several documents of the run hold, the first place in each document passes
     through as known."""
 
     def scan(batches):
@@ -95,10 +100,10 @@ def _anchor_entries(docs: DataFrame, parts: int, window: int) -> DataFrame:
             for keys, some in gathered(k, column):
                 base, found = 0, []
                 for texts in some:
-                    doc, pos, _, _, anchor, _ = cells(texts, window)
-                    found.append((keys[base:base + len(texts)][doc], pos, anchor >> np.uint64(16)))
+                    doc, pos, _, _, anchor, own = cells(texts, window)
+                    found.append((keys[base:base + len(texts)][doc], pos, anchor >> np.uint64(16), own))
                     base += len(texts)
-                key, pos, anchor = (np.concatenate(c) for c in zip(*found))
+                key, pos, anchor, string = (np.concatenate(c) for c in zip(*found))
                 if not len(key):
                     continue
                 order = np.argsort(anchor, kind="stable")
@@ -106,31 +111,41 @@ def _anchor_entries(docs: DataFrame, parts: int, window: int) -> DataFrame:
                 new = np.ones(len(order), bool)
                 new[1:] = sorted_anchor[1:] != sorted_anchor[:-1]
                 begin = np.flatnonzero(new)
-                shared = sorted_key[begin] != sorted_key[np.append(begin[1:], len(order)) - 1]
+                size = np.diff(np.append(begin, len(order)))
+                shared = sorted_key[begin] != sorted_key[begin + size - 1]
+                strings = np.ones(len(begin), np.int64)
+                again = order[np.repeat(size > 1, size)]
+                if len(again):
+                    one, _ = _distinct(string[again], anchor[again])
+                    strings[size > 1] = np.unique(anchor[again[one]], return_counts=True)[1]
                 of_document = new.copy()
                 of_document[1:] |= sorted_key[1:] != sorted_key[:-1]
-                known = np.sort(order[of_document & np.repeat(shared, np.diff(np.append(begin, len(order))))])
-                first = np.sort(order[begin])
+                known = np.sort(order[of_document & np.repeat(shared, size)])
+                by_place = np.argsort(order[begin])
+                first, strings = order[begin][by_place], strings[by_place]
                 target = (tx.mix(anchor[first]) % np.uint64(parts)).astype(np.int64)
                 dealt, edge = by_target(target, parts)
                 out = []
                 for p in np.flatnonzero(np.diff(edge)):
-                    own = first[dealt[edge[p]:edge[p + 1]]]
+                    some = dealt[edge[p]:edge[p + 1]]
+                    own = first[some]
                     six = anchor[own].view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-                    out.append((int(p), six, pack(key[own]), pack(pos[own]), None))
+                    out.append((int(p), six, pack(strings[some]), pack(key[own]), pack(pos[own]), None))
                 if len(known):
-                    out.append((int(key[0] % parts), b"", b"", b"", pack(np.stack([key[known], pos[known]]).ravel())))
-                yield _batch(out, _ANCHOR_TYPES, ["part", "anchor", "k", "pos", "known"])
+                    out.append((int(key[0] % parts), b"", b"", b"", b"", pack(np.stack([key[known], pos[known]]).ravel())))
+                yield _batch(out, _ANCHOR_TYPES, ["part", "anchor", "n", "k", "pos", "known"])
 
     return docs.select("k", "text").mapInArrow(scan, _ANCHORS)
 
 
-def _shared_cells(entries: DataFrame, groups: int) -> DataFrame:
+def _shared_cells(entries: DataFrame, groups: int, hot_strings: int) -> DataFrame:
     """``home, k, pos``: of each anchor that several documents hold, its first
-    place in each of them (a document lies in one run, so no run adds to another's)."""
+    place in each of them (a document lies in one run, so no run adds to another's);
+    and, as ``hot``, the anchors of over ``hot_strings`` strings in all runs."""
+    most = max(1, MOST_HOT // groups)
 
     def match(key: tuple, table: pa.Table) -> pa.Table:
-        anchor, k, pos, places = [], [], [], []
+        anchor, n, k, pos, places, rows = [], [], [], [], [], []
         for row in table.to_pylist():
             if row["known"] is not None:
                 places.append(unpack(row["known"], np.int64).reshape(2, -1))
@@ -139,31 +154,38 @@ def _shared_cells(entries: DataFrame, groups: int) -> DataFrame:
             wide = np.zeros((len(six), 8), np.uint8)
             wide[:, :6] = six
             anchor.append(wide.view(np.uint64).ravel())
+            n.append(unpack(row["n"], np.int64))
             k.append(unpack(row["k"], np.int64))
             pos.append(unpack(row["pos"], np.int64))
         if anchor:
-            anchor, k, pos = np.concatenate(anchor), np.concatenate(k), np.concatenate(pos)
+            anchor, n, k, pos = (np.concatenate(c) for c in (anchor, n, k, pos))
             order = np.argsort(anchor)
             same = anchor[order[1:]] == anchor[order[:-1]]
             again = np.zeros(len(order), bool)
             again[order[1:]] |= same
             again[order[:-1]] |= same
             places.append(np.stack([k[again], pos[again]]))
+            begin = np.flatnonzero(np.concatenate([[True], ~same]))
+            strings = np.add.reduceat(n[order], begin)
+            hot = np.flatnonzero(strings > hot_strings)
+            if len(hot):
+                hot = hot[np.argsort(-strings[hot], kind="stable")[:most]]
+                rows.append((-1, b"", b"", anchor[order[begin[hot]]].tobytes()))
         k, pos = np.concatenate(places, axis=1)
         order, begin = by_target(home(k, groups), groups)
-        rows = [(int(g), pack(k[order[begin[g]:begin[g + 1]]]), pack(pos[order[begin[g]:begin[g + 1]]]))
-                for g in np.flatnonzero(np.diff(begin))]
-        types = (pa.int32(), pa.binary(), pa.binary())
-        return pa.Table.from_batches([_batch(rows, types, ["home", "k", "pos"])])
+        rows += [(int(g), pack(k[order[begin[g]:begin[g + 1]]]), pack(pos[order[begin[g]:begin[g + 1]]]), None)
+                 for g in np.flatnonzero(np.diff(begin))]
+        types = (pa.int32(), *[pa.binary()] * 3)
+        return pa.Table.from_batches([_batch(rows, types, ["home", "k", "pos", "hot"])])
 
-    return entries.groupBy("part").applyInArrow(match, "home int, k binary, pos binary")
+    return entries.groupBy("part").applyInArrow(match, "home int, k binary, pos binary, hot binary")
 
 
 _STRINGS = "part int, size binary, offset binary, data binary, entry binary, k binary, pos binary, known binary"
 _STRING_TYPES = (pa.int32(), *[pa.binary()] * 7)
 
 
-def _strings(dealt: DataFrame, shared: DataFrame, parts: int, window: int, hot_strings: int) -> DataFrame:
+def _strings(dealt: DataFrame, shared: DataFrame, parts: int, window: int, hot: np.ndarray) -> DataFrame:
     """The cells of shared anchors in each group of documents as strings: distinct
     ones with the places in their earliest document, and, as known spans, the
     places in later documents of the group.  A shared anchor comes with its first
@@ -192,7 +214,7 @@ def _strings(dealt: DataFrame, shared: DataFrame, parts: int, window: int, hot_s
                 data.append(texts.data)
                 base += len(texts.data)
             if found:
-                rows = _deal_strings(np.concatenate(data), *(np.concatenate(c) for c in zip(*found)), parts, window, hot_strings)
+                rows = _deal_strings(np.concatenate(data), *(np.concatenate(c) for c in zip(*found)), parts, window, hot)
         return pa.Table.from_batches([_batch(rows, _STRING_TYPES, ["part", "size", "offset", "data", "entry", "k", "pos", "known"])])
 
     return dealt.groupBy("home").cogroup(shared.groupBy("home")).applyInArrow(cut, _STRINGS)
@@ -214,12 +236,10 @@ def _earliest(which: np.ndarray, k: np.ndarray, n: int) -> np.ndarray:
     return least
 
 
-def _deal_strings(data, begin, size, offset, anchor, own, k, pos, parts: int, window: int, hot_strings: int) -> list:
+def _deal_strings(data, begin, size, offset, anchor, own, k, pos, parts: int, window: int, hot: np.ndarray) -> list:
     """Strings of a group of documents, ``data[begin:begin + size]``, by target."""
-    first, which = _distinct(own, anchor)
-    # Anchors with very many distinct strings: every window is a string of its own.
-    names, inverse, per = np.unique(anchor[first], return_inverse=True, return_counts=True)
-    hot = (per[inverse] > hot_strings)[which]
+    # Hot anchors: every window is a string of its own.
+    hot = np.isin(anchor >> np.uint64(16), hot)
     if hot.any():
         many = size[hot] - (window - 1)
         step = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
@@ -230,7 +250,7 @@ def _deal_strings(data, begin, size, offset, anchor, own, k, pos, parts: int, wi
         begin, size = np.append(begin[cold], at), np.append(size[cold], np.full(len(at), window))
         offset, anchor = np.append(offset[cold], single[1] - step), np.append(anchor[cold], hashed)
         own, k, pos = np.append(own[cold], hashed), np.append(k[cold], single[2]), np.append(pos[cold], single[3] + step)
-        first, which = _distinct(own, anchor)
+    first, which = _distinct(own, anchor)
     earliest = k == _earliest(which, k, len(first))[which]
     target = (tx.mix(anchor[first] ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(parts)).astype(np.int64)
     order, edge = by_target(target, parts)
@@ -370,8 +390,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     own = keyed(docs, id_col, text_col)
     groups = own.groups
     dealt = deal_texts(own.docs, groups)
-    shared = _shared_cells(_anchor_entries(own.docs, groups, window), groups)
-    found = _spans(_strings(dealt, shared, groups, window, hot_strings), groups, window)
+    shared = materialize(_shared_cells(_anchor_entries(own.docs, groups, window), groups, hot_strings), "suffix-shared")
+    lists = [np.frombuffer(r["hot"], np.uint64) for r in shared.where("home < 0").select("hot").collect()]
+    hot = np.sort(np.concatenate([np.zeros(0, np.uint64), *lists]))
+    found = _spans(_strings(dealt, shared.where("home >= 0"), groups, window, hot), groups, window)
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         spans = [np.stack([unpack(r[c], np.int64) for c in ("k", "start", "size")]) for r in right.to_pylist()]

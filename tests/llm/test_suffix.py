@@ -78,6 +78,20 @@ def test_shuffled_phrases_each_document_in_its_own_partition(spark, seed):
     _against_brute(suffix.remove_repeats(_one_per_partition(spark, rows)), rows)
 
 
+@pytest.mark.parametrize("hot", [3, 12, 40])
+def test_anchor_that_is_frequent_in_one_group_only(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffix, "keyed", lambda *a: blocks.keyed(*a, 3000))
+    monkeypatch.setattr(suffix, "gathered", lambda k, c: blocks.gathered(k, c, 3000))
+    rng = np.random.default_rng(11)
+    letters = rng.integers(97, 123, 1 << 16, dtype=np.uint8)
+    at = int(np.argmin(suffix.tx.Rolling(suffix.tx.BYTE_VALUE[letters]).grams(suffix.GRAM)))
+    gram = letters[at:at + suffix.GRAM].tobytes().decode()
+    contexts = ["".join(map(chr, rng.integers(97, 123, 35))) + gram + "".join(map(chr, rng.integers(97, 123, 35))) for _ in range(60)]
+    rows = [(1, "".join(contexts[:40]))]
+    rows += [(2 + i, "".join(contexts[j] for j in rng.permutation(60)[:n])) for i, n in enumerate((1, 2, 3, 5, 8, 13, 21, 30) * 2)]
+    _against_brute(suffix.remove_repeats(_one_per_partition(spark, rows), hot_strings=hot), rows)
+
+
 def test_query_matches_brute_force(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()]
     want = sorted((key[0], *rest) for key, rest in brute.repeated_bytes(docs).items())
