@@ -3,15 +3,17 @@
 A line is its tokens; a token with a digit or an ``@`` is a variable field and
 reads as a wildcard.  The tree has fixed depth: token count, then the leading
 tokens.  Within a leaf the other places are generalised: a token stays where at
-least ``min_docs`` documents have it in that place, any other token becomes a
-wildcard.  Lines of equal leaf and equal generalised tokens are one template.
+least ``min_docs`` documents, and at least the share ``min_share`` of the leaf's
+documents, have it in that place; any other token becomes a wildcard.  So a
+place has at most ``1 / min_share`` constant values per line of a document,
+however large the corpus is.  Lines of equal leaf and equal generalised tokens are one template.
 A template that at least ``min_docs`` documents hold, and of whose tokens at
 least ``min_fixed`` are constant, recurs: its lines are dropped from every
 document but the first that has it.
 
 Leaves never gather: a document's equal lines are collapsed in its task, equal
 lines are counted by partial aggregation, tokens are counted per (leaf, place,
-token), and the joins that carry results back keep hot keys where they are.
+token), less the repeats within one document, which its task knows, and the joins that carry results back keep hot keys where they are.
 Only leaves with several distinct lines need token counts.
 
 Defined cases: lines of fewer than ``min_tokens`` tokens are kept; null and
@@ -37,6 +39,7 @@ DEPTH = 3
 MIN_TOKENS = 3
 MIN_DOCS = 3
 MIN_FIXED = 0.5
+MIN_SHARE = 0.1
 _VARIABLE = np.zeros(256, bool)
 _VARIABLE[[*range(0x30, 0x3A), 0x40]] = True
 _WILDCARD = np.uint64(0x7F4A7C159E3779B9)
@@ -68,11 +71,32 @@ class Lines:
         self.n_masked = below[self.last] - below[self.first]
 
 
-_ROWS = "home int, k long, leaf long, line long, n_tokens long, n_masked long"
+_ROWS = "home int, k long, leaf long, line long, n_tokens long, n_masked long, leads long, place long, token long, again long"
+
+
+def _repeats(x: Lines, own: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``leaf, place, token, again``: how often constant tokens stand in the same
+    place of several lines (``own``) of one document and leaf, less one each."""
+    n = x.last[own] - x.first[own]
+    row = np.repeat(own, n)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    token = x.first[row] + place
+    fixed = ~x.masked[token]
+    columns = x.leaf[row][fixed].view(np.int64), place[fixed], x.tokens[token][fixed].view(np.int64)
+    at = key[row][fixed]
+    order = np.lexsort((at, *columns[::-1]))
+    leaf, place, token = (c[order] for c in columns)
+    same = (leaf[1:] == leaf[:-1]) & (place[1:] == place[:-1]) & (token[1:] == token[:-1])
+    extra = np.concatenate([[0], same & (at[order][1:] == at[order][:-1])])[:len(order)].astype(np.int64)
+    begin = np.flatnonzero(np.concatenate([[True], ~same])[:len(order)])
+    again = np.add.reduceat(extra, begin) if len(begin) else extra
+    some = again > 0
+    return leaf[begin][some], place[begin][some], token[begin][some], again[some]
 
 
 def _document_lines(docs: DataFrame, groups: int, depth: int, min_tokens: int) -> DataFrame:
-    """One row per document and distinct masked line."""
+    """One row per document and distinct masked line (``leads`` is 1 for one line
+    of each document and leaf); and rows of ``_repeats``, with a ``place``."""
 
     def scan(batches):
         for k, column in in_order(batches):
@@ -82,14 +106,21 @@ def _document_lines(docs: DataFrame, groups: int, depth: int, min_tokens: int) -
                     x = Lines(texts, depth, min_tokens)
                     key = keys[base:base + len(texts)][x.doc]
                     base += len(texts)
-                    order = np.lexsort((x.line, key))
-                    new = np.ones(len(order), bool)
-                    new[1:] = (key[order[1:]] != key[order[:-1]]) | (x.line[order[1:]] != x.line[order[:-1]])
-                    own = order[new]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(home(key[own], groups).astype(np.int32)), pa.array(key[own]), pa.array(x.leaf[own].view(np.int64)),
-                        pa.array(x.line[own].view(np.int64)), pa.array(x.last[own] - x.first[own]), pa.array(x.n_masked[own])],
-                        names=["home", "k", "leaf", "line", "n_tokens", "n_masked"])
+                    order = np.lexsort((x.line, x.leaf, key))
+                    new, leads = np.ones(len(order), bool), np.ones(len(order), bool)
+                    leads[1:] = (key[order[1:]] != key[order[:-1]]) | (x.leaf[order[1:]] != x.leaf[order[:-1]])
+                    new[1:] = leads[1:] | (x.line[order[1:]] != x.line[order[:-1]])
+                    own, leads = order[new], leads[new]
+                    many = np.diff(np.append(np.flatnonzero(leads), len(own)))
+                    leaf, place, token, again = _repeats(x, own[np.repeat(many > 1, many)], key)
+                    lines = [home(key[own], groups), key[own], x.leaf[own].view(np.int64), x.line[own].view(np.int64),
+                             x.last[own] - x.first[own], x.n_masked[own], leads.astype(np.int64), None, None, None]
+                    repeats = [None, None, leaf, None, None, None, None, place, token, again]
+                    for columns, n in ((lines, len(own)), (repeats, len(leaf))):
+                        types = [pa.int32(), *[pa.int64()] * 9]
+                        yield pa.RecordBatch.from_arrays([
+                            pa.nulls(n, t) if c is None else pa.array(c.astype(t.to_pandas_dtype())) for c, t in zip(columns, types)],
+                            names=["home", "k", "leaf", "line", "n_tokens", "n_masked", "leads", "place", "token", "again"])
 
     return docs.select("k", "text").mapInArrow(scan, _ROWS)
 
@@ -129,28 +160,33 @@ def _line_tokens(dealt: DataFrame, wanted: DataFrame, depth: int, min_tokens: in
 
 
 def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH,
-                   min_tokens: int = MIN_TOKENS, min_docs: int = MIN_DOCS, min_fixed: float = MIN_FIXED) -> DataFrame:
+                   min_tokens: int = MIN_TOKENS, min_docs: int = MIN_DOCS, min_fixed: float = MIN_FIXED,
+                   min_share: float = MIN_SHARE) -> DataFrame:
     """``id_col, n_lines, n_dropped, kept`` per row: non-empty lines, those
     dropped, and the text without them (other lines and their breaks unchanged)."""
     own = keyed(docs, id_col, text_col)
     groups = own.groups
     dealt = deal_texts(own.docs, groups)
-    lines = materialize(_document_lines(own.docs, groups, depth, min_tokens), "template-lines")
+    scanned = materialize(_document_lines(own.docs, groups, depth, min_tokens), "template-lines")
+    lines, repeats = scanned.where("place is null"), scanned.where("place is not null")
 
-    # Leaves that hold enough lines; their distinct lines with the documents that have them.
-    full = lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("leaf")
+    # Leaves that enough documents have; their distinct lines with the documents that have them.
+    full = lines.groupBy("leaf").agg(F.sum("leads").alias("leaf_docs")).where(F.col("leaf_docs") >= min_docs)
     distinct = lines.groupBy("leaf", "line").agg(
         F.count(F.lit(1)).alias("n_docs"), F.min(F.struct("k", "home")).alias("at"), F.min("n_tokens").alias("n_tokens"),
-        F.min("n_masked").alias("n_masked")).join(full, "leaf", "left_semi")
+        F.min("n_masked").alias("n_masked")).join(full, "leaf")
     distinct = materialize(distinct, "template-distinct")
     several = materialize(distinct.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("leaf"), "template-leaves")
     opened = distinct.join(several, "leaf", "left_semi")
 
-    # Tokens that enough documents have in the same place of a leaf.
+    # Tokens that enough documents, and enough of the leaf's, have in the same place of a leaf.
     wanted = opened.select(F.col("at.home").alias("home"), F.col("at.k").alias("k"), "line")
     tokens = materialize(_line_tokens(dealt, wanted, depth, min_tokens), "template-tokens")
-    counted = join_hot(tokens, distinct.select("leaf", "line", "n_docs"), ["leaf", "line"])
-    constant = (counted.groupBy("leaf", "place", "token").agg(F.sum("n_docs").alias("n")).where(F.col("n") >= min_docs)
+    counted = join_hot(tokens, distinct.select("leaf", "line", "n_docs", "leaf_docs"), ["leaf", "line"])
+    less = repeats.select("leaf", "place", "token", (-F.col("again")).alias("n_docs"), F.lit(None).cast("long").alias("leaf_docs"))
+    constant = (counted.drop("line").unionByName(less).groupBy("leaf", "place", "token")
+                .agg(F.sum("n_docs").alias("n"), F.max("leaf_docs").alias("leaf_docs"))
+                .where((F.col("n") >= min_docs) & (F.col("n") >= min_share * F.col("leaf_docs")))
                 .select("leaf", "place", "token", F.lit(True).alias("stays")))
     general = (join_hot(tokens, materialize(constant, "template-constant"), ["leaf", "place", "token"]).where("stays")
                .groupBy("leaf", "line").agg(F.bit_xor(F.xxhash64("place", "token")).alias("pattern"), F.count(F.lit(1)).alias("n_fixed")))

@@ -30,6 +30,24 @@ def test_logs(spark, options, monkeypatch):
     assert any(", 0, " not in r for r in got)
 
 
+def _dropped(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    return {r["doc_id"]: r["n_dropped"] for r in templates.drop_recurring(docs).collect()}
+
+
+@pytest.mark.parametrize("n", [12, 400])
+def test_one_template_at_two_corpus_sizes(spark, n):
+    names = [a + b for a in "abcdefgh" for b in "vwxyz"]
+    rows = [(i, f"worker finished task by {names[i % 40]} on {names[(i + i // 40) % 40].upper()} ok") for i in range(n)]
+    assert _dropped(spark, rows) == {i: int(i > 0) for i in range(n)}
+
+
+def test_a_token_of_one_document_is_counted_once(spark):
+    rows = [(i, f"worker finished task by {u} on {h} ok") for i, (u, h) in enumerate(zip("ann bob cid dan eve".split(), "KA KB KC KD KE".split()))]
+    rows.append((5, "\n".join(f"worker finished task by zoe on {h} ok" for h in ("MA", "MB", "MC"))))
+    assert _dropped(spark, rows) == {0: 0, 1: 1, 2: 1, 3: 1, 4: 1, 5: 3}
+
+
 def test_odd_rows(spark, odd_docs, odd_rows):
     rows = [(r[0], r[1]) for r in odd_rows]
     assert _rows(templates.drop_recurring(odd_docs)) == _want(rows)
