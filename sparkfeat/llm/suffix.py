@@ -1,4 +1,4 @@
-"""Repeated byte strings by a multi-document Burrows-Wheeler construction.
+"""Repeated byte strings by ordering anchored strings column by column.
 
 A byte is removed if a string of ``window`` bytes that covers it also starts
 in an earlier document.  Every window has an anchor, its least gram hash
@@ -9,8 +9,9 @@ same anchor place.  Equal windows have equal anchors at equal distances, so
    bytes and a place per cell);
 2. the cells that are left become short strings, each with the earliest
    document that holds it; strings of one anchor meet in one group;
-3. each group is a collection whose Burrows-Wheeler transform is built column
-   by column, columns counted from the anchor: every round inserts one symbol
+3. each group is a collection whose suffixes are ordered column by column, as
+   in a multi-document Burrows-Wheeler construction but with columns counted
+   from the anchor and no transform kept: every round inserts one symbol
    of every string, from the last column to the first; the order of the
    suffixes that start in this column and their common-prefix lengths are
    rewritten front to back from those of the round before.  Only windows of one
@@ -285,9 +286,10 @@ def columns(data: np.ndarray, begin: np.ndarray, size: np.ndarray, offset: np.nd
     column; the common prefix of neighbours with equal symbols is one more than
     the least one between them before."""
     last, first = size - offset - 1, -offset
-    order, prefix = np.zeros(0, np.int64), np.zeros(0, np.uint8)
     if not len(size):
         return
+    length = np.uint8 if int(size.max()) < 256 else np.int64  # of common prefixes
+    order, prefix = np.zeros(0, np.int64), np.zeros(0, length)
     enters = np.argsort(-last, kind="stable")
     edge = np.searchsorted(-last[enters], np.arange(-int(last.max()), -int(first.min()) + 2))
     for i, column in enumerate(range(int(last.max()), int(first.min()) - 1, -1)):
@@ -299,16 +301,16 @@ def columns(data: np.ndarray, begin: np.ndarray, size: np.ndarray, offset: np.nd
             order, prefix = order[at], prefix[:len(at)]
         fresh = np.sort(enters[edge[i]:edge[i + 1]])
         if len(fresh):
-            prefix = np.concatenate([np.zeros(len(fresh) + (len(order) > 0), np.uint8), prefix[1:]])
+            prefix = np.concatenate([np.zeros(len(fresh) + (len(order) > 0), length), prefix[1:]])
             order = np.concatenate([fresh, order])
         if not len(order):
             continue
         symbol = data[begin[order] + offset[order] + column]
         by = np.argsort(symbol, kind="stable")
         ordered = symbol[by]
-        between = np.minimum.reduceat(np.append(prefix, np.uint8(0)), by + 1)
-        new = np.zeros(len(by), np.uint8)
-        new[1:] = np.where(ordered[1:] == ordered[:-1], between[:-1] + np.uint8(1), 0)
+        between = np.minimum.reduceat(np.append(prefix, length(0)), by + 1)
+        new = np.zeros(len(by), length)
+        new[1:] = np.where(ordered[1:] == ordered[:-1], between[:-1] + length(1), 0)
         order, prefix = order[by], new
         yield column, order, prefix
 

@@ -31,6 +31,12 @@ def test_construction_against_sorted_suffixes(rows):
     assert seen == len(data)
 
 
+def test_common_prefixes_of_long_strings():
+    data = np.frombuffer(b"ab" * 300, np.uint8)
+    *_, (_, order, prefix) = suffix.columns(data, np.array([0, 300]), np.array([300, 300]), np.zeros(2, np.int64))
+    assert order.tolist() == [0, 1] and prefix.tolist() == [0, 300]
+
+
 def _rows(df):
     return df.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)).collect()
 
