@@ -93,3 +93,21 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
+
+
+def global_rank(df: DataFrame, order: list, out: str) -> DataFrame:
+    """Add ``out``: 1, 2, 3 ... over all rows in ``order`` (which should be total:
+    equal rows meet in one range).  Rows are range-partitioned and sorted, the
+    sorted copy is written, and the places inside a partition are moved by the
+    sizes of the partitions before it (one number per partition)."""
+    at = F.monotonically_increasing_id()
+    placed = materialize(df.orderBy(*order).withColumn("__at", at), "ranked")
+    piece = F.shiftright("__at", 33)
+    sizes = sorted((r["p"], r["n"]) for r in placed.groupBy(piece.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+    before, rows = 0, []
+    for p, n in sizes:
+        rows.append((p, before))
+        before += n
+    offsets = df.sparkSession.createDataFrame(rows, "__p long, __before long")
+    return (placed.withColumn("__p", piece).join(F.broadcast(offsets), "__p", "left")
+            .withColumn(out, F.col("__before") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("__at", "__p", "__before"))

@@ -59,5 +59,26 @@ SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
        CASE WHEN n >= 1000 AND page_id <> first_id THEN first_id END AS refers_to,
        coalesce(url, '-') AS url
 FROM d
+""",
+    "op11_resampling": f"""
+WITH t AS (SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc),
+d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS ws FROM documents),
+dw AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(ws) AS w FROM d) GROUP BY ALL),
+bw AS (SELECT w, count(*) AS n FROM (SELECT unnest(regexp_extract_all({_LOWER}, '{_ALNUM}')) AS w FROM benchmark) GROUP BY w),
+x AS (SELECT w, hex(encode(w)) AS h FROM (SELECT w FROM dw UNION SELECT w FROM bw)),
+y AS (SELECT w, list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT) AS bytes FROM x),
+z AS (SELECT w, xor(list_reduce([4294967295::BIGINT] || bytes, lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS b FROM y, t),
+s AS (SELECT b, sum(n) AS n FROM dw JOIN z USING (w) GROUP BY b),
+u AS (SELECT b, sum(n) AS n FROM bw JOIN z USING (w) GROUP BY b),
+g AS (SELECT range AS b, floor(1000 * ln((coalesce(u.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s) + 10000)::DOUBLE
+             / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM u) + 10000)::DOUBLE)))::BIGINT AS gain
+      FROM range(10000) LEFT JOIN s ON s.b = range LEFT JOIN u ON u.b = range),
+f AS (SELECT doc_id, sum(n) AS n, sum(n * gain) AS weight FROM dw JOIN z USING (w) JOIN g USING (b) GROUP BY doc_id),
+r AS (SELECT d.doc_id, len(ws) AS n_words, coalesce(f.n, 0)::BIGINT AS n_features, coalesce(f.weight, 0)::BIGINT AS weight,
+             floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS noise
+      FROM d LEFT JOIN f ON d.doc_id = f.doc_id),
+k AS (SELECT *, CASE WHEN n_words >= 20 THEN row_number() OVER (PARTITION BY n_words >= 20 ORDER BY weight + noise DESC, doc_id) END AS place,
+             10 * (count(*) FILTER (WHERE n_words >= 20) OVER ()) // 100 AS drawn FROM r)
+SELECT doc_id, n_features, weight, weight + noise AS score, CASE WHEN place <= drawn THEN place END AS rank FROM k
 """,
 }

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import alignment, archive, decontaminate, language, mixing, oracles, quality, relative_lz, sharding, simhash, suffix, templates
+from . import alignment, archive, decontaminate, language, mixing, oracles, quality, relative_lz, resampling, sharding, simhash, suffix, templates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,11 +73,16 @@ def op10_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     aligned, _ = alignment.align(_table(spark, sf_dir, "documents"))
     return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_overlaps")
 
 
 QUERIES = {f.__name__: f for f in (op1_templates, op2_suffix, op3_language, op4_decontaminate, op5_mixing, op6_sharding, op7_warc, op8_quality, op9_simhash, op10_relative_lz,
-                                op13_alignment)}
+                                op11_resampling, op13_alignment)}
 ORACLES: dict[str, str] = dict(oracles.ORACLES)
