@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import alignment, archive, decontaminate, language, mixing, oracles, quality, relative_lz, resampling, sharding, simhash, suffix, templates
+from . import alignment, archive, decontaminate, language, mixing, oracles, pitman_yor, quality, relative_lz, resampling, sharding, simhash, suffix, templates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,11 +78,16 @@ def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = pitman_yor.score_corpus(_table(spark, sf_dir, "documents"))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     aligned, _ = alignment.align(_table(spark, sf_dir, "documents"))
     return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_overlaps")
 
 
 QUERIES = {f.__name__: f for f in (op1_templates, op2_suffix, op3_language, op4_decontaminate, op5_mixing, op6_sharding, op7_warc, op8_quality, op9_simhash, op10_relative_lz,
-                                op11_resampling, op13_alignment)}
+                                op11_resampling, op12_pitman_yor, op13_alignment)}
 ORACLES: dict[str, str] = dict(oracles.ORACLES)
