@@ -77,12 +77,13 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if seen is not None and tuple(mark) == seen:
             break
         seen = tuple(mark)
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = pair(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")))
+        # The centre of a large star is one node of very many edges: hot nodes are joined apart.
+        both = materialize(now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v"))), "cc-both")
+        least = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc-least")
+        large = pair(join_hot(both.where("v > u"), least, ["u"], counted=both).select(F.col("v").alias("u"), F.col("m").alias("v")))
         large = materialize(large, "cc")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
+        least = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "cc-least")
+        joined = materialize(join_hot(large, least, ["u"]), "cc-joined")
         now = materialize(pair(joined.select("u", F.col("m").alias("v")).unionByName(
             joined.select(F.col("v").alias("u"), F.col("m").alias("v")))), "cc")
     else:

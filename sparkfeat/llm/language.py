@@ -10,11 +10,14 @@ vector covers exactly those, and texts are scored by batched matrix products:
 presence vectors times the landmarks', times the regression weights.
 
 The number of sampled rows is a parameter (``per_language``): a hash of the id
-and text chooses them, about as many of each language, or all of a rarer one.
+and text chooses them, about as many of each language, or all of a rarer one,
+up to ``SAMPLE_BYTES`` bytes together.  The ``MAX_LANGUAGES`` most frequent tags
+are learned (equal counts by tag); rows of the others are scored like all.
 Every text is scored whole.
 
 Defined cases: a null text and one without any letter give ``und`` with score
-0; so does every text if nothing can be learned; null ids are never learned
+0; so does every text if nothing can be learned; tags beyond the learned ones
+are never predicted; null ids are never learned
 from and are not held out; repeated rows get equal results; an empty table
 gives an empty result.
 """
@@ -23,9 +26,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import text as tx
 
 MAX_GRAM = 3
@@ -33,6 +37,10 @@ PER_LANGUAGE = 400
 LANDMARKS = 32
 RIDGE = 1e-3
 MAX_LANGUAGES = 200
+#: Bytes of the sample, shared alike by the languages.
+SAMPLE_BYTES = 128 << 20
+#: Cells of a presence matrix; a run of texts has as many rows as fit.
+CELLS = 1 << 24
 UNKNOWN = "und"
 
 #: ASCII other than letters reads as a space.
@@ -95,7 +103,8 @@ class Model:
         return (x @ self.landmarks.T) / norm[:, None]
 
     def scores(self, texts: tx.Texts) -> np.ndarray:
-        return self.kernel(texts) @ self.weights
+        rows = max(1, CELLS // (self.size + 1))
+        return np.concatenate([self.kernel(texts.part(at, at + rows)) @ self.weights for at in range(0, len(texts), rows)])
 
 
 def _as_texts(strings: list[str]) -> tx.Texts:
@@ -140,23 +149,29 @@ def fit(languages: list[str], rows: list[tuple[str, str]], landmarks: int = LAND
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS) -> Model | None:
+          per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS, max_languages: int = MAX_LANGUAGES,
+          sample_bytes: int = SAMPLE_BYTES) -> Model | None:
     """Fit on a sample of the labelled rows that are not held out.  At most about
-    ``per_language`` rows of each language reach the driver."""
+    ``per_language`` rows of each learned language and ``sample_bytes`` bytes of
+    text reach the driver."""
     usable = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l")).where(
         F.col("id").isNotNull() & F.col("t").isNotNull() & F.col("l").isNotNull() & ~held_out("id"))
     counts = usable.groupBy("l").agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.orderBy("l").limit(MAX_LANGUAGES + 1).collect()
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    counts = sorted(counts.orderBy(F.desc("n"), "l").limit(max_languages).collect(), key=lambda r: r["l"])
     if not counts:
         return None
-    share = F.lit(0.0)
+    # One flat CASE, so that hundreds of tags do not nest.
+    share, sizes = F.when(F.lit(False), 0.0), F.octet_length("t")
     for r in counts:
-        share = F.when(F.col("l") == r["l"], min(1.0, per_language / r["n"])).otherwise(share)
+        share = share.when(F.col("l") == r["l"], min(1.0, per_language / r["n"]))
+    share = share.otherwise(0.0)
     bits = 1 << 30
     rank = F.pmod(F.xxhash64("id", "t"), F.lit(bits))
-    sample = usable.withColumn("r", rank).where(F.col("r") < share * bits).select("r", "id", F.lower("t").alias("t"), "l").collect()
+    chosen = materialize(usable.withColumn("r", rank).where(F.col("r") < share * bits).select("r", "id", F.lower("t").alias("t"), "l"), "language-sample")
+    # Of each language the first rows (by rank) within its share of the bytes; a row beyond all by itself goes too.
+    order = Window.partitionBy("l").orderBy("r", "id", "t")
+    within = chosen.withColumn("b", F.sum(sizes).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    sample = within.where(F.col("b") <= sample_bytes // len(counts)).select("r", "id", "t", "l").collect()
     rows = [(r["t"], r["l"]) for r in sorted(sample, key=lambda r: (r["r"], r["id"], r["t"]))]
     learned = {name for _, name in rows}
     return fit([r["l"] for r in counts if r["l"] in learned], rows, landmarks) if rows else None

@@ -7,9 +7,11 @@ _SPACE = r"[^\x20\x09-\x0D]+"
 ORACLES = {
     "op2_suffix": """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-b AS (SELECT doc_id, h, p, p + 50 <= length(h) // 2 AS whole FROM (SELECT doc_id, h, unnest(range(length(h) // 2)) AS p FROM d)),
-w AS (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY substr(h, 2 * p + 1, 100)) < doc_id AS late FROM b WHERE whole),
-g AS (SELECT b.doc_id, b.p, substr(b.h, 2 * b.p + 1, 2) AS x,
+c AS (SELECT doc_id, length(h) // 2 AS n, k, substr(h, 512 * k + 1, 610) AS piece FROM (SELECT doc_id, h, unnest(range((length(h) + 511) // 512)) AS k FROM d)),
+b AS (SELECT doc_id, 256 * k + i AS p, substr(piece, 2 * i + 1, 2) AS x, CASE WHEN 256 * k + i + 50 <= n THEN substr(piece, 2 * i + 1, 100) END AS s
+      FROM (SELECT *, unnest(range(least(256, n - 256 * k))) AS i FROM c)),
+w AS (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY s) < doc_id AS late FROM b WHERE s IS NOT NULL),
+g AS (SELECT b.doc_id, b.p, b.x,
              coalesce(max(CASE WHEN w.late THEN 1 ELSE 0 END) OVER (PARTITION BY b.doc_id ORDER BY b.p ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 0) AS gone
       FROM b LEFT JOIN w ON b.doc_id = w.doc_id AND b.p = w.p),
 r AS (SELECT *, coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY p), 0) AS before FROM g),

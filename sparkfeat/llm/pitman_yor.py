@@ -22,9 +22,11 @@ table, so only pairs seen twice or more carry state.  Discounts are
 
 On Spark: texts are scanned in parts; a part sends its distinct (context, word)
 pairs, with counts, to blocks dealt by a hash of the pair, so no context and no
-word gathers in one task.  What a block must know about the rest travels as one
-row per (block, word): how many tables its pairs add to a word and a context go
-out, parent probability and table totals come back.  A second scan scores the
+word gathers in one task.  A word's numbers over all blocks meet at its home, which
+has the word's seat in the restaurant of single words: blocks send the tables
+that their pairs add to words and contexts, homes return each word's customers
+and tables and each context's tables, as compressed arrays in one row per block
+and home.  A second scan scores the
 texts: blocks return partial sums for the documents of each part.  Nothing is
 broadcast or collected but totals.  Words are told apart by 64-bit hashes; the
 expected number of colliding pairs among 10 million words is below 0.00001.
@@ -42,13 +44,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import discard, materialize, setting
 from . import text as tx
 from .common import union_all
 
@@ -58,13 +59,12 @@ STRENGTH = 1.0
 EXACT = 1024
 #: Points at which the law of a larger number of customers is evaluated.
 GRID = 257
-PART_BYTES = 24 << 20
+PART_BYTES = 12 << 20
 #: Text that a block stands for; grows with the root of the corpus, so that parts x blocks stays in proportion to it.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 28 << 20
 SEED = 12
 
 BEGIN, END = (tx.mix(np.array([x], np.uint64))[0] for x in (0xB0, 0xE0))
-DISH, CONTEXT = 0, 1
 
 
 def held_out(id_col) -> Column:
@@ -112,6 +112,22 @@ class _Tokens:
         self.first = np.cumsum(self.counts) - self.counts
 
 
+def _ranked(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, ascending, and each element's place among them (32
+    bits: a part has fewer tokens)."""
+    order = np.argsort(a, kind="stable" if a.dtype.itemsize < 8 else None)
+    a = a[order]
+    new = np.empty(len(a), bool)
+    new[:1] = True
+    np.not_equal(a[1:], a[:-1], out=new[1:])
+    a = a[new]
+    place = np.cumsum(new, dtype=np.int32)
+    place -= 1
+    out = np.empty(len(order), np.int32)
+    out[order] = place
+    return a, out
+
+
 class _Part:
     """Tokens of several runs, gathered until they are dealt to the blocks."""
 
@@ -128,19 +144,25 @@ class _Part:
         """``(names, context, word, block, at)``: the distinct words' hashes
         (ascending), the distinct pairs in the order of their block, as indexes
         into ``names``, and of every token the place of its pair."""
-        word = np.concatenate(self.words)
-        names, index = np.unique(np.append(word, BEGIN), return_inverse=True)
-        begin, index = index[-1], index[:-1]
-        before = np.empty_like(index)
-        before[1:] = index[:-1]
-        counts = np.concatenate(self.counts)
-        before[np.cumsum(counts) - counts] = begin
-        key, at = np.unique(before * np.int64(len(names)) + index, return_inverse=True)
-        context, own = key // len(names), key % len(names)
-        block = (tx.mix(names[context] * np.uint64(0x9E3779B97F4A7C15) + names[own]) % np.uint64(blocks)).astype(np.int64)
+        word = np.append(np.concatenate(self.words), BEGIN)
+        self.words.clear()
+        names, index = _ranked(word)
+        del word
+        begin, n = index[-1], len(index) - 1
+        first = np.cumsum(np.concatenate(self.counts))
+        key = np.empty(n, np.int64)
+        key[1:] = index[:n - 1]
+        key[np.concatenate([[0], first[:-1]])] = begin
+        key *= len(names)
+        key += index[:n]
+        del index
+        key, at = _ranked(key)
+        context, own = (key // len(names)).astype(np.int32), (key % len(names)).astype(np.int32)
+        del key
+        block = (tx.mix(names[context] * np.uint64(0x9E3779B97F4A7C15) + names[own]) % np.uint64(blocks)).astype(np.int32)
         order = np.argsort(block, kind="stable")
-        rank = np.empty_like(order)
-        rank[order] = np.arange(len(order))
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
         return names, context[order], own[order], block[order], rank[at]
 
     def dealt(self, blocks: int):
@@ -171,6 +193,7 @@ def _each_part(batches, part_bytes: int):
             if part.size >= part_bytes:
                 yield part
                 part = _Part()
+                tx.release()
     if part.rows:
         yield part
 
@@ -188,87 +211,154 @@ def _read(blob: bytes) -> dict[str, np.ndarray]:
 
 
 def _counted(docs: DataFrame, blocks: int, part_bytes: int) -> DataFrame:
-    """``block, data``: distinct pairs of each part with their training counts
-    (0: only in held-out texts)."""
+    """Distinct pairs of each part with their training counts (0: only in held-out
+    texts), to their blocks."""
 
     def scan(batches):
         for part in _each_part(batches, part_bytes):
             held = np.concatenate([r.column(0).to_numpy() for r in part.rows])
             each, at = part.dealt(blocks)
-            n = np.bincount(at, weights=np.repeat(~held, np.concatenate(part.counts)), minlength=int(at.max()) + 1).astype(np.int32)
+            n = np.bincount(at[np.repeat(~held, np.concatenate(part.counts))], minlength=int(at.max()) + 1).astype(np.int32)
+            del at
             for b, names, context, own, piece in each:
-                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([_record(names, context, own, n=n[piece])], pa.binary())],
-                                                 names=["block", "data"])
+                yield from _rows([(b, 0, _PAIRS, _record(names, context, own, n=n[piece]))]).to_batches()
 
-    return docs.select("held_out", "text").mapInArrow(scan, "block int, data binary")
+    return docs.select("held_out", "text").mapInArrow(scan, _SENT)
 
 
 # ---- The model ------------------------------------------------------------
 
-_MODEL = "block int, data binary, seats binary, word long, role int, n long, types long, singles long, twos long, tables long"
+#: Rows that travel: to a block or a home (``to``), from the other, with arrays.
+_SENT = "to int, origin int, kind int, data binary"
+_PAIRS, _SEATS, _WORDS, _STATE, _ROOT, _REPLY, _TEXTS, _BITS = range(8)
+_ROLES = ("d", "c")   # as a dish (the word itself), as a context
 
 
 def _sums(index: np.ndarray, size: int, *values) -> list[np.ndarray]:
     return [np.bincount(index, weights=v, minlength=size).astype(np.int64) for v in values]
 
 
-def _word_rows(block: int, names: np.ndarray, role: int, schema: pa.Schema, **columns) -> pa.Table:
-    n = len(names)
-    have = {"block": pa.array(np.full(n, block, np.int32)), "word": pa.array(names.view(np.int64)), "role": pa.array(np.full(n, role, np.int32)),
-            **{k: pa.array(v) for k, v in columns.items()}}
-    return pa.Table.from_arrays([have.get(f.name, pa.nulls(n, f.type)) for f in schema], schema=schema)
+def _home(names: np.ndarray, homes: int) -> np.ndarray:
+    """Home of each word: where its counts of all blocks meet."""
+    return (tx.mix(names ^ np.uint64(0xA5A5A5A5A5A5A5A5)) % np.uint64(homes)).astype(np.int64)
 
 
-def _blob_row(schema: pa.Schema, **values) -> pa.Table:
-    return pa.Table.from_arrays([pa.array([values.get(f.name)], f.type) for f in schema], schema=schema)
+def _rows(found: list[tuple]) -> pa.Table:
+    """``_SENT`` rows from tuples."""
+    columns = list(zip(*found)) if found else [[], [], [], []]
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.int32(), pa.binary()))],
+                                names=["to", "origin", "kind", "data"])
 
 
-def _arrow(ddl_frame: DataFrame) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
+def _grouped(frames: list[DataFrame], groups: int, function, name: str, schema: str = _SENT) -> DataFrame:
+    """``function(to, {kind: [(origin, arrays)]})`` of every group's rows, written."""
 
-    return to_arrow_schema(ddl_frame.schema)
+    def run(table: pa.Table) -> pa.Table:
+        rows: dict[int, list] = {}
+        to = table["to"][0].as_py()
+        for kind, origin, data in sorted(zip(table["kind"].to_pylist(), table["origin"].to_pylist(), table["data"].to_pylist())):
+            rows.setdefault(kind, []).append((origin, data))
+        del table
+        found = _rows(list(function(to, rows)))
+        tx.release()
+        return found
 
+    dealt = union_all(frames).repartition(groups, "to")
+    return materialize(dealt.groupBy("to").applyInArrow(run, schema), name)
 
-def _merged(counted: DataFrame, blocks: int) -> DataFrame:
-    """A block's pairs with their counts over all parts (``data``), those seen
-    twice or more with one table each (``seats``), and a row per word and role:
-    training count, distinct pairs, pairs seen once and twice, and tables of
-    the pairs in ``seats``."""
-    spark = counted.sparkSession
-    schema = _arrow(spark.createDataFrame([], _MODEL))
 
-    def merge(table: pa.Table) -> pa.Table:
-        block = table["block"][0].as_py()
-        records = [_read(x) for x in table["data"].to_pylist()]
-        names = np.unique(np.concatenate([r["names"] for r in records]))
+def _of(sent: DataFrame, kind: int) -> DataFrame:
+    return sent.where(F.col("kind") == kind)
+
+
+def _to_homes(block: int, names: np.ndarray, homes: int, columns: dict[str, np.ndarray]):
+    """A block's words and their numbers, one row for each home."""
+    home = _home(names, homes)
+    for h in np.unique(home).tolist():
+        own = home == h
+        yield h, block, _WORDS, _pack(names=_steps(names[own]), **{k: v[own].astype(np.int32) for k, v in columns.items()})
+
+
+def _words(blob: bytes) -> dict[str, np.ndarray]:
+    out = _unpack(blob)
+    out["names"] = np.cumsum(out["names"])
+    return out
+
+
+def _merged(counted: DataFrame, groups: int) -> DataFrame:
+    """A block's pairs with their counts over all parts, those seen twice or
+    more with one table each, and per home its words: training count, distinct
+    pairs, and pairs seen once, as a word and as a context."""
+
+    def merge(block: int, rows: dict):
+        blobs = rows.pop(_PAIRS)
+        names = np.unique(np.concatenate([np.cumsum(_unpack(x)["names"]) for _, x in blobs]))
         key, n = [], []
-        for r in records:
+        for _, x in blobs:
+            r = _read(x)
             at = np.searchsorted(names, r["names"])
             key.append(at[r["context"]] * np.int64(len(names)) + at[r["word"]])
             n.append(r["n"])
-        del records
+        del blobs, r, at
         key, n = np.concatenate(key), np.concatenate(n)
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         key, n = key[order], n[order]
+        del order
         begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        key, n = key[begin], np.add.reduceat(n, begin, dtype=np.int64)
-        context, word = key // len(names), key % len(names)
+        key, n = key[begin], np.add.reduceat(n, begin)
+        del begin
+        context, word = (key // len(names)).astype(np.int32), (key % len(names)).astype(np.int32)
+        del key
         many = n >= 2
         used = np.zeros(len(names), bool)
         used[context[many]] = True
         used[word[many]] = True
         local = np.cumsum(used) - 1
-        seats = _record(names[used], local[context[many]], local[word[many]], n=n[many].astype(np.int64),
-                        tables=np.ones(int(many.sum()), np.int64), total=np.zeros(int(many.sum()), np.int64))
-        out = [_blob_row(schema, block=block, data=_record(names, context, word, n=n), seats=seats)]
-        for role, index in ((DISH, word), (CONTEXT, context)):
-            count, types, singles, twos, tables = _sums(index, len(names), n, n > 0, n == 1, n == 2, many)
-            there = np.bincount(index, minlength=len(names)) > 0
-            out.append(_word_rows(block, names[there], role, schema, n=count[there], types=types[there], singles=singles[there],
-                                  twos=twos[there], tables=tables[there]))
-        return pa.concat_tables(out)
+        ones = np.ones(int(many.sum()), np.int32)
+        yield block, block, _PAIRS, _record(names, context, word, n=n.astype(np.int32))
+        # So many leading bits tell all names of the block apart.
+        nearest = int((names[1:] ^ names[:-1]).min()) if len(names) > 1 else 1 << 63
+        yield block, block, _BITS, _pack(total=np.array([65 - nearest.bit_length()], np.int64))
+        yield block, block, _SEATS, _record(names[used], local[context[many]], local[word[many]], n=n[many].astype(np.int32), tables=ones, total=0 * ones)
+        columns = {}
+        del local, ones
+        for role, index in zip(_ROLES, (word, context)):
+            columns[role + "n"], columns[role + "types"], columns[role + "once"], columns[role + "twice"] = _sums(
+                index, len(names), n, n > 0, n == 1, n == 2)
+        yield from _to_homes(block, names, groups, columns)
+
+    return _grouped([counted], groups, merge, "py-pairs")
+
+
+def _gathered(sent: DataFrame, groups: int) -> DataFrame:
+    """Per home its words with their counts over all blocks, and totals."""
+
+    def gather(home: int, rows: dict):
+        records = [_words(x) for _, x in rows[_WORDS]]
+        names = np.unique(np.concatenate([r["names"] for r in records]))
+        sums = {k: np.zeros(len(names), np.int64) for k in records[0] if k != "names"}
+        for r in records:
+            at = np.searchsorted(names, r["names"])
+            for k in sums:
+                sums[k][at] += r[k]
+        total = np.array([sums["dn"].sum(), (sums["dn"] > 0).sum(), sums["donce"].sum(), sums["dtwice"].sum(),
+                          (sums["dtypes"] == 1).sum(), (sums["dtypes"] == 2).sum()], np.int64)
+        yield home, home, _STATE, _pack(names=_steps(names), total=total, **{k: sums[k] for k in ("dn", "dtypes", "donce", "cn", "ctypes", "conce")})
 
-    return materialize(counted.repartition(blocks, "block").groupBy("block").applyInArrow(merge, _MODEL), "py-model")
+    return _grouped([_of(sent, _WORDS)], groups, gather, "py-words")
+
+
+def _totals(sent: DataFrame, kind: int, width: int, how=F.sum) -> np.ndarray:
+    """Sums of the ``total`` arrays of a kind of rows (one row per home or block)."""
+
+    def read(batches):
+        for batch in batches:
+            for blob in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array([_unpack(blob)["total"].tolist()], pa.list_(pa.int64()))], names=["total"])
+
+    found = _of(sent, kind).select("data").mapInArrow(read, "total array<long>")
+    row = found.agg(*[F.coalesce(how(F.col("total")[i]), F.lit(0)) for i in range(width)]).first()
+    return np.array(row, np.int64)
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -353,104 +443,123 @@ def _generator(*key: int):
     return np.random.Generator(np.random.Philox(key=[SEED, int.from_bytes(b"".join(int(k).to_bytes(4, "little") for k in key[:2]), "little")]))
 
 
-_ROOT = "word long, role int, n long, customers long, tables long"
+def _root(state: DataFrame, sent: DataFrame | None, groups: int, sweep: int, d: float, strength: float, base: float, total: int) -> DataFrame:
+    """The restaurant of single words: every word's customers (its tables in all
+    contexts) and their sampled tables, and every context's tables; and the same
+    numbers as replies to the blocks, in the order of the words each has sent."""
+
+    def sample(home: int, rows: dict):
+        (_, blob), = rows[_STATE]
+        w = _words(blob)
+        customers, tables_in = w["donce"].copy(), w["conce"].copy()
+        asked = []
+        if _WORDS not in rows:  # the first sweep: one table for every pair
+            customers, tables_in = w["dtypes"].copy(), w["ctypes"].copy()
+        for origin, data in rows.get(_WORDS, []):
+            r = _words(data)
+            at = np.searchsorted(w["names"], r["names"])
+            customers[at] += r["d"]
+            tables_in[at] += r["c"]
+            asked.append((origin, at))
+        tables = np.minimum(customers, 1)
+        many = customers >= 2
+        tables[many] = seat(_generator(sweep, home), customers[many], max(0, total - 1), base, d, strength)
+        yield home, home, _ROOT, _pack(customers=customers, tables=tables, seated=tables_in, total=np.array([customers.sum(), tables.sum()], np.int64))
+        for origin, at in asked:
+            yield origin, home, _REPLY, _pack(customers=customers[at], tables=tables[at], seated=tables_in[at])
+
+    return _grouped([state, *([sent] if sent is not None else [])], groups, sample, "py-root")
+
+
+def _placed(names: np.ndarray, groups: int, replies: list, columns: list[str]) -> dict[str, np.ndarray]:
+    """Numbers that the homes returned, in the order of ``names``."""
+    home = _home(names, groups)
+    out = {c: np.zeros(len(names), np.int64) for c in columns}
+    for origin, data in replies:
+        r, own = _unpack(data), home == origin
+        for c in columns:
+            out[c][own] = r[c]
+    return out
 
 
-def _root(words: DataFrame, seats: DataFrame, sweep: int, d: float, strength: float, base: float, total: int) -> DataFrame:
-    """``word, role, n, customers, tables`` of the words with a count of two or
-    more: of a word its customers in the parent restaurant and their sampled
-    tables, of a context the tables of its restaurant (``customers``)."""
-    added = seats.where("word is not null").groupBy("word", "role").agg(F.sum("tables").alias("added"))
-    joined = words.where("n >= 2").join(added, ["word", "role"], "left").select(
-        "word", "role", "n", (F.col("singles") + F.coalesce("added", F.lit(0))).alias("customers"))
+def _asked(seats: DataFrame, groups: int) -> DataFrame:
+    """The words of every block's pairs in ``seats``, with the tables of these pairs."""
 
-    def sample(batches):
-        rng = _generator(sweep, TaskContext.get().partitionId())
+    def ask(batches):
         for batch in batches:
-            role, customers = (batch.column(i).to_numpy() for i in (1, 3))
-            tables = np.ones(len(role), np.int64)
-            own = role == DISH
-            tables[own] = seat(rng, customers[own], max(0, total - 1), base, d, strength)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tables)], names=["word", "role", "n", "customers", "tables"])
-
-    return materialize(joined.mapInArrow(sample, _ROOT), "py-root")
-
-
-_SEATS = "block int, seats binary, word long, role int, tables long"
-
-
-def _sweep(seats: DataFrame, told: DataFrame, blocks: int, sweep: int, add: bool, d: float, strength: float) -> DataFrame:
-    """New tables of every pair in ``seats``, from ``told`` (``block, word, role,
-    x``: parent probabilities and table totals)."""
-    schema = _arrow(seats.sparkSession.createDataFrame([], _SEATS))
-
-    def draw(group: pa.Table) -> pa.Table:
-        block = group["block"][0].as_py()
-        s = _read(next(x for x in group["seats"].to_pylist() if x is not None))
-        heard = group.filter(pc.is_valid(group["word"]))  # no nulls: whole 64-bit numbers
-        role, word, x = (heard[c].to_numpy() for c in ("role", "word", "x"))
-        value = []
-        for r in (DISH, CONTEXT):
-            at = np.zeros(len(s["names"]))
-            own = np.flatnonzero(role == r)
-            at[np.searchsorted(s["names"], word[own].view(np.uint64))] = x[own]
-            value.append(at)
-        old = s["tables"]
-        total = s["total"] + old if add else s["total"]
-        new = seat(_generator(sweep, block), s["n"], value[CONTEXT][s["context"]] - old, value[DISH][s["word"]], d, strength)
-        blob = _record(s["names"], s["context"], s["word"], n=s["n"], tables=new, total=total)
-        out = [_blob_row(schema, block=block, seats=blob)]
-        for r, index in ((DISH, s["word"]), (CONTEXT, s["context"])):
-            there = np.bincount(index, minlength=len(s["names"])) > 0
-            out.append(_word_rows(block, s["names"][there], r, schema, tables=_sums(index, len(there), new)[0][there]))
-        return pa.concat_tables(out)
-
-    blobs = seats.where("seats is not null").select("block", "seats", F.lit(None).cast("long").alias("word"), F.lit(-1).alias("role"), F.lit(0.0).alias("x"))
-    rows = told.select("block", F.lit(None).cast("binary").alias("seats"), "word", "role", "x")
-    return materialize(blobs.unionByName(rows).repartition(blocks, "block").groupBy("block").applyInArrow(draw, _SEATS), "py-seats")
+            for block, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found = list(_tables(block, _read(blob), groups))
+                if found:
+                    yield from _rows(found).to_batches()
+
+    return _of(seats, _SEATS).select("to", "data").mapInArrow(ask, _SENT)
+
+
+def _tables(block: int, s: dict, groups: int):
+    d, = _sums(s["word"], len(s["names"]), s["tables"])
+    c, = _sums(s["context"], len(s["names"]), s["tables"])
+    return _to_homes(block, s["names"], groups, {"d": d, "c": c})
+
+
+def _sweep(seats: DataFrame, replies: DataFrame, groups: int, sweep: int, add: bool, d: float, strength: float, parent) -> DataFrame:
+    """New tables of every pair in ``seats``, given the parent's probabilities
+    and the other tables of its restaurant."""
+
+    def draw(block: int, rows: dict):
+        (_, blob), = rows[_SEATS]
+        s = _read(blob)
+        told = _placed(s["names"], groups, rows.get(_REPLY, []), ["customers", "tables", "seated"])
+        p = parent(told["customers"], told["tables"])
+        old = s["tables"].astype(np.int64)
+        new = seat(_generator(sweep, block), s["n"], told["seated"][s["context"]] - old, p[s["word"]], d, strength)
+        total = (s["total"] + old if add else s["total"]).astype(np.int32)
+        yield block, block, _SEATS, _record(s["names"], s["context"], s["word"], n=s["n"], tables=new.astype(np.int32), total=total)
+
+    return _grouped([_of(seats, _SEATS), replies], groups, draw, "py-seats")
 
 
 class Model:
-    """Tables of a fitted model.  ``pairs``: a block's pairs and counts, and a row
-    per (block, word, role); ``seats``: the pairs with state, tables summed over
-    the samples; ``words``: counts; ``roots``: per sample, its restaurant of
-    single words; ``scalars``: ``(customers, tables)`` of that restaurant."""
+    """A fitted model.  ``pairs``: rows of the blocks (all pairs and counts) and
+    their words per home; ``seats``: the pairs with state, tables summed over the
+    samples; ``state``: counts of the words per home; ``roots``: per sample, the
+    restaurant of single words; ``scalars``: its ``(customers, tables)``."""
 
-    def __init__(self, **tables):
-        self.__dict__.update(tables)
+    def __init__(self, **values):
+        self.__dict__.update(values)
 
-    def parent(self, sample: int, customers, tables):
-        """Probability of a word in the restaurant of single words."""
-        n, t = self.scalars[sample]
-        return (customers - self.d_root * tables + (self.strength + self.d_root * t) * self.base) / (self.strength + n)
+    def parent(self, sample: int):
+        return _parent(*self.scalars[sample], self.d_root, self.strength, self.base)
+
+
+def _parent(n: int, t: int, d: float, strength: float, base: float):
+    """Function of a word's customers and tables in the restaurant of single words:
+    its probability there."""
+    return lambda customers, tables: (customers - d * tables + (strength + d * t) * base) / (strength + n)
 
 
 def fit(docs: DataFrame, blocks: int, burn_in: int = BURN_IN, samples: int = SAMPLES, strength: float = STRENGTH,
         part_bytes: int = PART_BYTES) -> Model:
     """Sample the model from ``docs`` (``held_out``, ``text``)."""
-    merged = _merged(_counted(docs, blocks, part_bytes), blocks)
-    words = materialize(merged.where("word is not null and n > 0").groupBy("word", "role").agg(
-        *[F.sum(c).alias(c) for c in ("n", "types", "singles", "twos")]), "py-words")
-    dish = F.col("role") == DISH
-    count = lambda c: F.coalesce(F.sum(F.when(dish & c, 1)), F.lit(0))
-    tot = words.agg(F.coalesce(F.sum(F.when(dish, F.col("n"))), F.lit(0)).alias("n"), count(F.lit(True)).alias("v"), count(F.col("n") == 1).alias("hapax"),
-                    F.coalesce(F.sum(F.when(dish, F.col("singles"))), F.lit(0)).alias("n1"), F.coalesce(F.sum(F.when(dish, F.col("twos"))), F.lit(0)).alias("n2"),
-                    count(F.col("types") == 1).alias("m1"), count(F.col("types") == 2).alias("m2")).first()
-    model = Model(merged=merged, words=words, blocks=blocks, n=tot["n"], v=tot["v"], hapax=tot["hapax"], strength=strength, base=1.0 / (tot["v"] + 1),
-                  d=discount(tot["n1"], tot["n2"]), d_root=discount(tot["m1"], tot["m2"]), roots=[], scalars=[], samples=samples)
-    seats, tables = merged.select("block", "seats", "word", "role", "tables").where("word is null or tables > 0"), model.v
+    pairs = _merged(_counted(docs, blocks, part_bytes), blocks)
+    state = _gathered(pairs, blocks)
+    n, v, n1, n2, m1, m2 = _totals(state, _STATE, 6).tolist()
+    bits = max(1, int(_totals(pairs, _BITS, 1, F.max)[0]))
+    model = Model(pairs=pairs, state=state, bits=bits, blocks=blocks, n=n, v=v, strength=strength, base=1.0 / (v + 1), samples=samples,
+                  d=discount(n1, n2), d_root=discount(m1, m2), roots=[], scalars=[])
+    seats, tables = pairs, v
     for sweep in range(burn_in + samples):
-        root = _root(words, seats, sweep, model.d_root, strength, model.base, tables)
-        now = root.where(dish).agg(F.coalesce(F.sum("customers"), F.lit(0)).alias("n"), F.coalesce(F.sum("tables"), F.lit(0)).alias("t")).first()
-        customers, tables = now["n"] + model.hapax, now["t"] + model.hapax
+        root = _root(state, _asked(seats, blocks), blocks, sweep, model.d_root, strength, model.base, tables)
+        customers, tables = _totals(root, _ROOT, 2).tolist()
         if sweep >= burn_in:
-            model.roots.append(root)
+            model.roots.append(_of(root, _ROOT))
             model.scalars.append((customers, tables))
         if sweep + 1 < burn_in + samples:
-            p = (F.col("customers") - model.d_root * F.col("tables") + (strength + model.d_root * tables) * model.base) / (strength + customers)
-            told = seats.where("word is not null").select("block", "word", "role").join(root, ["word", "role"]).select(
-                "block", "word", "role", F.when(dish, p).otherwise(F.col("customers")).alias("x"))
-            seats = _sweep(seats, told, blocks, sweep, sweep >= burn_in, model.d, strength)
+            parent = _parent(customers, tables, model.d_root, strength, model.base)
+            before, seats = seats, _sweep(seats, _of(root, _REPLY), blocks, sweep, sweep >= burn_in, model.d, strength, parent)
+            if before is not pairs:
+                discard(before)
+            if sweep < burn_in:
+                discard(root)
     model.seats = seats
     return model
 
@@ -458,25 +567,31 @@ def fit(docs: DataFrame, blocks: int, burn_in: int = BURN_IN, samples: int = SAM
 # ---- Scoring --------------------------------------------------------------
 
 def _told(model: Model) -> DataFrame:
-    """``block, word, role, n, x0 ...``: what every block must know of the words
-    in its pairs: count, and per sample the parent probability (a word) or the
-    tables (a context).  Words that occur once, in this block, are left out."""
-    dish = F.col("role") == DISH
-    parts = []
-    for s, root in enumerate(model.roots):
-        x = F.when(dish, model.parent(s, F.col("customers"), F.col("tables"))).otherwise(F.col("customers")).cast("double")
-        parts.append(root.select("word", "role", *[(x if i == s else F.lit(None).cast("double")).alias(f"x{i}") for i in range(model.samples)]))
-    known = union_all([*parts, model.words.where("n = 1").select("word", "role", *[F.lit(None).cast("double").alias(f"x{i}") for i in range(model.samples)])])
-    known = known.groupBy("word", "role").agg(*[F.max(f"x{i}").alias(f"x{i}") for i in range(model.samples)])
-    known = known.join(model.words.select("word", "role", "n"), ["word", "role"])
-    here = model.merged.where("word is not null").select("block", "word", "role", F.col("n").alias("own"))
-    return here.join(known, ["word", "role"]).where("not (own = 1 and n = 1)").select(
-        "block", "word", "role", "n", *[F.col(f"x{i}").cast("float").alias(f"x{i}") for i in range(model.samples)])
-
-
-def _occurrences(docs: DataFrame, blocks: int, part_bytes: int, id_type: str) -> DataFrame:
-    """``block, part, head, data``: of each part and block the pairs with the
-    documents they occur in; ``head`` (ids, numbers of tokens) once per part."""
+    """What every block must know of the words in its pairs: counts, and per
+    sample the word's customers and tables and the context's tables."""
+    samples = model.samples
+
+    def tell(home: int, rows: dict):
+        (_, blob), = rows[_STATE]
+        w = _words(blob)
+        known = {"dn": w["dn"], "cn": w["cn"]}
+        for s, (_, data) in enumerate(rows[_ROOT]):
+            r = _unpack(data)
+            known |= {f"{k}{s}": r[k] for k in ("customers", "tables", "seated")}
+        for origin, data in rows[_WORDS]:
+            at = np.searchsorted(w["names"], _words(data)["names"])
+            yield origin, home, _REPLY, _pack(**{k: x[at].astype(np.int32) for k, x in known.items()})
+
+    # The samples keep their order: it stands in ``origin``, which a root's row has no other use for.
+    roots = [r.withColumn("origin", F.lit(s)) for s, r in enumerate(model.roots)]
+    return _grouped([model.state, *roots, _of(model.pairs, _WORDS)], model.blocks, tell, "py-told")
+
+
+def _occurrences(docs: DataFrame, blocks: int, part_bytes: int, bits: int) -> DataFrame:
+    """Of each part and block the pairs with the documents they occur in;
+    ``head`` (ids, numbers of tokens) once per part.  Words are named by their
+    hashes' leading ``bits``: the model's block knows them all."""
+    cut = np.uint64(64 - bits)
 
     def scan(batches):
         name = TaskContext.get().partitionId() << 32
@@ -489,96 +604,91 @@ def _occurrences(docs: DataFrame, blocks: int, part_bytes: int, id_type: str) ->
             yield _occurrence(int(tx.mix(np.array([name], np.uint64))[0] % np.uint64(blocks)), name, out.getvalue(), None)
             each, at = part.dealt(blocks)
             # (pair, document) ascending, with how often.
-            key, times = np.unique(at * np.int64(len(counts)) + np.repeat(np.arange(len(counts)), counts), return_counts=True)
-            pair, doc = key // len(counts), key % len(counts)
-            edge = np.searchsorted(pair, np.arange(int(at.max()) + 2))
+            key = at * np.int64(len(counts))
+            key += np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+            key.sort()
+            begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            times = np.diff(np.append(begin, len(key))).astype(np.int32)
+            key = key[begin]
+            del begin
+            pair, doc = (key // len(counts)).astype(np.int32), (key % len(counts)).astype(np.int32)
+            last = int(at.max())
+            del key, at
+            edge = np.searchsorted(pair, np.arange(last + 2, dtype=np.int32))
+            del pair
             for b, names, context, own, piece in each:
                 mine = slice(edge[piece.start], edge[piece.stop])
                 yield _occurrence(b, name, None, _record(
-                    names, context, own, docs=np.diff(edge[piece.start:piece.stop + 1]).astype(np.int32),
+                    names >> cut, context, own, docs=np.diff(edge[piece.start:piece.stop + 1]).astype(np.int32),
                     doc=doc[mine].astype(np.int32), times=times[mine].astype(np.int32)))
             name += 1
 
-    return docs.select("id", "held_out", "text").mapInArrow(scan, "block int, part long, head binary, data binary")
+    return docs.select("id", "held_out", "text").mapInArrow(scan, _SENT + ", part long, head binary")
 
 
 def _occurrence(block: int, part: int, head, data) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([part]), pa.array([head], pa.binary()), pa.array([data], pa.binary())],
-                                      names=["block", "part", "head", "data"])
+    return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([0], pa.int32()), pa.array([_TEXTS], pa.int32()), pa.array([data], pa.binary()),
+                                       pa.array([part]), pa.array([head], pa.binary())], names=["to", "origin", "kind", "data", "part", "head"])
 
 
-def _probabilities(model: dict, group: pa.Table, names: np.ndarray, context: np.ndarray, word: np.ndarray, n: np.ndarray, mean: np.ndarray):
+def _probabilities(few: dict, told: dict, context: np.ndarray, word: np.ndarray, n: np.ndarray, mean: np.ndarray):
     """Per pair of a block: log10 probability, log10 base, known."""
-    size = len(names)
-    count = np.zeros((2, size), np.int64)
-    x = np.zeros((model["samples"], 2, size))
-    # A word without a row: its only training token is here, or there is none.
-    for role, index in ((DISH, word), (CONTEXT, context)):
-        own = np.bincount(index, weights=n, minlength=size).astype(np.int64)
-        count[role] = own == 1
-    for s in range(model["samples"]):
-        x[s, DISH] = np.where(count[DISH] == 1, model["once"][s], model["unseen"][s])
-        x[s, CONTEXT] = count[CONTEXT]
-    role = group["role"].to_numpy()
-    place = np.searchsorted(names, group["word"].to_numpy().view(np.uint64))
-    for r in (DISH, CONTEXT):
-        own = role == r
-        count[r, place[own]] = group["n"].to_numpy()[own]
-        for s in range(model["samples"]):
-            value = group[f"x{s}"].to_numpy()[own]
-            x[s, r, place[own]] = np.where(np.isnan(value), model["once"][s] if r == DISH else 1.0, value)
-    total = model["strength"] + count[CONTEXT][context]
-    p = n - model["d"] * mean
-    for s in range(model["samples"]):
-        p += (model["strength"] + model["d"] * x[s, CONTEXT][context]) * x[s, DISH][word] / model["samples"]
-    base = np.log10((count[DISH] + 1.0) / (model["n"] + 1.0 * (model["v"] + 1)))
-    return np.log10(p / total), base[word], (count[DISH] > 0)[word]
+    p = n - few["d"] * mean
+    for s, parent in enumerate(few["parents"]):
+        x = parent(told[f"customers{s}"], told[f"tables{s}"])
+        p += (few["strength"] + few["d"] * told[f"seated{s}"][context]) * x[word] / len(few["parents"])
+    base = np.log10((told["dn"] + 1.0) / (few["n"] + 1.0 * (few["v"] + 1)))
+    return np.log10(p / (few["strength"] + told["cn"][context])), base[word], (told["dn"] > 0)[word]
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "id", part_bytes: int = PART_BYTES) -> DataFrame:
     """``id, held_out, n_tokens, n_known, base_score, score`` of every row of
-    ``docs`` (``id, held_out, text``)."""
-    few = {"samples": model.samples, "strength": model.strength, "d": model.d, "n": model.n, "v": model.v,
-           "once": [model.parent(s, 1, 1) for s in range(model.samples)], "unseen": [model.parent(s, 0, 0) for s in range(model.samples)]}
+    ``docs`` (``id, held_out, text``), whose pairs the model has counted.
+    The model's tables are removed."""
+    few = {"strength": model.strength, "d": model.d, "n": model.n, "v": model.v, "parents": [model.parent(s) for s in range(model.samples)]}
+    blocks, samples = model.blocks, model.samples
+    columns = ["dn", "cn", *[f"{k}{s}" for s in range(samples) for k in ("customers", "tables", "seated")]]
     told = _told(model)
-    xs = [f"x{i}" for i in range(model.samples)]
-    void = lambda name, kind: F.lit(None).cast(kind).alias(name)
-    absent = [void("word", "long"), void("role", "int"), void("n", "long"), *[void(x, "float") for x in xs]]
-    pairs = model.merged.where("data is not null").select("block", F.lit(0).alias("kind"), void("part", "long"), void("head", "binary"), "data", *absent)
-    seats = model.seats.where("seats is not null").select("block", F.lit(1).alias("kind"), void("part", "long"), void("head", "binary"), F.col("seats").alias("data"), *absent)
-    rows = told.select("block", F.lit(2).alias("kind"), void("part", "long"), void("head", "binary"), void("data", "binary"), "word", "role", "n", *xs)
-    texts = _occurrences(docs, model.blocks, part_bytes, "").select("block", F.lit(3).alias("kind"), "part", "head", "data", *absent)
+    none = [F.lit(None).cast("long").alias("part"), F.lit(None).cast("binary").alias("head")]
+    frames = [x.select("to", "origin", "kind", "data", *none) for x in (_of(model.pairs, _PAIRS), _of(model.seats, _SEATS), told)]
     result = "part long, head binary, data binary"
-    schema = _arrow(docs.sparkSession.createDataFrame([], result))
 
     def judge(group: pa.Table) -> pa.Table:
-        kind = group["kind"].to_numpy()
-        data = group["data"]
+        kind, data = group["kind"].to_numpy(), group["data"]
         of = lambda k: [data[i].as_py() for i in np.flatnonzero(kind == k).tolist()]
         out = []
-        if (kind == 0).any():
-            m = _read(of(0)[0])
-            names, n = m["names"], m["n"]
+        if (kind == _PAIRS).any():
+            m = _read(of(_PAIRS)[0])
+            names, n, s = m["names"], m["n"], _read(of(_SEATS)[0])
             mean = (n == 1).astype(float)
-            s = _read(of(1)[0])
-            mean[n >= 2] = (s["total"] + s["tables"]) / few["samples"]
-            log, base, known = _probabilities(few, group.filter(pa.array(kind == 2)).combine_chunks(), names, m["context"], m["word"], n, mean)
+            mean[n >= 2] = (s["total"] + s["tables"]) / samples
+            replies = [(group["origin"][i].as_py(), data[i].as_py()) for i in np.flatnonzero(kind == _REPLY).tolist()]
+            log, base, known = _probabilities(few, _placed(names, blocks, replies, columns), m["context"], m["word"], n, mean)
             key = m["context"] * np.int64(len(names)) + m["word"]
-            del m, s, n, mean
-        for i in np.flatnonzero(kind == 3).tolist():
+            short = names >> cut
+            del m, s, n, mean, replies
+            tx.release()
+        for i in np.flatnonzero(kind == _TEXTS).tolist():
             part, head = group["part"][i].as_py(), group["head"][i].as_py()
             if head is not None:
-                out.append(_blob_row(schema, part=part, head=head))
+                out.append((part, head, None))
                 continue
             r = _read(data[i].as_py())
-            at = np.searchsorted(names, r["names"])
+            at = np.searchsorted(short, r["names"])
             at = np.repeat(np.searchsorted(key, at[r["context"]] * np.int64(len(names)) + at[r["word"]]), r["docs"])
             docs_of, index = np.unique(r["doc"], return_inverse=True)
             add = lambda v: np.bincount(index, weights=v[at] * r["times"], minlength=len(docs_of))
-            out.append(_blob_row(schema, part=part, data=_pack(doc=_steps(docs_of), known=add(known).astype(np.int32), base=add(base), score=add(log))))
-        return pa.concat_tables(out) if out else schema.empty_table()
-
-    sums = union_all([pairs, seats, rows, texts]).repartition(model.blocks, "block").groupBy("block").applyInArrow(judge, result)
+            out.append((part, None, _pack(doc=_steps(docs_of), known=add(known).astype(np.int32), base=add(base), score=add(log))))
+        tx.release()
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[], [], []], (pa.int64(), pa.binary(), pa.binary()))],
+                                    names=["part", "head", "data"])
+
+    texts = _occurrences(docs, blocks, part_bytes, model.bits)
+    cut = np.uint64(64 - model.bits)
+    sums = union_all([*frames, texts]).repartition(blocks, "to").groupBy("to").applyInArrow(judge, result)
+    sums = materialize(sums, "py-sums")
+    for done in (told, model.seats, model.pairs, model.state):
+        discard(done)
     final = docs.select("id", "held_out").schema.add("n_tokens", "long").add("n_known", "long").add("base_score", "double").add("score", "double")
 
     def finish(group: pa.Table) -> pa.Table:
@@ -607,8 +717,11 @@ def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     every row, learned from the rows that are not held out."""
     blocks = block_count(docs, text_col, block_bytes)
     slim = docs.select(F.col(id_col).alias("id"), held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("text"))
-    model = fit(slim, blocks, burn_in, samples, strength, part_bytes)
-    return score(slim, model, id_col, part_bytes).withColumn("train_tokens", F.lit(model.n).cast("long"))
+    # Whole texts: fewer rows a batch keep it at a few megabytes.
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"):
+        model = fit(slim, blocks, burn_in, samples, strength, part_bytes)
+        scored = score(slim, model, id_col, part_bytes)
+    return scored.withColumn("train_tokens", F.lit(model.n).cast("long"))
 
 
 def perplexity(scored: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ A text is the UTF-8 bytes of its value; null counts as empty.  Hashes are
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -80,6 +82,11 @@ class Texts:
     def __len__(self) -> int:
         return len(self.offsets) - 1
 
+    def part(self, at: int, to: int) -> "Texts":
+        """Texts ``[at, to)`` of the run."""
+        own = self.offsets[at:min(to, len(self)) + 1]
+        return Texts(self.data[own[0]:own[-1]], own - own[0], self.first + at)
+
     def runs(self, member: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and end of every maximal run of True bytes that stays in one text."""
         n = len(member)
@@ -171,3 +178,12 @@ def chunks(column: pa.Array, chunk_bytes: int = CHUNK_BYTES):
         end = min(max(end, at + 1), len(column))
         yield Texts(data[offsets[at]:offsets[end]], offsets[at:end + 1] - offsets[at], at)
         at = end
+
+
+def release() -> None:
+    """Give freed memory back to the system: workers are reused, and two large
+    steps need not add up in one worker."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim is not None:
+        trim(0)

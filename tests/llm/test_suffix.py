@@ -106,3 +106,10 @@ def test_query_matches_brute_force(spark):
 
 def test_empty_table(spark, no_docs):
     assert suffix.remove_repeats(no_docs).count() == 0
+
+
+def test_query_against_sql(spark):
+    from .sql import same_as_oracle
+    from ..conftest import SF_SMOKE
+
+    same_as_oracle(spark, "op2_suffix", SF_SMOKE)
