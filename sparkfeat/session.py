@@ -121,8 +121,7 @@ def scratch(spark: SparkSession):
         _SCOPE.reset(token)
         for path in own.paths:
             if path not in own.kept:
-                p = spark._jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+                _delete(spark, path)
         if outer is not None:
             outer.paths += [p for p in own.paths if p in own.kept]
 
@@ -132,8 +131,51 @@ def materialize(df, name: str):
     back.  Later jobs read the columnar copy (with column pruning and real file
     statistics) instead of recomputing the lineage, and the copy survives the
     loss of any executor."""
-    path = scratch_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
     if (own := _SCOPE.get()) is not None:
         own.paths.append(path)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    with _shuffles_released(spark):
+        df.write.mode("overwrite").parquet(path)
+    copy = spark.read.parquet(path)
+    copy._written_path = path
+    return copy
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def discard(copy) -> None:
+    """Remove what ``materialize`` wrote for ``copy`` now, where nothing will read
+    it again; later jobs on ``copy`` or on frames derived from it fail."""
+    _delete(copy.sparkSession, copy._written_path)
+
+
+#: Spark removes the shuffle files of a job as soon as it has ended.
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str):
+    """A runtime setting for the jobs that run inside the block."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+@contextmanager
+def _shuffles_released(spark: SparkSession):
+    """Jobs in this block leave no shuffle files: later jobs read what they wrote."""
+    before = spark.conf.get(_RELEASE, None)
+    if before is not None and spark.conf.isModifiable(_RELEASE):
+        spark.conf.set(_RELEASE, "true")
+    try:
+        yield
+    finally:
+        if before is not None and spark.conf.isModifiable(_RELEASE):
+            spark.conf.set(_RELEASE, before)
