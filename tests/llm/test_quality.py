@@ -59,3 +59,26 @@ def test_keep_good_keeps_columns(spark, odd_docs):
     assert kept.columns == odd_docs.columns
     want = quality.quality_rules(odd_docs, _good_labels(spark)).where("kept").count()
     assert kept.count() == want > 5
+
+
+def test_repeated_rows_and_copies_certify_nothing(spark):
+    """Trials must be independent: one document in many rows, or one text under many ids, is one trial."""
+    text = " ".join(f"word{i}" for i in range(40))
+    for rows in ([(1, text, "en")] * 2000, [(i, text, "en") for i in range(2000)]):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        labels = spark.createDataFrame([(r[0], 1, 0) for r in rows], "doc_id long, quality int, toxic int")
+        assert quality.calibrate(quality._scored(docs, ["doc_id"], "lang"), labels, "__stratum").count() == 0
+
+
+def test_toxic_texts_are_learned_and_rejected(spark):
+    import random
+
+    r = random.Random(4)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(r.choices(words, k=40) + (["vile", "nasty"] * 3 if i % 7 == 0 else [])), "en") for i in range(5000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    labels = spark.createDataFrame([(i, 1, int(i % 7 == 0)) for i, *_ in rows if i % 2], "doc_id long, quality int, toxic int")
+    kept = {x[0] for x in quality.quality_rules(docs, labels).where("kept").select("doc_id").collect()}
+    assert kept == {i for i, *_ in rows if i % 7}
+    assert {x[0] for x in quality.keep_good(docs, labels).select("doc_id").collect()} == kept
+    assert len(quality.typical_words(docs, labels)) == 2
