@@ -26,7 +26,7 @@ from ..operators.split import is_train
 from ..operators.weights import attach_class_weights
 from ..session import materialize, scratch_path
 from ..sources.adapter import incidents
-from ..sources.csv import read_csv, write_csv
+from ..sources.csv import read_csv, read_csv_quoted, write_csv, write_csv_quoted
 from ..sources.incidents import dataset_shape, scan_incidents
 from ..streaming import stream_features
 from . import experiments as X
@@ -194,6 +194,17 @@ def q_csv_roundtrip(spark, sf_dir):
     return read_csv(spark, path)
 
 
+@query
+def q_csv_quoted(spark, sf_dir):
+    """Whole texts of ``documents`` (line breaks, quotes, blanks, nulls) through a
+    CSV file and back; the digest covers every byte."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source")
+    odd = docs.withColumn("text", F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit(' "'), "text", F.lit('",\r\n ')))
+                          .when(F.col("doc_id") % 7 == 1, F.lit("")).when(F.col("doc_id") % 7 == 2, None).otherwise(F.col("text")))
+    back = read_csv_quoted(spark, write_csv_quoted(odd, scratch_path(spark, "csv-quoted")), odd.schema)
+    return back.select("doc_id", F.length("text").cast("long").alias("n"), F.sha2("text", 256).alias("text_sha256"), "lang", "source")
+
+
 # ---------------------------------------------------------------- label coding and metrics
 
 

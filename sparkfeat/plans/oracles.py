@@ -190,6 +190,10 @@ oracle("csv_roundtrip", f"""{BASE}
 SELECT CAST(FOD_ID AS INTEGER) AS FOD_ID, STATE, CAST(FIPS_CODE AS INTEGER) AS FIPS_CODE, LATITUDE, DISCOVERY_TIME
 FROM base""")
 
+oracle("csv_quoted", """
+SELECT doc_id, CAST(length(t) AS BIGINT) AS n, sha256(t) AS text_sha256, lang, source FROM (
+  SELECT *, CASE doc_id % 7 WHEN 0 THEN ' "' || text || '",' || chr(13) || chr(10) || ' ' WHEN 1 THEN '' WHEN 2 THEN NULL ELSE text END AS t FROM documents)""")
+
 # ---------------------------------------------------------------- label coding and metrics
 RANK = """r AS (SELECT FIRE_SIZE_CLASS, CAST(row_number() OVER (ORDER BY count(*) DESC, FIRE_SIZE_CLASS) - 1 AS DOUBLE) AS label
            FROM base GROUP BY 1),
