@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import re
+import zlib
 
 import xxhash
 
@@ -187,14 +188,17 @@ def quality_ratios(text):
 
 def quality_kept(rows, good, rules, rate=0.01, error=0.05):
     """Ids that base rules and certified cutoffs keep; rows are (id, text, stratum)
-    with ids of their own, rules (name, cutoffs from the loosest)."""
+    with ids of their own, rules (name, cutoffs from the loosest).  No label is
+    toxic, so no word is typical; every eighth id (by its CRC) only teaches, and
+    a text is one trial of its stratum."""
     base = [r for r in rows if not quality_base(r[1])[5]]
-    scores = {r[0]: quality_ratios(r[1]) for r in base}
+    scores = {r[0]: quality_ratios(r[1]) | {"toxic_words": 0.0} for r in base}
     over = lambda i, name, cutoff: scores[i][name] is not None and scores[i][name] > cutoff
-    held = collections.defaultdict(list)
-    for i, _, stratum in base:
-        if i in good:
-            held[stratum].append(i)
+    held = collections.defaultdict(dict)
+    for i, text, stratum in base:
+        if i in good and zlib.crc32(str(i).encode()) % 8:
+            held[stratum][text] = i
+    held = {s: list(ids.values()) for s, ids in held.items()}
     held = {s: ids for s, ids in held.items() if (1 - rate) ** len(ids) <= error / len(rules)}
     cutoffs = {}
     for s, ids in held.items():
