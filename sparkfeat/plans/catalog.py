@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import rules as R
 from ..functions import temporal as TM
+from ..functions.dateformat import parse_inferred
 from ..operators import metrics as M
 from ..operators import models as MD
 from ..operators import stages as S
@@ -147,6 +148,24 @@ def q_parse_timestamp(spark, sf_dir):
         TM.lenient_timestamp(F.col("dmy_text"), df.schema["dmy_text"].dataType, "dd/MM/yyyy").alias("contained"))
 
 
+@query
+def q_parse_inferred(spark, sf_dir):
+    """Text dates whose format nobody gives: month-first, day-first, named months
+    with a time, and a column whose first text is no date (each value by its own
+    format then)."""
+    key, disc, cont = F.col("FOD_ID"), F.col("DISCOVERY_DATE"), F.col("CONT_DATE")
+    iso = F.date_format(disc, "yyyy-MM-dd")
+    text = base(spark, sf_dir).select(
+        "FOD_ID",
+        F.when(key % 7 == 0, iso).when(key % 5 == 0, "02/31/2001").otherwise(F.date_format(disc, "MM/dd/yyyy")).alias("us_date"),
+        F.when(key % 11 == 0, "").otherwise(F.date_format(cont, "dd.MM.yyyy")).alias("eu_date"),
+        F.when(key % 13 == 0, "soon").otherwise(F.date_format(disc, "MMM d, yyyy HH:mm")).alias("named_date"),
+        F.when(key % 2 == 0, iso).otherwise(F.date_format(cont, "d MMMM yyyy")).alias("mixed_date"))
+    # A row before all others opens the mixed column with a text that is no date.
+    head = spark.createDataFrame([(0, None, None, None, "unknown")], text.schema)
+    return parse_inferred(text.unionByName(head), ["us_date", "eu_date", "named_date", "mixed_date"], "FOD_ID")
+
+
 @query
 def q_date_parts(spark, sf_dir):
     return _dated(spark, sf_dir).select(

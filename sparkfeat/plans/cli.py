@@ -66,7 +66,7 @@ def parse_feature_args(argv=None):
     p.add_argument("--output", required=True)
     p.add_argument("--output_format", default="parquet", choices=["parquet", "csv"])
     p.add_argument("--date_format", default=None, action="append",
-                   help="format of text dates, e.g. yyyy-MM-dd; may be given several times, tried in order")
+                   help="format of text dates, e.g. yyyy-MM-dd; may be given several times, tried in order; infer: found in the data")
     p.add_argument("--date_unit", default=None, help="unit of numeric dates: julian, D, s, ms, us")
     p.add_argument("--fit_on", default="all", choices=["all", "train"])
     return p.parse_args(argv)

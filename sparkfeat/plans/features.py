@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..functions import dateformat as DF
 from ..functions import rules as R
 from ..functions import temporal as TM
 from ..operators.binning import apply_bins, equal_width_edges
@@ -32,14 +33,36 @@ BIN_OUTPUTS = {"LATITUDE": "lat_bin", "LONGITUDE": "lon_bin"}
 MAX_CELLS = (K.N_BINS + 1) ** 2
 
 
-def temporal_features(df: DataFrame, date_format: str | list[str] | None = None,
+#: Formats of text dates: one, several tried in order, or by column as
+#: :func:`~sparkfeat.functions.dateformat.infer_formats` finds them.
+DateFormat = str | list[str] | dict[str, list[str]] | None
+DATE_COLUMNS = ["DISCOVERY_DATE", "CONT_DATE"]
+INFER = "infer"
+
+
+def resolve_date_format(raw: DataFrame, date_format: DateFormat, order: str = K.ID_COLUMN) -> DateFormat:
+    """``'infer'`` becomes the formats that the first date of each column shows,
+    among the rows of the not-null scan; anything else stays."""
+    if date_format != INFER and date_format != [INFER]:
+        return date_format
+    return DF.infer_formats(scan_incidents(raw), DATE_COLUMNS, order)
+
+
+def _date_column(df: DataFrame, column: str, date_format: DateFormat, date_unit: str | None):
+    dtype = df.schema[column].dataType
+    if isinstance(date_format, dict):
+        if column in date_format:
+            return DF.formatted_timestamp(F.col(column), date_format[column])
+        date_format = None
+    return TM.lenient_timestamp(F.col(column), dtype, date_format, date_unit)
+
+
+def temporal_features(df: DataFrame, date_format: DateFormat = None,
                       date_unit: str | None = None) -> DataFrame:
     """Month, weekday, season, duration, decade, flags and hour (#18-#25).
     ``date_format`` parses text dates, ``date_unit`` numeric ones ('julian', ...)."""
-    disc = TM.lenient_timestamp(F.col("DISCOVERY_DATE"), df.schema["DISCOVERY_DATE"].dataType,
-                                date_format, date_unit)
-    cont = TM.lenient_timestamp(F.col("CONT_DATE"), df.schema["CONT_DATE"].dataType, date_format, date_unit)
-    df = df.withColumns({"DISCOVERY_DATE": disc, "CONT_DATE": cont})
+    date_format = resolve_date_format(df, date_format)
+    df = df.withColumns({c: _date_column(df, c, date_format, date_unit) for c in DATE_COLUMNS})
     month = F.col("discovery_month")
     df = df.withColumns({
         "discovery_month": TM.month_of(F.col("DISCOVERY_DATE")),
@@ -94,14 +117,14 @@ class FeatureStats:
         return {c: o for c, o in K.FREQUENCY_COLUMNS.items() if c in self.profile.counts}
 
 
-def _prepared(raw: DataFrame, date_format: str | list[str] | None, date_unit: str | None = None) -> DataFrame:
+def _prepared(raw: DataFrame, date_format: DateFormat, date_unit: str | None = None) -> DataFrame:
     base = scan_incidents(raw)
     pre = temporal_features(base, date_format, date_unit).withColumn(
         "geographic_region", R.region_of(F.col("LATITUDE"), F.col("LONGITUDE")))
     return categorical_fill(pre)
 
 
-def fit_feature_stats(raw: DataFrame, date_format: str | list[str] | None = None,
+def fit_feature_stats(raw: DataFrame, date_format: DateFormat = None,
                       date_unit: str | None = None) -> FeatureStats:
     """Two passes over ``raw``: one GROUPING SETS aggregate (value counts and
     coordinate ranges), then the grid-cell counts over the fitted bins (at most
@@ -116,7 +139,7 @@ def fit_feature_stats(raw: DataFrame, date_format: str | list[str] | None = None
     return FeatureStats(edges, prof, cells, MAX_CELLS)
 
 
-def apply_feature_stats(raw: DataFrame, stats: FeatureStats, date_format: str | list[str] | None = None,
+def apply_feature_stats(raw: DataFrame, stats: FeatureStats, date_format: DateFormat = None,
                         max_broadcast_rows: int = MAX_BROADCAST_ROWS,
                         date_unit: str | None = None) -> DataFrame:
     """Feature table of ``raw`` with fitted statistics: a single map-side pass
@@ -162,22 +185,25 @@ def load_feature_stats(spark, path: str) -> FeatureStats:
     return FeatureStats(meta["edges"], prof, spark.read.parquet(f"{path}/cells"), meta["cell_rows"])
 
 
-def engineer_features(raw: DataFrame, date_format: str | list[str] | None = None,
+def engineer_features(raw: DataFrame, date_format: DateFormat = None,
                       max_broadcast_rows: int = MAX_BROADCAST_ROWS,
                       date_unit: str | None = None) -> DataFrame:
     """Raw incident rows -> feature table in declared column order, every
     whole-table statistic computed over ``raw`` itself (as the source job).
-    Numeric date columns (e.g. Julian day numbers) need ``date_unit``."""
+    Numeric date columns (e.g. Julian day numbers) need ``date_unit``; text ones
+    take ``date_format``, where ``'infer'`` finds the format in the data."""
+    date_format = resolve_date_format(raw, date_format)
     stats = fit_feature_stats(raw, date_format, date_unit)
     return apply_feature_stats(raw, stats, date_format, max_broadcast_rows, date_unit)
 
 
 def features_fit_on_train(raw: DataFrame, key: str = K.ID_COLUMN, fraction: float = K.TRAIN_FRACTION,
-                          date_format: str | list[str] | None = None, date_unit: str | None = None) -> DataFrame:
+                          date_format: DateFormat = None, date_unit: str | None = None) -> DataFrame:
     """Feature table whose whole-table statistics (bins, value counts, cell
     counts) come from the training part only (key-hash split, the same one the
     experiments use), applied to every row: no test row shapes a feature."""
     from ..operators.split import train_flag
 
+    date_format = resolve_date_format(raw, date_format)
     stats = fit_feature_stats(raw.where(train_flag(raw, key, fraction)), date_format, date_unit)
     return apply_feature_stats(raw, stats, date_format, date_unit=date_unit)

@@ -165,6 +165,25 @@ SELECT FOD_ID,
   TRY_CAST(CASE WHEN FOD_ID % 7 = 0 THEN 'bad' ELSE strftime(DISCOVERY_DATE, '%Y-%m-%d') END AS TIMESTAMP) AS discovered,
   try_strptime(CASE WHEN FOD_ID % 5 = 0 THEN '31/02/2001' ELSE strftime(CONT_DATE, '%d/%m/%Y') END, '%d/%m/%Y') AS contained
 FROM base""")
+oracle("parse_inferred", f"""{BASE}, t AS (
+  SELECT FOD_ID, CASE WHEN FOD_ID % 7 = 0 THEN strftime(DISCOVERY_DATE, '%Y-%m-%d') WHEN FOD_ID % 5 = 0 THEN '02/31/2001'
+      ELSE strftime(DISCOVERY_DATE, '%m/%d/%Y') END AS us,
+    CASE WHEN FOD_ID % 11 = 0 THEN '' ELSE strftime(CONT_DATE, '%d.%m.%Y') END AS eu,
+    CASE WHEN FOD_ID % 13 = 0 THEN 'soon' ELSE strftime(DISCOVERY_DATE, '%b %-d, %Y %H:%M') END AS named,
+    CASE WHEN FOD_ID % 2 = 0 THEN strftime(DISCOVERY_DATE, '%Y-%m-%d') ELSE strftime(CONT_DATE, '%-d %B %Y') END AS mixed FROM base
+  UNION ALL SELECT 0, NULL, NULL, NULL, 'unknown'),
+f AS (SELECT arg_min(us, FOD_ID) FILTER (us <> '') AS us, arg_min(eu, FOD_ID) FILTER (eu <> '') AS eu,
+        arg_min(named, FOD_ID) FILTER (named <> '') AS named FROM t),
+g AS (SELECT CASE WHEN try_strptime(us, '%Y-%m-%d') IS NOT NULL THEN '%Y-%m-%d' WHEN try_strptime(us, '%m/%d/%Y') IS NOT NULL THEN '%m/%d/%Y' WHEN try_strptime(us, '%d/%m/%Y') IS NOT NULL THEN '%d/%m/%Y' END AS us,
+        CASE WHEN try_strptime(eu, '%m.%d.%Y') IS NOT NULL THEN '%m.%d.%Y' WHEN try_strptime(eu, '%d.%m.%Y') IS NOT NULL THEN '%d.%m.%Y' END AS eu,
+        CASE WHEN try_strptime(named, '%B %d, %Y %H:%M') IS NOT NULL THEN '%B %d, %Y %H:%M' WHEN try_strptime(named, '%b %d, %Y %H:%M') IS NOT NULL THEN '%b %d, %Y %H:%M' END AS named FROM f)
+SELECT t.FOD_ID, CASE WHEN g.us = '%Y-%m-%d' THEN try_strptime(t.us, '%Y-%m-%d') WHEN g.us = '%m/%d/%Y' THEN try_strptime(t.us, '%m/%d/%Y')
+    ELSE try_strptime(t.us, '%d/%m/%Y') END AS us_date,
+  CASE WHEN g.eu = '%m.%d.%Y' THEN try_strptime(t.eu, '%m.%d.%Y') ELSE try_strptime(t.eu, '%d.%m.%Y') END AS eu_date,
+  CASE WHEN g.named = '%B %d, %Y %H:%M' THEN try_strptime(t.named, '%B %d, %Y %H:%M')
+    ELSE try_strptime(t.named, '%b %d, %Y %H:%M') END AS named_date,
+  coalesce(try_strptime(t.mixed, '%Y-%m-%d'), try_strptime(t.mixed, '%d %B %Y')) AS mixed_date
+FROM t, g""")
 oracle("date_parts", f"""{BASE}
 SELECT FOD_ID, CAST(month(DISCOVERY_DATE) AS INTEGER) AS discovery_month,
        CAST(isodow(DISCOVERY_DATE) - 1 AS INTEGER) AS discovery_day_of_week,

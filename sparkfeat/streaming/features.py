@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..plans.features import FeatureStats, apply_feature_stats
+from ..plans.features import DateFormat, FeatureStats, apply_feature_stats
 from ..session import scratch_path
 
 
@@ -32,7 +32,7 @@ def read_incident_stream(spark: SparkSession, source_dir: str, schema: StructTyp
 
 def stream_features(spark: SparkSession, source_dir: str, schema: StructType, stats: FeatureStats,
                     sink_dir: str, checkpoint_location: str | None = None, fmt: str = "parquet",
-                    available_now: bool = True, date_format: str | list[str] | None = None,
+                    available_now: bool = True, date_format: DateFormat = None,
                     date_unit: str | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the streaming feature job writing parquet to ``sink_dir``.
 
