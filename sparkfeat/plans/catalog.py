@@ -21,6 +21,7 @@ from ..operators import metrics as M
 from ..operators import models as MD
 from ..operators import stages as S
 from ..operators.binning import equal_width_bins
+from ..operators.category import category_table, index_category
 from ..operators.clean import drop_null_target, fill_constant, numeric_as_double, select_available
 from ..operators.frequency import cell_density, frequency_encode
 from ..operators.split import is_train
@@ -312,6 +313,15 @@ def q_category_index(spark, sf_dir):
     return S.category_indexer(cols).fit(df).transform(df).select("FOD_ID", *[f"{c}_idx" for c in cols])
 
 
+@query
+def q_category_index_table(spark, sf_dir):
+    """Category indexes from written index tables instead of fitted label lists."""
+    df = base(spark, sf_dir).select("FOD_ID", "STATE", "COUNTY")
+    for c in ("STATE", "COUNTY"):
+        df = index_category(df, category_table(df, c), c)
+    return df.select("FOD_ID", "STATE_idx", "COUNTY_idx")
+
+
 @query
 def q_label_index(spark, sf_dir):
     df = base(spark, sf_dir).select("FOD_ID", "FIRE_SIZE_CLASS")

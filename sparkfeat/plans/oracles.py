@@ -275,6 +275,10 @@ oracle("category_index", f"""{BASE}, {_index('OWNER_DESCR', 'io')}, {_index('NWC
 SELECT FOD_ID, CAST(coalesce(io.k, (SELECT count(*) FROM io)) AS DOUBLE) AS OWNER_DESCR_idx,
        CAST(coalesce(ia.k, (SELECT count(*) FROM ia)) AS DOUBLE) AS NWCG_REPORTING_AGENCY_idx
 FROM base LEFT JOIN io ON base.OWNER_DESCR = io.v LEFT JOIN ia ON base.NWCG_REPORTING_AGENCY = ia.v""")
+oracle("category_index_table", f"""{BASE}, {_index('STATE', 'ist')}, {_index('COUNTY', 'ico')}
+SELECT FOD_ID, CAST(coalesce(ist.k, (SELECT count(*) FROM ist)) AS DOUBLE) AS STATE_idx,
+       CAST(coalesce(ico.k, (SELECT count(*) FROM ico)) AS DOUBLE) AS COUNTY_idx
+FROM base LEFT JOIN ist ON base.STATE = ist.v LEFT JOIN ico ON base.COUNTY = ico.v""")
 oracle("label_index", f"""{BASE}, {RANK}
 SELECT FOD_ID, label AS label_freq,
        CAST(dense_rank() OVER (ORDER BY FIRE_SIZE_CLASS) - 1 AS DOUBLE) AS label_alpha
