@@ -111,6 +111,58 @@ def test_parts_are_split_once(spark, monkeypatch, split, fit_on):
     assert all(part == train for part, train in zip(stage_rows[:3], [fitted[0]] * 3))
 
 
+def test_fit_partitions_grow_with_the_rows(spark):
+    df = spark.range(1000).select(F.col("id").alias("FOD_ID"), (F.col("id") % 5 < 4).alias(X.PART))
+    for rows, partitions in ((1000, 4), (250, 4), (100, 10)):
+        train, test = X._parts(df, "FOD_ID", 4, rows)
+        assert train.rdd.getNumPartitions() == test.rdd.getNumPartitions() == partitions
+        assert (train.count(), test.count()) == (800, 200)
+        assert all(part == sorted(part) for part in train.rdd.map(lambda r: r[0]).glom().collect())
+
+
+def test_last_stage_is_fitted_on_the_written_rows(spark, monkeypatch):
+    """Indexers, encoder and assembler run once over the table, with the same
+    model and rows as the whole pipeline."""
+    from sparkfeat.operators.stages import feature_stages
+
+    rows = [(i, "ABC"[i % 3], float(i % 7), float(i % 5), "uvw"[i % 3]) for i in range(300)]
+    df = spark.createDataFrame(rows, "FOD_ID long, FIRE_SIZE_CLASS string, x double, y double, c string")
+    written = []
+    real = X.materialize
+    monkeypatch.setattr(X, "materialize", lambda d, name: written.append(d.columns) or real(d, name))
+    for scaling in (True, False):
+        stages = feature_stages(["c"], ["x", "y"], scaling=scaling)
+        model, data, train, test = X._fit_transform(stages, df, "hash", "FOD_ID", "all", 2)
+        whole = {r["FOD_ID"]: r["features"] for r in stages.fit(df).transform(df).collect()}
+        assert {r["FOD_ID"]: r["features"] for r in train.unionByName(test).collect()} == whole
+        assert {r["FOD_ID"]: r["features"] for r in data.collect()} == whole and len(model.stages) == 6
+        # The scaler's fit and the parts read the assembled vectors, not the transforms.
+        assert written[-1] == ["FOD_ID", "label", "FIRE_SIZE_CLASS", "raw_features", X.PART]
+
+
+def test_repeated_fits_share_cached_parts(spark, monkeypatch):
+    """Several fits read parts that were dealt and sorted once, and cached on disk."""
+    from sparkfeat.plans import catalog as C
+    from tests.conftest import SF_SMOKE
+
+    seen, dealt = [], []
+    def note(train, test, **options):
+        seen.extend((d.storageLevel.useDisk, d.storageLevel.useMemory) for d in (train, test))
+        return []
+    monkeypatch.setattr(C.MD, "compare_models", note)
+    C.QUERIES["model_weighted"](spark, SF_SMOKE)
+    C.QUERIES["compare_models"](spark, SF_SMOKE)
+    assert len(seen) >= 4 and seen[:2] == [(True, False)] * 2 and seen[-2:] == [(True, False)] * 2
+
+    real = X._parts
+    monkeypatch.setattr(X, "_parts", lambda *a: dealt.append(real(*a)) or dealt[-1])
+    monkeypatch.setattr(X, "compare_models", lambda train, test, **options: [("e", "v", options["k"], "m", options["train_rows"], options["test_rows"], 0.5, 0.5, 0.1)])
+    rows = [(i, "AC"[i % 3 == 0], float(i % 7), float(i % 5), "uv"[i % 2]) for i in range(100)]
+    df = spark.createDataFrame(rows, "FOD_ID long, FIRE_SIZE_CLASS string, x double, y double, c string")
+    report = X.pca_experiment(df, ["c"], ["x", "y"], ks=(1, 2)).comparison.collect()
+    assert len(dealt) == 1 and [r["k"] for r in report] == [1, 2] and all(r["train_rows"] + r["test_rows"] == 100 for r in report)
+
+
 def test_comparison_has_row_counts(spark):
     df = spark.createDataFrame([(i, float(i % 2), "AC"[i % 2]) for i in range(60)], "FOD_ID long, label double, FIRE_SIZE_CLASS string")
     from pyspark.ml.feature import VectorAssembler
