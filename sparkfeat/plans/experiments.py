@@ -15,7 +15,8 @@ import functools
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline
+from pyspark import StorageLevel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorSlicer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,15 +96,18 @@ def _fit_transform(pipeline, df: DataFrame, split: str, key: str, fit_on: str, f
 
     ``fit_on='all'`` fits on every row (the source job's behaviour);
     ``fit_on='train'`` fits imputer, indexers and scaler on the training part
-    only, so no test statistics leak into the features.  The transformed model
-    columns are written once to the shared checkpoint folder: every later fit
-    pass (tree metadata, split finding, iterations) reads that copy instead of
-    re-running the transforms."""
+    only, so no test statistics leak into the features.  The assembled model
+    columns are written once to the shared checkpoint folder: the last stage
+    (scaling) and every later fit pass (tree metadata, split finding,
+    iterations) read that copy instead of re-running the transforms."""
     df = with_part(df, split, key)
-    model = pipeline.fit(_rows_to_fit(df, fit_on))
-    transformed = model.transform(df)
-    train, test = _parts(materialize(model_columns(transformed, key), "model-data"), key, fit_partitions)
-    return model, transformed, train, test
+    *common, last = pipeline.getStages()
+    assembled = Pipeline(stages=common).fit(_rows_to_fit(df, fit_on))
+    raw = materialize(model_columns(assembled.transform(df), key, "raw_features"), "raw-features")
+    scaled = Pipeline(stages=[last]).fit(_rows_to_fit(raw, fit_on))
+    model = PipelineModel(stages=assembled.stages + scaled.stages)
+    train, test = _parts(model_columns(scaled.transform(raw), key), key, fit_partitions)
+    return model, model.transform(df), train, test
 
 
 @contextmanager
