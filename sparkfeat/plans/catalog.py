@@ -450,9 +450,10 @@ def q_model_gbt_binary(spark, sf_dir):
 def q_model_weighted(spark, sf_dir):
     model, _, train, test = _class_weight_parts(spark, sf_dir)
     weighted = attach_class_weights(train, max_classes=len(S.fitted_labels(model)) + 1)
-    rows = MD.compare_models(train, test, experiment="class_weight", variant="baseline", models=MD.MULTICLASS)
-    rows += MD.compare_models(weighted, test, experiment="class_weight", variant="weighted",
-                              models=MD.MULTICLASS, weight="weight")
+    with X.persisted(train, test):
+        rows = MD.compare_models(train, test, experiment="class_weight", variant="baseline", models=MD.MULTICLASS)
+        rows += MD.compare_models(weighted, test, experiment="class_weight", variant="weighted",
+                                  models=MD.MULTICLASS, weight="weight")
     return spark.createDataFrame(rows, MD.COMPARISON_SCHEMA).select(*_NO_SECONDS)
 
 
@@ -467,7 +468,8 @@ def q_top_importances(spark, sf_dir):
 def q_compare_models(spark, sf_dir):
     df, cats, nums = model_input(spark, sf_dir)
     _, _, train, test = X._fit_transform(S.feature_stages(cats, nums), df, "hash", K.ID_COLUMN, "all", FIT_PARTITIONS)
-    rows = MD.compare_models(train, test, experiment="scaling", variant="scaled")
+    with X.persisted(train, test):
+        rows = MD.compare_models(train, test, experiment="scaling", variant="scaled")
     return spark.createDataFrame(rows, MD.COMPARISON_SCHEMA).select(*_NO_SECONDS)
 
 

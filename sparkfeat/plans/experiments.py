@@ -114,7 +114,7 @@ def _fit_transform(pipeline, df: DataFrame, split: str, key: str, fit_on: str, f
 def persisted(*dfs: DataFrame):
     """Cache around repeated fits; released even when a fit fails (#60)."""
     for d in dfs:
-        d.persist()
+        d.persist(StorageLevel.DISK_ONLY)
     try:
         yield dfs
     finally:
