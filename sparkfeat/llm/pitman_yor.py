@@ -40,13 +40,16 @@ from __future__ import annotations
 
 import io
 import math
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import discard, materialize, setting
@@ -62,6 +65,11 @@ GRID = 257
 PART_BYTES = 12 << 20
 #: Text that a block stands for; grows with the root of the corpus, so that parts x blocks stays in proportion to it.
 BLOCK_BYTES = 28 << 20
+#: Bytes of rows that Spark and Python hand each other at once: both keep buffers of that size, and of a
+#: whole group's otherwise.  (One row may be larger.)
+BATCH_BYTES = 2 << 20
+#: Pairs of a block's parts that are gathered before they are summed.
+FOLD = 1 << 20
 SEED = 12
 
 BEGIN, END = (tx.mix(np.array([x], np.uint64))[0] for x in (0xB0, 0xE0))
@@ -75,22 +83,25 @@ def held_out(id_col) -> Column:
 
 def _pack(**arrays: np.ndarray) -> bytes:
     """Arrays as one compressed blob, the bytes of equal weight next to each other."""
-    out = io.BytesIO()
-    for name, a in arrays.items():
-        planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes() if len(a) else b""
-        head = f"{name} {a.dtype.str} {len(a)} {len(planes)}\n".encode()
-        out.write(head + planes)
-    return zstandard.compress(out.getvalue(), 3)
-
-
-def _unpack(blob: bytes) -> dict[str, np.ndarray]:
-    raw = io.BytesIO(zstandard.decompress(blob))
-    out = {}
-    while head := raw.readline():
-        name, kind, n, size = head.decode().split()
-        width = np.dtype(kind).itemsize
-        planes = np.frombuffer(raw.read(int(size)), np.uint8).reshape(width, int(n))
+    heads = [f"{name} {a.dtype.str} {len(a)} {a.nbytes}\n".encode() for name, a in arrays.items()]
+    out = zstandard.ZstdCompressor(3).compressobj(size=sum(len(h) + a.nbytes for h, a in zip(heads, arrays.values())))
+    blob = []
+    for head, a in zip(heads, arrays.values()):
+        blob.append(out.compress(head))
+        if len(a):
+            for plane in np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T:
+                blob.append(out.compress(np.ascontiguousarray(plane)))
+    return b"".join([*blob, out.flush()])
+
+
+def _unpack(blob) -> dict[str, np.ndarray]:
+    raw, at, out = zstandard.decompress(blob), 0, {}
+    while at < len(raw):
+        end = raw.index(b"\n", at) + 1
+        name, kind, n, size = raw[at:end].decode().split()
+        planes = np.frombuffer(raw, np.uint8, int(size), end).reshape(np.dtype(kind).itemsize, int(n))
         out[name] = np.ascontiguousarray(planes.T).view(kind).reshape(-1)
+        at = end + int(size)
     return out
 
 
@@ -114,18 +125,17 @@ class _Tokens:
 
 def _ranked(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct values, ascending, and each element's place among them (32
-    bits: a part has fewer tokens)."""
+    bits: a part has fewer tokens).  ``a`` is left sorted."""
     order = np.argsort(a, kind="stable" if a.dtype.itemsize < 8 else None)
-    a = a[order]
+    a[:] = a[order]
     new = np.empty(len(a), bool)
     new[:1] = True
     np.not_equal(a[1:], a[:-1], out=new[1:])
-    a = a[new]
     place = np.cumsum(new, dtype=np.int32)
     place -= 1
     out = np.empty(len(order), np.int32)
     out[order] = place
-    return a, out
+    return a[new], out
 
 
 class _Part:
@@ -144,8 +154,13 @@ class _Part:
         """``(names, context, word, block, at)``: the distinct words' hashes
         (ascending), the distinct pairs in the order of their block, as indexes
         into ``names``, and of every token the place of its pair."""
-        word = np.append(np.concatenate(self.words), BEGIN)
-        self.words.clear()
+        word = np.full(sum(map(len, self.words)) + 1, BEGIN, np.uint64)
+        end = len(word) - 1
+        while self.words:
+            last = self.words.pop()
+            word[end - len(last):end] = last
+            end -= len(last)
+        del last
         names, index = _ranked(word)
         del word
         begin, n = index[-1], len(index) - 1
@@ -202,7 +217,7 @@ def _record(names, context, own, **more) -> bytes:
     return _pack(names=_steps(names), context=_steps(context.astype(np.int32)), word=own.astype(np.int32), **more)
 
 
-def _read(blob: bytes) -> dict[str, np.ndarray]:
+def _read(blob) -> dict[str, np.ndarray]:
     out = _unpack(blob)
     out["names"] = np.cumsum(out["names"])
     out["context"] = np.cumsum(out["context"], dtype=np.int64)
@@ -221,7 +236,7 @@ def _counted(docs: DataFrame, blocks: int, part_bytes: int) -> DataFrame:
             n = np.bincount(at[np.repeat(~held, np.concatenate(part.counts))], minlength=int(at.max()) + 1).astype(np.int32)
             del at
             for b, names, context, own, piece in each:
-                yield from _rows([(b, 0, _PAIRS, _record(names, context, own, n=n[piece]))]).to_batches()
+                yield _batch([(b, 0, _PAIRS, _record(names, context, own, n=n[piece]))])
 
     return docs.select("held_out", "text").mapInArrow(scan, _SENT)
 
@@ -230,6 +245,7 @@ def _counted(docs: DataFrame, blocks: int, part_bytes: int) -> DataFrame:
 
 #: Rows that travel: to a block or a home (``to``), from the other, with arrays.
 _SENT = "to int, origin int, kind int, data binary"
+_COLUMNS = {"to": pa.int32(), "origin": pa.int32(), "kind": pa.int32(), "data": pa.binary()}
 _PAIRS, _SEATS, _WORDS, _STATE, _ROOT, _REPLY, _TEXTS, _BITS = range(8)
 _ROLES = ("d", "c")   # as a dish (the word itself), as a context
 
@@ -243,25 +259,45 @@ def _home(names: np.ndarray, homes: int) -> np.ndarray:
     return (tx.mix(names ^ np.uint64(0xA5A5A5A5A5A5A5A5)) % np.uint64(homes)).astype(np.int64)
 
 
-def _rows(found: list[tuple]) -> pa.Table:
-    """``_SENT`` rows from tuples."""
-    columns = list(zip(*found)) if found else [[], [], [], []]
-    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.int32(), pa.binary()))],
-                                names=["to", "origin", "kind", "data"])
+def _batch(rows: list[tuple], columns: dict = _COLUMNS) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), columns.values())], names=list(columns))
+
+
+def _batches(found, columns: dict = _COLUMNS):
+    """Batches of about ``BATCH_BYTES`` of the tuples ``found``."""
+    rows, size = [], 0
+    for row in found:
+        rows.append(row)
+        size += sum(len(x) for x in row if isinstance(x, bytes))
+        if size >= BATCH_BYTES:
+            yield _batch(rows, columns)
+            rows, size = [], 0
+    if rows:
+        yield _batch(rows, columns)
+
+
+def _each_row(batches):
+    """``(kind, origin, data)`` of every row; batch after batch, none is kept."""
+    for batch in batches:
+        for kind, origin, data in zip(batch.column("kind").to_pylist(), batch.column("origin").to_pylist(), batch.column("data")):
+            yield kind, origin, data.as_buffer()
+
+
+def _by_kind(rows) -> dict[int, list]:
+    """``{kind: [(origin, arrays)]}``, in one order."""
+    out: dict[int, list] = {}
+    for kind, origin, data in sorted((kind, origin, data.to_pybytes()) for kind, origin, data in rows):
+        out.setdefault(kind, []).append((origin, data))
+    return out
 
 
 def _grouped(frames: list[DataFrame], groups: int, function, name: str, schema: str = _SENT) -> DataFrame:
-    """``function(to, {kind: [(origin, arrays)]})`` of every group's rows, written."""
-
-    def run(table: pa.Table) -> pa.Table:
-        rows: dict[int, list] = {}
-        to = table["to"][0].as_py()
-        for kind, origin, data in sorted(zip(table["kind"].to_pylist(), table["origin"].to_pylist(), table["data"].to_pylist())):
-            rows.setdefault(kind, []).append((origin, data))
-        del table
-        found = _rows(list(function(to, rows)))
+    """``function(to, rows)`` of every group's ``(kind, origin, data)``, in no order, written."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = next(batches)
+        yield from _batches(function(first.column("to")[0].as_py(), _each_row(chain([first], batches))))
         tx.release()
-        return found
 
     dealt = union_all(frames).repartition(groups, "to")
     return materialize(dealt.groupBy("to").applyInArrow(run, schema), name)
@@ -285,30 +321,44 @@ def _words(blob: bytes) -> dict[str, np.ndarray]:
     return out
 
 
+def _folded(records: list[dict]) -> dict[str, np.ndarray]:
+    """The pairs of ``records`` with their counts, as one record; the list is emptied."""
+    names = np.unique(np.concatenate([r["names"] for r in records]))
+    key, n = np.empty(sum(len(r["n"]) for r in records), np.int64), np.concatenate([r["n"] for r in records])
+    end = len(key)
+    while records:  # from the last on
+        r = records.pop()
+        at = np.searchsorted(names, r["names"])
+        own = key[end - len(r["n"]):end]
+        np.multiply(at[r["context"]], len(names), out=own)
+        own += at[r["word"]]
+        end -= len(own)
+    del r, at, own
+    order = np.argsort(key)
+    key, n = key[order], n[order]
+    del order
+    begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    key, n = key[begin], np.add.reduceat(n, begin)
+    return {"names": names, "context": (key // len(names)).astype(np.int32), "word": (key % len(names)).astype(np.int32), "n": n}
+
+
 def _merged(counted: DataFrame, groups: int) -> DataFrame:
     """A block's pairs with their counts over all parts, those seen twice or
     more with one table each, and per home its words: training count, distinct
     pairs, and pairs seen once, as a word and as a context."""
 
-    def merge(block: int, rows: dict):
-        blobs = rows.pop(_PAIRS)
-        names = np.unique(np.concatenate([np.cumsum(_unpack(x)["names"]) for _, x in blobs]))
-        key, n = [], []
-        for _, x in blobs:
-            r = _read(x)
-            at = np.searchsorted(names, r["names"])
-            key.append(at[r["context"]] * np.int64(len(names)) + at[r["word"]])
-            n.append(r["n"])
-        del blobs, r, at
-        key, n = np.concatenate(key), np.concatenate(n)
-        order = np.argsort(key)
-        key, n = key[order], n[order]
-        del order
-        begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        key, n = key[begin], np.add.reduceat(n, begin)
-        del begin
-        context, word = (key // len(names)).astype(np.int32), (key % len(names)).astype(np.int32)
-        del key
+    def merge(block: int, rows):
+        sums, some, size = [], [], 0
+        for _, _, x in rows:
+            some.append(_read(x))
+            size += len(some[-1]["n"])
+            if size >= FOLD:
+                sums.append(_folded(some))
+                size = 0
+        del x
+        sums += some
+        some.clear()
+        names, context, word, n = _folded(sums).values()
         many = n >= 2
         used = np.zeros(len(names), bool)
         used[context[many]] = True
@@ -333,7 +383,8 @@ def _merged(counted: DataFrame, groups: int) -> DataFrame:
 def _gathered(sent: DataFrame, groups: int) -> DataFrame:
     """Per home its words with their counts over all blocks, and totals."""
 
-    def gather(home: int, rows: dict):
+    def gather(home: int, rows):
+        rows = _by_kind(rows)
         records = [_words(x) for _, x in rows[_WORDS]]
         names = np.unique(np.concatenate([r["names"] for r in records]))
         sums = {k: np.zeros(len(names), np.int64) for k in records[0] if k != "names"}
@@ -448,7 +499,8 @@ def _root(state: DataFrame, sent: DataFrame | None, groups: int, sweep: int, d:
     contexts) and their sampled tables, and every context's tables; and the same
     numbers as replies to the blocks, in the order of the words each has sent."""
 
-    def sample(home: int, rows: dict):
+    def sample(home: int, rows):
+        rows = _by_kind(rows)
         (_, blob), = rows[_STATE]
         w = _words(blob)
         customers, tables_in = w["donce"].copy(), w["conce"].copy()
@@ -488,9 +540,7 @@ def _asked(seats: DataFrame, groups: int) -> DataFrame:
     def ask(batches):
         for batch in batches:
             for block, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = list(_tables(block, _read(blob), groups))
-                if found:
-                    yield from _rows(found).to_batches()
+                yield from _batches(_tables(block, _read(blob), groups))
 
     return _of(seats, _SEATS).select("to", "data").mapInArrow(ask, _SENT)
 
@@ -505,7 +555,8 @@ def _sweep(seats: DataFrame, replies: DataFrame, groups: int, sweep: int, add: b
     """New tables of every pair in ``seats``, given the parent's probabilities
     and the other tables of its restaurant."""
 
-    def draw(block: int, rows: dict):
+    def draw(block: int, rows):
+        rows = _by_kind(rows)
         (_, blob), = rows[_SEATS]
         s = _read(blob)
         told = _placed(s["names"], groups, rows.get(_REPLY, []), ["customers", "tables", "seated"])
@@ -571,7 +622,8 @@ def _told(model: Model) -> DataFrame:
     sample the word's customers and tables and the context's tables."""
     samples = model.samples
 
-    def tell(home: int, rows: dict):
+    def tell(home: int, rows):
+        rows = _by_kind(rows)
         (_, blob), = rows[_STATE]
         w = _words(blob)
         known = {"dn": w["dn"], "cn": w["cn"]}
@@ -633,12 +685,17 @@ def _occurrence(block: int, part: int, head, data) -> pa.RecordBatch:
 
 def _probabilities(few: dict, told: dict, context: np.ndarray, word: np.ndarray, n: np.ndarray, mean: np.ndarray):
     """Per pair of a block: log10 probability, log10 base, known."""
-    p = n - few["d"] * mean
-    for s, parent in enumerate(few["parents"]):
-        x = parent(told[f"customers{s}"], told[f"tables{s}"])
-        p += (few["strength"] + few["d"] * told[f"seated{s}"][context]) * x[word] / len(few["parents"])
+    parents = [parent(told[f"customers{s}"], told[f"tables{s}"]) for s, parent in enumerate(few["parents"])]
+    log = np.empty(len(n))
+    for at in range(0, len(n), FOLD >> 2):
+        own = slice(at, at + (FOLD >> 2))
+        c, w = context[own], word[own]
+        p = n[own] - few["d"] * mean[own]
+        for s, x in enumerate(parents):
+            p += (few["strength"] + few["d"] * told[f"seated{s}"][c]) * x[w] / len(parents)
+        log[own] = np.log10(p / (few["strength"] + told["cn"][c]))
     base = np.log10((told["dn"] + 1.0) / (few["n"] + 1.0 * (few["v"] + 1)))
-    return np.log10(p / (few["strength"] + told["cn"][context])), base[word], (told["dn"] > 0)[word]
+    return log, base[word], (told["dn"] > 0)[word]
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "id", part_bytes: int = PART_BYTES) -> DataFrame:
@@ -653,39 +710,50 @@ def score(docs: DataFrame, model: Model, id_col: str = "id", part_bytes: int = P
     frames = [x.select("to", "origin", "kind", "data", *none) for x in (_of(model.pairs, _PAIRS), _of(model.seats, _SEATS), told)]
     result = "part long, head binary, data binary"
 
-    def judge(group: pa.Table) -> pa.Table:
-        kind, data = group["kind"].to_numpy(), group["data"]
-        of = lambda k: [data[i].as_py() for i in np.flatnonzero(kind == k).tolist()]
-        out = []
-        if (kind == _PAIRS).any():
-            m = _read(of(_PAIRS)[0])
-            names, n, s = m["names"], m["n"], _read(of(_SEATS)[0])
-            mean = (n == 1).astype(float)
-            mean[n >= 2] = (s["total"] + s["tables"]) / samples
-            replies = [(group["origin"][i].as_py(), data[i].as_py()) for i in np.flatnonzero(kind == _REPLY).tolist()]
-            log, base, known = _probabilities(few, _placed(names, blocks, replies, columns), m["context"], m["word"], n, mean)
-            key = m["context"] * np.int64(len(names)) + m["word"]
-            short = names >> cut
-            del m, s, n, mean, replies
-            tx.release()
-        for i in np.flatnonzero(kind == _TEXTS).tolist():
-            part, head = group["part"][i].as_py(), group["head"][i].as_py()
-            if head is not None:
-                out.append((part, head, None))
-                continue
-            r = _read(data[i].as_py())
-            at = np.searchsorted(short, r["names"])
-            at = np.repeat(np.searchsorted(key, at[r["context"]] * np.int64(len(names)) + at[r["word"]]), r["docs"])
-            docs_of, index = np.unique(r["doc"], return_inverse=True)
-            add = lambda v: np.bincount(index, weights=v[at] * r["times"], minlength=len(docs_of))
-            out.append((part, None, _pack(doc=_steps(docs_of), known=add(known).astype(np.int32), base=add(base), score=add(log))))
+    def block_sums(batches):
+        held: dict[int, list] = {}
+        names = None
+        for batch in batches:
+            for kind, origin, data, part, head in zip(*(batch.column(c).to_pylist() for c in ("kind", "origin")), batch.column("data"),
+                                                      batch.column("part").to_pylist(), batch.column("head").to_pylist()):
+                if kind != _TEXTS:
+                    if names is not None:
+                        raise RuntimeError("a block's model came after its texts")
+                    held.setdefault(kind, []).append((origin, data.as_buffer()))
+                    continue
+                if head is not None:
+                    yield part, head, None
+                    continue
+                if names is None:
+                    (_, m), = held.pop(_PAIRS)
+                    m = _read(m)
+                    (_, s), = held.pop(_SEATS)
+                    s = _read(s)
+                    names, n = m["names"], m["n"]
+                    mean = (n == 1).astype(float)
+                    mean[n >= 2] = (s["total"] + s["tables"]) / samples
+                    del s
+                    log, base, known = _probabilities(few, _placed(names, blocks, held.pop(_REPLY), columns), m["context"], m["word"], n, mean)
+                    key = m["context"] * np.int64(len(names)) + m["word"]
+                    short = names >> cut
+                    del m, n, mean
+                    tx.release()
+                r = _read(data.as_buffer())
+                at = np.searchsorted(short, r["names"])
+                at = np.repeat(np.searchsorted(key, at[r["context"]] * np.int64(len(names)) + at[r["word"]]), r["docs"])
+                docs_of, index = np.unique(r["doc"], return_inverse=True)
+                add = lambda v: np.bincount(index, weights=v[at] * r["times"], minlength=len(docs_of))  # noqa: E731, B023
+                yield part, None, _pack(doc=_steps(docs_of), known=add(known).astype(np.int32), base=add(base), score=add(log))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _batches(block_sums(batches), {"part": pa.int64(), "head": pa.binary(), "data": pa.binary()})
         tx.release()
-        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[], [], []], (pa.int64(), pa.binary(), pa.binary()))],
-                                    names=["part", "head", "data"])
 
     texts = _occurrences(docs, blocks, part_bytes, model.bits)
     cut = np.uint64(64 - model.bits)
-    sums = union_all([*frames, texts]).repartition(blocks, "to").groupBy("to").applyInArrow(judge, result)
+    # The groups keep this order (judge looks after that): of a block, its model comes before its texts.
+    dealt = union_all([*frames, texts]).repartition(blocks, "to").sortWithinPartitions("to", "kind")
+    sums = dealt.groupBy("to").applyInArrow(judge, result)
     sums = materialize(sums, "py-sums")
     for done in (told, model.seats, model.pairs, model.state):
         discard(done)
@@ -711,14 +779,24 @@ def block_count(docs: DataFrame, text_col: str, block_bytes: int = BLOCK_BYTES)
     return max(1, -(-size // max(block_bytes, math.isqrt(size << 10))))
 
 
+@contextmanager
+def _bounded(spark: SparkSession):
+    """Whole texts and arrays travel a few megabytes at a time.  The arrays are
+    compressed already; a codec of the written files would keep buffers outside
+    the heap as large as all arrays of a file."""
+    with (setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"),
+          setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES)),
+          setting(spark, "spark.sql.parquet.compression.codec", "uncompressed")):
+        yield
+
+
 def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", burn_in: int = BURN_IN, samples: int = SAMPLES,
                  strength: float = STRENGTH, part_bytes: int = PART_BYTES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``id_col, held_out, n_tokens, n_known, train_tokens, base_score, score`` of
     every row, learned from the rows that are not held out."""
     blocks = block_count(docs, text_col, block_bytes)
     slim = docs.select(F.col(id_col).alias("id"), held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("text"))
-    # Whole texts: fewer rows a batch keep it at a few megabytes.
-    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"):
+    with _bounded(docs.sparkSession):
         model = fit(slim, blocks, burn_in, samples, strength, part_bytes)
         scored = score(slim, model, id_col, part_bytes)
     return scored.withColumn("train_tokens", F.lit(model.n).cast("long"))

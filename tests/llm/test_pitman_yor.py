@@ -163,6 +163,44 @@ def test_scores_follow_the_sampled_seatings(spark, odd_rows, part, blocks):
             assert a[0] == b[0] and abs(a[1] - b[1]) <= 2e-6 * max(1, abs(b[1])), i
 
 
+def test_a_group_is_never_held_whole(spark):
+    """A block's rows come to Python in batches, and written arrays pass no codec
+    (both kept buffers of a whole block's or file's size per task before)."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    rows = [(i % 2, i, P._PAIRS, np.random.default_rng(i).bytes(400_000)) for i in range(80)]
+
+    def most(to, rows):
+        held = [pa.total_allocated_bytes() for _ in rows]
+        yield to, len(held), P._PAIRS, str(max(held)).encode()
+
+    with P._bounded(spark):
+        found = P._grouped([spark.createDataFrame(rows, P._SENT)], 2, most, "py-test")
+    assert sorted((r["to"], r["origin"]) for r in found.collect()) == [(0, 40), (1, 40)]
+    assert all(int(bytes(r["data"])) < 8_000_000 for r in found.collect())  # 16,000,000 a group
+    for path in found.inputFiles():
+        meta = pq.read_metadata(path.removeprefix("file://"))
+        assert all(meta.row_group(g).column(3).compression == "UNCOMPRESSED" for g in range(meta.num_row_groups))
+
+
+def test_pairs_of_many_parts_fold_in_steps():
+    rng = np.random.default_rng(0)
+    want, runs, some = collections.Counter(), [], []
+    for i in range(7):
+        names = np.unique(rng.integers(0, 60, 30).astype(np.uint64) << np.uint64(50))
+        key = np.unique(rng.integers(0, len(names) ** 2, 200))
+        r = {"names": names, "context": key // len(names), "word": key % len(names), "n": rng.integers(0, 4, len(key)).astype(np.int32)}
+        for c, w, n in zip(r["context"], r["word"], r["n"]):
+            want[int(names[c]), int(names[w])] += int(n)
+        some.append(r)
+        if i % 3 == 2:
+            runs.append(P._folded(some))
+    got = P._folded(runs + some)
+    pairs = list(zip(got["names"][got["context"]].tolist(), got["names"][got["word"]].tolist()))
+    assert pairs == sorted(set(pairs)) and dict(zip(pairs, got["n"].tolist())) == dict(want)
+
+
 def test_odd_rows_base(spark, odd_docs, odd_rows):
     rows = [(r[0], r[1]) for r in odd_rows]
     n, want = _brute_base(rows)
