@@ -138,6 +138,16 @@ def _ranked(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a[new], out
 
 
+def _named(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``_ranked``, by a hash table: only the distinct values, few among words, are sorted."""
+    coded = pa.array(a).dictionary_encode()
+    names = coded.dictionary.to_numpy()
+    order = np.argsort(names)
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
+    return names[order], rank[coded.indices.to_numpy()]
+
+
 class _Part:
     """Tokens of several runs, gathered until they are dealt to the blocks."""
 
@@ -161,7 +171,7 @@ class _Part:
             word[end - len(last):end] = last
             end -= len(last)
         del last
-        names, index = _ranked(word)
+        names, index = _named(word)
         del word
         begin, n = index[-1], len(index) - 1
         first = np.cumsum(np.concatenate(self.counts))
