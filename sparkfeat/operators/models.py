@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import time
 
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.rules import binary_target
+from .boosting import BoostedTrees
 from .metrics import accuracy_f1
 
 MULTICLASS = ("RandomForest", "DecisionTree", "LogisticRegression")
@@ -30,7 +30,7 @@ def classifier(name: str, features: str = "features", label: str = "label",
     if name == "LogisticRegression":
         return LogisticRegression(featuresCol=features, labelCol=label, **extra, **params)
     if name == "GBT":
-        return GBTClassifier(featuresCol=features, labelCol=label, seed=seed, **extra, **params)
+        return BoostedTrees(featuresCol=features, labelCol=label, seed=seed, **extra, **params)
     raise ValueError(f"unknown model {name!r}")
 
 
